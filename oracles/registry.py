@@ -1,9 +1,9 @@
 """All DuckDB texts by query name."""
 
-from oracles import business
+from oracles import analysis, business
 from oracles.tables import with_tables
 
 
 def texts() -> dict[str, str]:
-    bodies = {**business.TEXTS}
+    bodies = {**business.TEXTS, **analysis.TEXTS}
     return {name: with_tables(body) for name, body in bodies.items()}

@@ -34,6 +34,11 @@ def rounded_ratio(numerator, denominator, digits: int = 2, factor: int = 1) -> C
     return F.round(exact, digits).cast("double")
 
 
+def rounded(col, digits: int = 2) -> Column:
+    """A binary number rounded as the decimal it stands for, ties away from zero."""
+    return F.round(_col(col).cast("decimal(32,8)"), digits).cast("double")
+
+
 def percent(numerator, denominator, digits: int = 1) -> Column:
     return rounded_ratio(numerator, denominator, digits, 100)
 

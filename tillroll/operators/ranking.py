@@ -9,7 +9,7 @@ tasks, and the totals of the earlier slices are carried into the later ones.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,20 +27,20 @@ def largest_group(df: DataFrame, within: Sequence[str] = ()) -> int:
     return df.groupBy(*within).count().agg(F.max("count")).first()[0] or 0
 
 
-def running_total(
+def sliced_totals(
     df: DataFrame,
     order_by: Sequence[Column],
-    out: str,
-    weight: Column | None = None,
+    totals: Mapping[str, Column],
     within: Sequence[str] = (),
 ) -> DataFrame:
-    """Sum of ``weight`` (default: row count) up to and with each row, split over many tasks.
+    """Adds, per entry of ``totals``, the sum of its column up to and with each row.
 
     ``order_by`` must be unique within a group, else slices could become uneven.
     """
-    keys = list(within)
+    keys, outs = list(within), list(totals)
+    weights = {f"_w_{out}": weight for out, weight in totals.items()}
     sliced = settled(
-        df.withColumn("_weight", F.lit(1).cast("bigint") if weight is None else weight)
+        df.withColumns(weights)
         .repartitionByRange(*[F.col(k) for k in keys], *order_by)
         .withColumn("_slice", F.spark_partition_id())
     )
@@ -49,13 +49,14 @@ def running_total(
     # most one row per slice: its size is bounded by the number of partitions.
     carried = (
         sliced.groupBy(*keys, "_slice")
-        .agg(F.sum("_weight").alias("_total"))
+        .agg(*[F.sum(f"_w_{out}").alias(f"_w_{out}") for out in outs])
         .select(
             *[F.col(k).alias(f"_c_{k}") for k in keys],
             F.col("_slice").alias("_c_slice"),
-            F.sum("_total").over(earlier).alias("_carry"),
+            F.count(F.lit(1)).over(earlier).alias("_before"),
+            *[F.sum(f"_w_{out}").over(earlier).alias(f"_carry_{out}") for out in outs],
         )
-        .filter("_carry is not null")
+        .filter("_before > 0")
     )
     same = F.col("_slice") == F.col("_c_slice")
     for k in keys:
@@ -66,13 +67,29 @@ def running_total(
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     return (
-        sliced.withColumn(out, F.sum("_weight").over(so_far))
+        sliced.withColumns({out: F.sum(f"_w_{out}").over(so_far) for out in outs})
         .join(F.broadcast(carried), same, "left")
-        .withColumn(out, F.col(out) + F.coalesce("_carry", F.lit(0)))
-        .select(*df.columns, out)
+        .withColumns({out: F.col(out) + F.coalesce(f"_carry_{out}", F.lit(0)) for out in outs})
+        .select(*df.columns, *outs)
     )
 
 
+def running_totals(
+    df: DataFrame,
+    order_by: Sequence[Column],
+    totals: Mapping[str, Column],
+    within: Sequence[str] = (),
+    single_task_rows: int = SINGLE_TASK_ROWS,
+) -> DataFrame:
+    """Sums up to and with each row, by a plain window if every group is small enough."""
+    if largest_group(df, within) > single_task_rows:
+        return sliced_totals(df, order_by, totals, within)
+    so_far = (
+        W.partitionBy(*within).orderBy(*order_by).rowsBetween(W.unboundedPreceding, W.currentRow)
+    )
+    return df.withColumns({out: F.sum(weight).over(so_far) for out, weight in totals.items()})
+
+
 def row_number(
     df: DataFrame,
     order_by: Sequence[Column],
@@ -83,7 +100,8 @@ def row_number(
     """1-based position by ``order_by`` (unique), per group if ``within`` names columns."""
     if largest_group(df, within) <= single_task_rows:
         return df.withColumn(out, F.row_number().over(W.partitionBy(*within).orderBy(*order_by)))
-    return running_total(df, order_by, out, within=within).withColumn(out, F.col(out).cast("int"))
+    numbered = sliced_totals(df, order_by, {out: F.lit(1).cast("bigint")}, within)
+    return numbered.withColumn(out, F.col(out).cast("int"))
 
 
 def ntile(
@@ -100,7 +118,7 @@ def ntile(
     size, longer = divmod(rows, buckets)
     edge = longer * (size + 1)
     position = F.col(out) - 1
-    return running_total(df, order_by, out).withColumn(
+    return sliced_totals(df, order_by, {out: F.lit(1).cast("bigint")}).withColumn(
         out,
         F.when(position < edge, F.floor(position / (size + 1)) + 1)
         .otherwise(longer + F.floor((position - edge) / max(size, 1)) + 1)
@@ -123,7 +141,7 @@ def rank(
     keys = [*within, value]
     levels = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     weight = F.lit(1).cast("bigint") if dense else F.col("_rows")
-    ranked = running_total(levels, [F.col(value).desc()], "_upto", weight, within)
+    ranked = sliced_totals(levels, [F.col(value).desc()], {"_upto": weight}, within)
     position = F.col("_upto") if dense else F.col("_upto") - F.col("_rows") + 1
     ranks = ranked.select(
         *[F.col(k).alias(f"_r_{k}") for k in keys], position.cast("int").alias(out)
@@ -159,11 +177,9 @@ def quantiles(
         .agg(F.count(F.lit(1)).alias("levels"), F.sum("rows").alias("total"))
         .collect()
     }
-    if max((levels for levels, _ in sizes.values()), default=0) <= single_task_rows:
-        window = W.partitionBy("name").orderBy("value")
-        ordered = counted.withColumn("upto", F.sum("rows").over(window))
-    else:
-        ordered = running_total(counted, [F.col("value")], "upto", F.col("rows"), ["name"])
+    ordered = running_totals(
+        counted, [F.col("value")], {"upto": F.col("rows")}, ["name"], single_task_rows
+    )
     wanted = {}
     for name, (_, total) in sizes.items():
         for i, p in enumerate(probabilities):

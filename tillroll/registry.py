@@ -5,10 +5,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tillroll.model import DOCUMENTED_ROWS, PRIMARY_KEYS
+from tillroll.operators import (
+    churn,
+    features,
+    flat,
+    metrics,
+    modelling,
+    quality,
+    sales,
+    segmentation,
+)
+from tillroll.operators.settle import scratch_path
 from tillroll.plans import business as b
+from tillroll.plans import eda, kpis
 from tillroll.plans import views as v
-from tillroll.sources.star import star_tables
+from tillroll.sources import files
+from tillroll.sources.star import raw_lines, star_tables
 from tillroll.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,4 +98,363 @@ VIEWS: dict[str, Query] = {
     "u2_view_row_counts": _on_tables(_view_row_counts),
 }
 
-QUERIES: dict[str, Query] = {**BUSINESS, **VIEWS}
+
+# -- sources and data quality ----------------------------------------------------------------
+
+
+def _as_text(df: DataFrame, **replaced) -> DataFrame:
+    """All columns as text, missing values as empty fields, some columns replaced."""
+    texts = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns}
+    texts.update(replaced)
+    return df.select(*[value.alias(c) for c, value in texts.items()])
+
+
+def _orders_from_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as a text file would bring them, some dates unusable, brought to the schema."""
+    key = F.col("Order_ID").cast("bigint")
+    day = F.col("Order_Date").cast("string")
+    dirty = (
+        F.when(key % 7 == 0, "2024-13-01").when(key % 7 == 1, "nan").when(key % 7 == 2, "")
+    ).otherwise(F.concat(F.lit(" "), day))
+    text = _as_text(star_tables(spark, folder).orders, Order_Date=dirty)
+    return files.from_text(text, "orders")
+
+
+def _items_from_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with unusable prices, padded quantities and no Return_Flag column."""
+    price = F.when(F.col("Quantity") % 5 == 0, "x").otherwise(F.col("Unit_Price").cast("string"))
+    quantity = F.concat(F.lit(" "), F.col("Quantity").cast("string"), F.lit(".0 "))
+    text = _as_text(star_tables(spark, folder).order_items, Unit_Price=price, Quantity=quantity)
+    return files.from_text(text.drop("Return_Flag"), "order_items")
+
+
+def _coerced_items(spark: SparkSession, folder: str) -> DataFrame:
+    items = star_tables(spark, folder).order_items.select(
+        "Order_Item_ID",
+        F.when(F.col("Quantity") % 5 == 0, "many")
+        .otherwise(F.col("Quantity").cast("string"))
+        .alias("Quantity"),
+        F.concat(F.lit("  "), "Brand", F.lit(" ")).alias("Brand"),
+    )
+    return quality.trimmed(quality.to_numbers(items, {"Quantity": "int"}), ["Brand"])
+
+
+def _csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "order_items")
+    files.write_table(star_tables(spark, folder).order_items, path, "csv")
+    return files.read_csv(spark, path, "order_items")
+
+
+def _parquet_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "orders")
+    files.write_table(star_tables(spark, folder).orders, path)
+    return spark.read.parquet(path)
+
+
+def _views_by_name(spark: SparkSession, folder: str) -> DataFrame:
+    """The state view asked for by name in SQL text."""
+    t = star_tables(spark, folder)
+    v.all_views(t)["vw_state_performance"].createOrReplaceTempView("vw_state_performance")
+    return spark.sql("SELECT * FROM vw_state_performance WHERE Customers > 0")
+
+
+LINE_KEY = ["l_orderkey", "l_linenumber"]
+
+
+def _duplicate_report(spark: SparkSession, folder: str) -> DataFrame:
+    t = star_tables(spark, folder)
+    report = quality.duplicate_report(raw_lines(spark, folder), LINE_KEY, "raw_lines")
+    for name in flat.DEDUPED:
+        part = quality.duplicate_report(t[name], PRIMARY_KEYS[name], name)
+        report = report.unionByName(part)
+    return report
+
+
+def _first_lines(spark: SparkSession, folder: str) -> DataFrame:
+    lines = raw_lines(spark, folder).drop("l_shipdate")
+    return quality.first_per_key(lines, LINE_KEY, ["l_partkey", "l_suppkey"])
+
+
+def _prepared(spark: SparkSession, folder: str) -> DataFrame:
+    """The typed flat table; keys are unique by construction, as d12 shows."""
+    return flat.prepared(star_tables(spark, folder))
+
+
+def _on_flat(operator: Callable[..., DataFrame], **params) -> Query:
+    return lambda spark, folder: operator(_prepared(spark, folder), **params)
+
+
+def _outliers(spark: SparkSession, folder: str) -> DataFrame:
+    flags = [f"{c}_Outlier" for c in quality.OUTLIER_COLUMNS]
+    flagged = quality.outlier_flags(star_tables(spark, folder).order_items)
+    return flagged.select("Order_Item_ID", *quality.OUTLIER_COLUMNS, *flags)
+
+
+def _outlier_report(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.outlier_report(quality.outlier_flags(star_tables(spark, folder).order_items))
+
+
+def _dirty_foreign_keys(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.foreign_key_report(star_tables(spark, folder, orphans=True))
+
+
+def _formula(t: Tables) -> DataFrame:
+    """Sales are stored with two digits: a narrow tolerance shows the rounded lines."""
+    return quality.formula_violations(t.order_items, 0.004)
+
+
+QUALITY: dict[str, Query] = {
+    "s01_csv_round_trip": _csv_round_trip,
+    "s03_orders_from_text": _orders_from_text,
+    "s07_parquet_round_trip": _parquet_round_trip,
+    "s10_view_by_name": _views_by_name,
+    "s11_row_count_check": _on_tables(quality.row_count_check, expected=DOCUMENTED_ROWS),
+    "d01_duplicate_report": _duplicate_report,
+    "d01_first_per_key": _first_lines,
+    "d04_items_from_text": _items_from_text,
+    "d05_coerced_and_trimmed": _coerced_items,
+    "d06_null_report": _on_flat(quality.null_report),
+    "d08_unexpected_nulls": _on_flat(quality.unexpected_nulls),
+    "d09_outlier_flags": _outliers,
+    "d10_outlier_report": _outlier_report,
+    "d11_integrity": _on_flat(quality.integrity_violations),
+    "d12_primary_keys": _on_tables(quality.primary_key_report),
+    "d13_foreign_keys": _on_tables(quality.foreign_key_report),
+    "d13_foreign_keys_dirty": _dirty_foreign_keys,
+    "d14_scores_outside_2_to_4": _on_tables(
+        lambda t: quality.out_of_range(t.reviews, low=2, high=4)
+    ),
+    "d15_required_columns": _on_tables(quality.required_report),
+    "d15_text_lengths": _on_tables(quality.length_report),
+    "d17_formula_check": _on_tables(_formula),
+    "j05_flat_table": _on_tables(flat.flat_table),
+    "c01_cleaned": lambda spark, folder: flat.cleaned(star_tables(spark, folder)),
+}
+
+
+# -- features and exploration ----------------------------------------------------------------
+
+
+def _engineered(spark: SparkSession, folder: str) -> DataFrame:
+    return features.engineered(flat.cleaned(star_tables(spark, folder), dedupe=False))
+
+
+def _label_codes(spark: SparkSession, folder: str) -> DataFrame:
+    codes = [f"{c}_Encoded" for c in features.ENCODED]
+    coded = features.label_codes(_prepared(spark, folder), features.ENCODED)
+    return coded.select("Order_Item_ID", *codes)
+
+
+FEATURES: dict[str, Query] = {
+    "e01_date_features": lambda spark, folder: features.date_features(
+        _prepared(spark, folder).select("Order_Item_ID", "Order_Date", "Ship_Date")
+    ),
+    "e02_financial_features": lambda spark, folder: features.financial_features(
+        star_tables(spark, folder).order_items.select(
+            "Order_Item_ID", "Sales", "Profit", "Quantity", "Discount"
+        )
+    ),
+    "e06_tenure_features": lambda spark, folder: features.tenure_features(
+        _prepared(spark, folder).select(
+            "Order_Item_ID", "Order_Date", "Customer_Since", "Total_Spend", "Total_Orders"
+        )
+    ),
+    "e08_label_codes": _label_codes,
+    "e09_engineered": _engineered,
+}
+
+EXPLORATION: dict[str, Query] = {
+    "x01_numeric_summary": _on_flat(eda.numeric_summary),
+    "x01_value_counts": _on_flat(eda.value_counts),
+    "x02_correlation_matrix": _on_flat(eda.correlation_matrix),
+    "x03_monthly_trend": _on_flat(eda.monthly_trend),
+    "x04_top_products": _on_flat(eda.top_products),
+    "x05_profit_by_category": _on_flat(eda.profit_by_category),
+    "x06_sales_by_state": _on_flat(eda.sales_by_state),
+    "x07_age_histogram": _on_flat(eda.age_histogram),
+    "x07_age_density": _on_flat(eda.age_density),
+    "x08_discount_profit_sample": _on_flat(eda.discount_profit_sample),
+    "x09_order_status": _on_flat(eda.order_status_breakdown),
+    "x10_insights": _on_flat(eda.insight_summary),
+}
+
+
+# -- customers: scores, segments, clusters ---------------------------------------------------
+
+
+def _rfm(spark: SparkSession, folder: str) -> DataFrame:
+    t = star_tables(spark, folder)
+    return segmentation.rfm_table(v.sold_orders(t), t.customers)
+
+
+def _scored(spark: SparkSession, folder: str) -> DataFrame:
+    return segmentation.score_rfm(_rfm(spark, folder))
+
+
+def _clustered(spark: SparkSession, folder: str) -> DataFrame:
+    return segmentation.clustered(_scored(spark, folder))
+
+
+SEGMENTS: dict[str, Query] = {
+    "r01_rfm_table": _rfm,
+    "r02_scored_segments": _scored,
+    "r07_segment_distribution": lambda spark, folder: segmentation.segment_distribution(
+        _scored(spark, folder)
+    ),
+    "r08_standardised": lambda spark, folder: _rounded(
+        segmentation.standardised(
+            _rfm(spark, folder).select("Customer_ID", *segmentation.MEASURES)
+        )
+    ),
+    # three starts per cluster count keep the query short; the default is ten
+    "r09_elbow": lambda spark, folder: segmentation.elbow(_rfm(spark, folder), starts=3),
+    "r10_clusters": _clustered,
+    "r11_cluster_profile": lambda spark, folder: segmentation.cluster_profile(
+        _clustered(spark, folder)
+    ),
+}
+
+
+# -- prediction ------------------------------------------------------------------------------
+
+# Forest size of the registered runs; the library's default is 300 trees.
+TREES = 20
+
+
+def _churn_features(spark: SparkSession, folder: str) -> DataFrame:
+    table = churn.feature_table(_scored(spark, folder))
+    return table.select("Customer_ID", *churn.FEATURES, "Churned", "is_test")
+
+
+def _churn(spark: SparkSession, folder: str, *models: str) -> churn.ChurnRun:
+    return churn.train(_scored(spark, folder), models or None, trees=TREES)
+
+
+def _dated(spark: SparkSession, folder: str) -> DataFrame:
+    return features.date_features(_prepared(spark, folder))
+
+
+def _sales_features(spark: SparkSession, folder: str) -> DataFrame:
+    table = sales.feature_table(_dated(spark, folder))
+    return table.select("Order_Item_ID", *sales.FEATURES, "Sales", "is_test")
+
+
+def _sales(spark: SparkSession, folder: str, *models: str) -> sales.SalesRun:
+    return sales.train(_dated(spark, folder), models or None, trees=TREES)
+
+
+def _fixed_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers with a score that needs no model, so that SQL can check the metrics."""
+    score = ((F.col("Customer_Age") * 37 + F.col("Total_Orders") * 11) % 100) / F.lit(100.0)
+    return star_tables(spark, folder).customers.select(
+        "Customer_ID",
+        F.col("Churned").alias("label"),
+        score.alias("score"),
+        F.when(score > 0.5, 1).otherwise(0).alias("prediction"),
+    )
+
+
+def _on_scores(metric: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, folder: metric(_fixed_scores(spark, folder))
+
+
+def _rounded(df: DataFrame, digits: int = 9) -> DataFrame:
+    """Doubles rounded, for comparison with another engine's order of summing."""
+    return df.withColumns(
+        {c: F.round(c, digits) for c, kind in df.dtypes if kind == "double"}
+    )
+
+
+def _fixed_estimates(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with the undiscounted amount as estimate of their Sales."""
+    return star_tables(spark, folder).order_items.select(
+        F.col("Sales").cast("double").alias("label"),
+        (F.col("Quantity") * F.col("Unit_Price")).cast("double").alias("prediction"),
+    )
+
+
+def _risk_tiers(spark: SparkSession, folder: str) -> DataFrame:
+    return _fixed_scores(spark, folder).select(
+        "Customer_ID", "score", churn.risk_tier("score").alias("Churn_Risk_Tier")
+    )
+
+
+def _model_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Predictions of the stored and reloaded model."""
+    run = _churn(spark, folder, "Logistic Regression")
+    path = scratch_path(spark, "churn_model")
+    modelling.save_model(run.best.model, path)
+    scored = churn.predicted(modelling.load_model(path), run.features)
+    return scored.select("Customer_ID", "prediction", "score")
+
+
+PREDICTION: dict[str, Query] = {
+    "s09_model_round_trip": _model_round_trip,
+    "m01_churn_features": _churn_features,
+    "m02_sales_features": _sales_features,
+    "m10_classification_metrics": _on_scores(lambda df: _rounded(metrics.classification_metrics(df))),
+    "m11_roc_auc": _on_scores(lambda df: _rounded(metrics.roc_auc(df))),
+    "m12_classification_report": _on_scores(
+        lambda df: _rounded(metrics.classification_report(df))
+    ),
+    "m13_confusion_matrix": _on_scores(metrics.confusion_matrix),
+    "m14_roc_points": _on_scores(lambda df: _rounded(metrics.roc_points(df))),
+    "m15_churn_importances": lambda spark, folder: _churn(
+        spark, folder, "Random Forest"
+    ).importances(),
+    "m15_sales_importances": lambda spark, folder: _sales(
+        spark, folder, "Random Forest"
+    ).importances(),
+    "m16_churn_comparison": lambda spark, folder: _churn(spark, folder).comparison,
+    "m16_sales_comparison": lambda spark, folder: _sales(spark, folder).comparison,
+    "m17_churn_predictions": lambda spark, folder: _churn(
+        spark, folder, "Logistic Regression"
+    ).predictions(),
+    "m18_risk_tiers": _risk_tiers,
+    "m19_high_risk_count": lambda spark, folder: churn.high_risk_count(_risk_tiers(spark, folder)),
+    "m20_churn_rate": lambda spark, folder: _rounded(churn.churn_rate(_rfm(spark, folder))),
+    "m24_regression_metrics": lambda spark, folder: _rounded(
+        metrics.regression_metrics(_fixed_estimates(spark, folder)), 6
+    ),
+    "m25_sales_test_pairs": lambda spark, folder: _sales(
+        spark, folder, "Linear Regression"
+    ).test_pairs(),
+    "m26_sales_predictions": lambda spark, folder: _sales(
+        spark, folder, "Linear Regression"
+    ).predictions(),
+    "m28_churn_label": lambda spark, folder: _rfm(spark, folder).select(
+        "Customer_ID", "Recency", churn.churn_label().alias("Churned")
+    ),
+}
+
+KPIS: dict[str, Query] = {
+    "k01_repeat_buyer_rate": _on_tables(kpis.repeat_buyer_rate),
+    "k02_margin_by_discount_tier": _on_tables(kpis.margin_by_discount_tier),
+    "k03_slow_shipment_share": _on_tables(kpis.slow_shipment_share),
+    "k04_high_risk_customers": lambda spark, folder: churn.high_risk_count(
+        _churn(spark, folder, "Logistic Regression").predictions()
+    ),
+    "k05_pivot_category_month": _on_tables(kpis.pivot_category_month),
+    "k06_cleaning_log": lambda spark, folder: kpis.cleaning_log(
+        star_tables(spark, folder), _prepared(spark, folder)
+    ),
+    "k07_customer_lookup": _on_tables(
+        lambda t: kpis.lookup(t.customers, "Customer_ID", "1")
+    ),
+    "k07_product_lookup_many": _on_tables(
+        lambda t: kpis.lookup_many(
+            t.products, "Product_ID", t.order_items.filter("Return_Flag = 'Yes'")
+        )
+    ),
+}
+
+QUERIES: dict[str, Query] = {
+    **BUSINESS,
+    **VIEWS,
+    **QUALITY,
+    **FEATURES,
+    **EXPLORATION,
+    **SEGMENTS,
+    **PREDICTION,
+    **KPIS,
+}
