@@ -155,7 +155,7 @@ class ChurnRun:
 
 def train(scored: DataFrame, models: Sequence[str] | None = None, **options) -> ChurnRun:
     """Fits the models (or those named), compares them on the test rows, keeps the best."""
-    features = settled(feature_table(scored))
+    features = settled(feature_table(settled(scored)))
     training, test = features.filter("not is_test"), features.filter("is_test")
     fits = []
     for candidate in candidates(training.count(), **options):

@@ -152,25 +152,37 @@ def rank(
     return df.join(ranks, same).select(*df.columns, out)
 
 
-def quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    single_task_rows: int = SINGLE_TASK_ROWS,
-) -> dict[str, list[float | None]]:
-    """Exact quantiles with linear interpolation, for all columns in one pass over ``df``.
-
-    Equal values are counted before the shuffle, and only the requested points come back.
-    """
+def value_histogram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows per column and distinct value, in one pass; equal values meet before the shuffle."""
     pairs = [
         F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns
     ]
-    counted = settled(
+    return settled(
         df.select(F.inline(F.array(*pairs)))
         .filter("value is not null")
         .groupBy("name", "value")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
+
+
+def quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    single_task_rows: int = SINGLE_TASK_ROWS,
+) -> dict[str, list[float | None]]:
+    """Exact quantiles with linear interpolation, for all columns in one pass over ``df``."""
+    counted = value_histogram(df, columns)
+    return histogram_quantiles(counted, columns, probabilities, single_task_rows)
+
+
+def histogram_quantiles(
+    counted: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    single_task_rows: int = SINGLE_TASK_ROWS,
+) -> dict[str, list[float | None]]:
+    """Quantiles from a value histogram; only the requested points come to the driver."""
     sizes = {
         r["name"]: (r["levels"], r["total"])
         for r in counted.groupBy("name")

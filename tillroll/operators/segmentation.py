@@ -153,9 +153,8 @@ def elbow(
     rfm: DataFrame, ks: Iterable[int] = ELBOW, starts: int = 10, seed: int = SEED
 ) -> DataFrame:
     """Cost of the best clustering per number of clusters."""
-    points = settled(_vectors(rfm).select("_point")).cache()
+    points = settled(_vectors(rfm).select("_point"))
     costs = [(k, best_kmeans(points, k, starts, seed).summary.trainingCost) for k in ks]
-    points.unpersist()
     return rfm.sparkSession.createDataFrame(costs, "Clusters int, Inertia double")
 
 
@@ -163,7 +162,7 @@ def clustered(
     rfm: DataFrame, k: int = CLUSTERS, starts: int = 10, seed: int = SEED
 ) -> DataFrame:
     """Adds ``Cluster``; the numbers rise with the cluster's mean Monetary."""
-    points = settled(_vectors(rfm)).cache()
+    points = settled(_vectors(rfm))
     model = best_kmeans(points, k, starts, seed)
     monetary = MEASURES.index("Monetary")
     centers = model.clusterCenters()

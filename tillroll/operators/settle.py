@@ -1,4 +1,4 @@
-"""Cutting lineage through the shared checkpoint folder."""
+"""Cutting lineage through tables written to the shared checkpoint folder."""
 
 from __future__ import annotations
 
@@ -20,17 +20,21 @@ def shared_folder(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors see")
         folder = tempfile.mkdtemp(prefix="tillroll-")
-    if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """The same rows, written once to the shared folder and read from there afterwards."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder for a table that is written and read back."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows, written once to the shared folder and read from there afterwards.
+
+    A lost executor cannot take them along. As a Parquet table they still give later steps
+    column pruning and a known size.
+    """
+    path = scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tillroll.functions.binning import equal_width_bin
+from tillroll.functions.binning import equal_width_bin, first_match
 from tillroll.functions.dates import month_name
 from tillroll.functions.numbers import (
     count,
@@ -49,36 +49,43 @@ CORRELATED = (
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str] = SUMMARISED) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles, to two digits."""
-    quartiles = ranking.quantiles(df, columns, [0.25, 0.5, 0.75])
-    wide = df.agg(
-        *[
-            F.struct(
-                F.count(c).alias("n"),
-                F.sum(F.col(c).cast("decimal(18,2)")).alias("total"),
-                F.stddev_samp(real(c)).alias("std"),
-                F.min(c).alias("low"),
-                F.max(c).alias("high"),
-            ).alias(c)
-            for c in columns
-        ]
+    """Count, mean, sample deviation, extremes and exact quartiles, to two digits.
+
+    One pass over the lines counts the values; everything else comes from those counts.
+    """
+    counted = ranking.value_histogram(df, columns)
+    quartiles = ranking.histogram_quantiles(counted, columns, [0.25, 0.5, 0.75])
+    value, rows = F.col("value"), F.col("rows")
+    exact = value.cast("decimal(18,4)") * rows
+    basics = counted.groupBy("name").agg(
+        F.sum("rows").alias("n"),
+        F.sum(exact).alias("total"),
+        F.min("value").alias("low"),
+        F.max("value").alias("high"),
     )
-    rows = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(f"{c}.n").alias("count"),
-            rounded_ratio(F.col(f"{c}.total"), F.col(f"{c}.n")).alias("mean"),
-            rounded(F.col(f"{c}.std")).alias("std"),
-            rounded(F.col(f"{c}.low")).alias("min"),
-            *[
-                rounded(F.lit(q).cast("double")).alias(name)
-                for q, name in zip(quartiles[c], ("p25", "p50", "p75"))
-            ],
-            rounded(F.col(f"{c}.high")).alias("max"),
+    means = {r["name"]: float(r["total"]) / r["n"] for r in basics.collect()}
+    mean = first_match([(F.col("name") == c, F.lit(m)) for c, m in means.items()] or [
+        (F.lit(False), F.lit(0.0))
+    ])
+    spread = counted.groupBy("name").agg(F.sum(rows * F.pow(value - mean, 2)).alias("spread"))
+    quartile_of = {
+        label: first_match(
+            [(F.col("name") == c, F.lit(q[i]).cast("double")) for c, q in quartiles.items()]
         )
-        for c in columns
-    ]
-    return wide.select(F.inline(F.array(*rows)))
+        for i, label in enumerate(("p25", "p50", "p75"))
+    }
+    return (
+        basics.join(spread, "name")
+        .select(
+            F.col("name").alias("column_name"),
+            F.col("n").alias("count"),
+            rounded_ratio("total", "n").alias("mean"),
+            rounded(F.sqrt(F.try_divide("spread", F.col("n") - 1))).alias("std"),
+            rounded("low").alias("min"),
+            *[rounded(q).alias(label) for label, q in quartile_of.items()],
+            rounded("high").alias("max"),
+        )
+    )
 
 
 def value_counts(df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataFrame:
@@ -104,20 +111,33 @@ def correlation_matrix(
     Each pair uses the rows where both are present. Customer columns weigh by their lines.
     """
     names = list(columns)
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    wide = df.select(*[real(c).alias(c) for c in names]).agg(
-        *[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs]
+    pairs = [
+        F.struct(F.lit(i).alias("_i"), F.lit(j).alias("_j"), real(a).alias("_x"), real(b).alias("_y"))
+        for i, a in enumerate(names)
+        for j, b in enumerate(names)
+        if i <= j
+    ]
+    # a row per pair of columns is aggregated within its task: far less generated code, and
+    # faster, than one aggregate with six buffers for each of the pairs
+    correlated = (
+        df.select(F.inline(F.array(*pairs)))
+        .groupBy("_i", "_j")
+        .agg(F.round(F.corr("_x", "_y"), digits).alias("correlation"))
+    )
+    both_ways = F.array_distinct(
+        F.array(F.struct(F.col("_i").alias("a"), F.col("_j").alias("b")),
+                F.struct(F.col("_j").alias("a"), F.col("_i").alias("b")))
     )
-    cells = [
-        F.struct(
-            F.lit(x).alias("column_a"),
-            F.lit(y).alias("column_b"),
-            F.round(F.col(f"{a}|{b}"), digits).alias("correlation"),
+    name = F.array(*[F.lit(n) for n in names])
+    return (
+        correlated.select(F.inline(both_ways), "correlation")
+        .select(
+            F.get(name, F.col("a")).alias("column_a"),
+            F.get(name, F.col("b")).alias("column_b"),
+            "correlation",
         )
-        for a, b in pairs
-        for x, y in {(a, b), (b, a)}
-    ]
-    return wide.select(F.inline(F.array(*cells))).orderBy("column_a", "column_b")
+        .orderBy("column_a", "column_b")
+    )
 
 
 def monthly_trend(df: DataFrame, columns: Sequence[str] = ("Sales", "Profit")) -> DataFrame:
@@ -232,7 +252,7 @@ def discount_profit_sample(df: DataFrame, n: int = 4000, seed: int = SEED) -> Da
 
 def order_status_breakdown(df: DataFrame) -> DataFrame:
     """Orders per status and their share; each order counts once."""
-    per_order = df.groupBy("Order_ID").agg(F.max("Order_Status").alias("Order_Status"))
+    per_order = df.select("Order_ID", "Order_Status").distinct()
     return (
         per_order.filter("Order_Status is not null")
         .groupBy("Order_Status")

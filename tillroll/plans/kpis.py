@@ -13,6 +13,7 @@ from tillroll.functions.numbers import count, money, percent
 from tillroll.model import PRIMARY_KEYS
 from tillroll.operators import quality
 from tillroll.operators.flat import DEDUPED
+from tillroll.operators.settle import settled
 from tillroll.plans.business import discount_tier_of
 from tillroll.sources.tables import Tables
 
@@ -73,6 +74,7 @@ def cleaning_log(t: Tables, flat: DataFrame) -> DataFrame:
         )
         for name in DEDUPED
     ]
+    flat = settled(flat)
     nulls = quality.null_counts(flat).filter("null_count > 0")
     bounds = quality.outlier_bounds(flat)
     outliers = quality.count_per_column(
