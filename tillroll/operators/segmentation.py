@@ -37,25 +37,23 @@ def rfm_table(lines: DataFrame, customers: DataFrame | None = None) -> DataFrame
     The attributes come from ``customers`` if given, else from ``lines``. Lines are summed per
     order first, so a customer with very many lines is shuffled as one row per order at most.
     """
-    last_day = lines.agg(F.max("Order_Date")).scalar()
-    per_order = (
-        lines.filter(F.col("Customer_ID").isNotNull())
-        .groupBy("Customer_ID", "Order_ID")
-        .agg(F.max("Order_Date").alias("_last"), F.sum("Sales").alias("_sales"))
+    per_order = lines.groupBy("Customer_ID", "Order_ID").agg(
+        F.max("Order_Date").alias("_last"), F.sum("Sales").alias("_sales")
     )
-    rfm = (
-        per_order.groupBy("Customer_ID")
-        .agg(
+    # kept, one row per customer, so that the latest date needs no second pass over the lines
+    per_customer = settled(
+        per_order.groupBy("Customer_ID").agg(
             F.max("_last").alias("_last"),
             F.count("Order_ID").alias("Frequency"),
             F.coalesce(F.sum("_sales"), F.lit(0)).alias("_sales"),
         )
-        .select(
-            "Customer_ID",
-            F.datediff(last_day, "_last").alias("Recency"),
-            "Frequency",
-            money("_sales").alias("Monetary"),
-        )
+    )
+    last_day = per_customer.agg(F.max("_last")).scalar()
+    rfm = per_customer.filter(F.col("Customer_ID").isNotNull()).select(
+        "Customer_ID",
+        F.datediff(last_day, "_last").alias("Recency"),
+        "Frequency",
+        money("_sales").alias("Monetary"),
     )
     if customers is None:
         customers = lines.dropDuplicates(["Customer_ID"])

@@ -16,6 +16,7 @@ from tillroll.functions.dates import month_key
 from tillroll.functions.numbers import count, money, percent, ratio, real, rounded_ratio
 from tillroll.model import DISCOUNT_EDGES, DISCOUNT_TIERS
 from tillroll.operators import ranking
+from tillroll.operators.settle import settled
 from tillroll.plans import views
 from tillroll.sources.tables import Tables
 
@@ -344,8 +345,9 @@ def _product_sales(t: Tables, out: str) -> DataFrame:
 def rank_in_category(
     t: Tables, single_task_rows: int = ranking.SINGLE_TASK_ROWS
 ) -> DataFrame:
+    # one row per product, kept because the ranking reads it twice
     return ranking.rank(
-        _product_sales(t, "Product_Sales"),
+        settled(_product_sales(t, "Product_Sales")),
         "Product_Sales",
         "Rank_In_Category",
         within=["Category"],

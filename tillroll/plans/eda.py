@@ -291,6 +291,7 @@ def insight_summary(df: DataFrame) -> DataFrame:
     returned = grouped.agg(ratio(F.sum("Returned"), F.sum("Lines"), 100).alias("r"))
     corr = df.agg(F.corr(real("Discount"), real("Profit")).alias("r"))
     sign = F.when(F.col("r") < 0, "negative -> higher discounts erode profit").otherwise("positive")
+    # fixed values: the wording of the seven facts
     facts = [
         ("Best-selling category (revenue)", extreme("Category", "Sales")),
         ("Lowest-selling category (revenue)", extreme("Category", "Sales", highest=False)),
