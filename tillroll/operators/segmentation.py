@@ -56,7 +56,9 @@ def rfm_table(lines: DataFrame, customers: DataFrame | None = None) -> DataFrame
         money("_sales").alias("Monetary"),
     )
     if customers is None:
-        customers = lines.dropDuplicates(["Customer_ID"])
+        # equal rows meet before the shuffle; a customer with contradicting rows keeps one
+        attributes = lines.select("Customer_ID", *ATTRIBUTES).distinct()
+        customers = attributes.dropDuplicates(["Customer_ID"])
     return rfm.join(customers.select("Customer_ID", *ATTRIBUTES), "Customer_ID", "left")
 
 

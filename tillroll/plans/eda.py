@@ -112,7 +112,12 @@ def correlation_matrix(
     """
     names = list(columns)
     pairs = [
-        F.struct(F.lit(i).alias("_i"), F.lit(j).alias("_j"), real(a).alias("_x"), real(b).alias("_y"))
+        F.struct(
+            F.lit(i).alias("_i"),
+            F.lit(j).alias("_j"),
+            F.col(a).alias("_x"),
+            F.col(b).alias("_y"),
+        )
         for i, a in enumerate(names)
         for j, b in enumerate(names)
         if i <= j
@@ -120,13 +125,16 @@ def correlation_matrix(
     # a row per pair of columns is aggregated within its task: far less generated code, and
     # faster, than one aggregate with six buffers for each of the pairs
     correlated = (
-        df.select(F.inline(F.array(*pairs)))
+        df.select(*[real(c).alias(c) for c in names])
+        .select(F.inline(F.array(*pairs)))
         .groupBy("_i", "_j")
         .agg(F.round(F.corr("_x", "_y"), digits).alias("correlation"))
     )
     both_ways = F.array_distinct(
-        F.array(F.struct(F.col("_i").alias("a"), F.col("_j").alias("b")),
-                F.struct(F.col("_j").alias("a"), F.col("_i").alias("b")))
+        F.array(
+            F.struct(F.col("_i").alias("a"), F.col("_j").alias("b")),
+            F.struct(F.col("_j").alias("a"), F.col("_i").alias("b")),
+        )
     )
     name = F.array(*[F.lit(n) for n in names])
     return (

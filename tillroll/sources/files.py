@@ -11,8 +11,28 @@ from pyspark.sql import types as T
 from tillroll.model import DEFAULTS, SCHEMAS
 from tillroll.sources.tables import Tables
 
-# Field texts that mean "no value".
-NULL_TEXTS = ("", "nan", "NaN", "None", "NULL", "null", "N/A", "NA", "n/a")
+# Field texts that usual data-frame CSV readers take for "no value".
+NULL_TEXTS = (
+    "",
+    "#N/A",
+    "#N/A N/A",
+    "#NA",
+    "-1.#IND",
+    "-1.#QNAN",
+    "-NaN",
+    "-nan",
+    "1.#IND",
+    "1.#QNAN",
+    "<NA>",
+    "N/A",
+    "NA",
+    "NULL",
+    "NaN",
+    "None",
+    "n/a",
+    "nan",
+    "null",
+)
 
 
 def typed(col: Column, kind: T.DataType) -> Column:
