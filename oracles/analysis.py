@@ -81,6 +81,11 @@ CLEANED = f"""
            {outside('Unit_Price')} AS Unit_Price_Outlier FROM ({PREPARED})"""
 
 QUALITY = {
+    "s01_table_shapes": union(
+        f"""SELECT '{n}' AS table_name, COUNT(*) AS row_count, {len(schema)} AS column_count
+            FROM t_{n}"""
+        for n, schema in SCHEMAS.items()
+    ),
     "s01_csv_round_trip": f"SELECT {ITEM_COLUMNS} FROM t_order_items",
     "s07_parquet_round_trip": f"SELECT {ORDER_COLUMNS} FROM t_orders",
     "s10_view_by_name": BUSINESS["v5_state_performance"],

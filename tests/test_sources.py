@@ -82,6 +82,32 @@ def test_views_by_name(spark, star):
     assert by_name == spark.sql("SELECT SUM(Sales) AS s FROM order_items").first()[0]
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark, star, tmp_path):
+    bucketed = files.save_bucketed(star, str(tmp_path), 4, prefix="b_")
+    assert all(bucketed.values())
+    t = files.read_catalog_tables(spark, "b_")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sold = views.sold_orders(t)
+        plan = sold._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert rows_of(sold) == rows_of(views.sold_orders(star))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_hot_key_is_not_put_into_one_bucket(spark, tables, tmp_path):
+    t = tables(
+        orders=[{"Order_ID": str(i)} for i in range(9)],
+        payments=[{"Payment_ID": str(i), "Order_ID": "hot"} for i in range(9)],
+    )
+    some = Tables({"orders": t.orders, "payments": t.payments})
+    assert files.save_bucketed(some, str(tmp_path), 2, "h_", largest_key_rows=5) == {
+        "orders": True,
+        "payments": False,
+    }
+
+
 def test_unknown_table_is_refused(star):
     with pytest.raises(ValueError):
         Tables({"returns": star.orders})

@@ -294,6 +294,22 @@ def formula_violations(items: DataFrame, tolerance: float = 0.01) -> DataFrame:
     )
 
 
+def table_shapes(t: Tables) -> DataFrame:
+    """Rows and columns per table."""
+    return _stacked(
+        [
+            t[name]
+            .agg(count().alias("row_count"))
+            .select(
+                F.lit(name).alias("table_name"),
+                "row_count",
+                F.lit(len(t[name].columns)).alias("column_count"),
+            )
+            for name in t
+        ]
+    )
+
+
 def row_count_check(t: Tables, expected: Mapping[str, int]) -> DataFrame:
     """Rows per table against the expected number."""
     reports = [

@@ -154,14 +154,15 @@ def rank(
 
 def value_histogram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per column and distinct value, in one pass; equal values meet before the shuffle."""
-    pairs = [
-        F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns
-    ]
+    pairs = [F.struct(F.lit(i).alias("_i"), F.col(c).alias("value")) for i, c in enumerate(columns)]
+    names = F.array(*[F.lit(c) for c in columns])
     return settled(
-        df.select(F.inline(F.array(*pairs)))
+        df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+        .select(F.inline(F.array(*pairs)))
         .filter("value is not null")
-        .groupBy("name", "value")
+        .groupBy("_i", "value")
         .agg(F.count(F.lit(1)).alias("rows"))
+        .select(F.get(names, F.col("_i")).alias("name"), "value", "rows")
     )
 
 

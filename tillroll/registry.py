@@ -204,6 +204,7 @@ def _formula(t: Tables) -> DataFrame:
 
 
 QUALITY: dict[str, Query] = {
+    "s01_table_shapes": _on_tables(quality.table_shapes),
     "s01_csv_round_trip": _csv_round_trip,
     "s03_orders_from_text": _orders_from_text,
     "s07_parquet_round_trip": _parquet_round_trip,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.model import DEFAULTS, SCHEMAS
+from tillroll.operators import ranking
 from tillroll.sources.tables import Tables
 
 # Field texts that usual data-frame CSV readers take for "no value".
@@ -35,6 +36,19 @@ NULL_TEXTS = (
 )
 
 
+# The key each table is joined on most.
+BUCKET_KEYS = {
+    "categories": "Category_ID",
+    "products": "Product_ID",
+    "customers": "Customer_ID",
+    "orders": "Order_ID",
+    "order_items": "Order_ID",
+    "payments": "Order_ID",
+    "shipping": "Order_ID",
+    "reviews": "Order_Item_ID",
+}
+
+
 def typed(col: Column, kind: T.DataType) -> Column:
     """A text field as ``kind``; text that does not fit becomes NULL instead of an error."""
     if isinstance(kind, T.StringType):
@@ -127,6 +141,38 @@ def write_tables(tables: Tables, folder: str) -> None:
         write_table(tables[name], f"{folder}/{name}")
 
 
+def save_bucketed(
+    tables: Tables,
+    folder: str,
+    buckets: int,
+    prefix: str = "",
+    largest_key_rows: int = ranking.SINGLE_TASK_ROWS,
+) -> dict[str, bool]:
+    """Save as catalog tables, bucketed on the key their joins use; says which ones are.
+
+    Bucketed tables join and group on that key without a shuffle. A bucket is read by one task,
+    so a table with a key beyond ``largest_key_rows`` rows is saved plain: its joins then shuffle,
+    and adaptive execution can split the hot key.
+    """
+    bucketed = {}
+    for name in tables:
+        df, key = tables[name], BUCKET_KEYS[name]
+        bucketed[name] = ranking.largest_group(df, [key]) <= largest_key_rows
+        if bucketed[name]:
+            # one file per bucket
+            writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+        else:
+            writer = df.write
+        path = f"{folder}/{name}"
+        writer.mode("overwrite").option("path", path).saveAsTable(f"{prefix}{name}")
+    return bucketed
+
+
+def read_catalog_tables(spark: SparkSession, prefix: str = "") -> Tables:
+    """All eight tables from the catalog, as ``save_bucketed`` leaves them."""
+    return Tables({name: lambda _, name=name: spark.table(f"{prefix}{name}") for name in SCHEMAS})
+
+
 def write_lines(facts: DataFrame, path: str) -> None:
     """A ``(metric, value)`` frame as text, one fact per line, in its own order.
 
