@@ -48,6 +48,12 @@ def test_top_k_and_rank_limits(stored):
     assert plan_of(b.top5_products_per_category(stored)).count("WindowGroupLimit") == 2
 
 
+def test_group_values_are_broadcast_once_their_size_is_known(stored):
+    for df in (b.above_category_price(stored), b.top_spender_per_state(stored)):
+        plan = plan_of(df)
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_anti_join(stored):
     assert "LeftAnti" in plan_of(b.never_ordered_products(stored))
 

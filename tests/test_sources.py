@@ -61,9 +61,14 @@ def test_default_only_for_a_missing_column(spark):
 
 
 def test_tables_written_and_read_back(spark, star, tmp_path):
-    some = Tables({"categories": star.categories, "reviews": star.reviews})
-    files.write_tables(some, str(tmp_path))
+    names = ("categories", "reviews", "customers", "orders")
+    files.write_tables(Tables({n: star[n] for n in names}), str(tmp_path))
     back = files.read_parquet_tables(spark, str(tmp_path))
+    for money in ("Total_Spend", "Customer_Lifetime_Value"):
+        assert rows_of(back.customers, money) == rows_of(star.customers, money)
+    assert rows_of(back.orders, "Order_ID", "Total_Sales") == rows_of(
+        star.orders, "Order_ID", "Total_Sales"
+    )
     assert rows_of(back.categories) == rows_of(star.categories)
     assert rows_of(back.reviews, "Review_ID") == rows_of(star.reviews, "Review_ID")
 
