@@ -99,9 +99,8 @@ def label_codes(
         handleInvalid="keep",
     )
     coded = indexer.fit(prepared.select(*texts)).transform(prepared)
-    return coded.withColumns({f"{c}{suffix}": F.col(f"{c}{suffix}").cast("int") for c in columns}).drop(
-        *texts
-    )
+    codes = {f"{c}{suffix}": F.col(f"{c}{suffix}").cast("int") for c in columns}
+    return coded.withColumns(codes).drop(*texts)
 
 
 def engineered(cleaned: DataFrame, high_value_from: float | None = None) -> DataFrame:

@@ -15,7 +15,9 @@ def _guarded(top, bottom) -> Column:
     return F.coalesce(ratio(top, bottom), F.lit(0.0))
 
 
-def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+def confusion_counts(
+    df: DataFrame, label: str = "label", prediction: str = "prediction"
+) -> DataFrame:
     """True and false positives and negatives in one row; class 1 is positive."""
     truth, said = F.col(label) == 1, F.col(prediction) == 1
     return df.agg(

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from tillroll.functions.binning import first_match
-from tillroll.functions.dates import month_key
 from tillroll.functions.numbers import count, money, percent, ratio, real, rounded_ratio
 from tillroll.model import DISCOUNT_EDGES, DISCOUNT_TIERS
 from tillroll.operators import ranking

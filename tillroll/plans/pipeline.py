@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from tillroll.operators import churn, features, flat, modelling, sales, segmentation
 from tillroll.plans import eda
+from tillroll.session import tuned
 from tillroll.sources import files
 from tillroll.sources.tables import Tables
 
@@ -45,6 +46,8 @@ def run(
     CSV copies beside them.
     """
 
+    tuned(t.orders.sparkSession)
+
     def stored(df: DataFrame, name: str) -> DataFrame:
         files.write_table(df, f"{folder}/{name}")
         back = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")

@@ -22,6 +22,7 @@ from tillroll.operators.settle import scratch_path
 from tillroll.plans import business as b
 from tillroll.plans import eda, kpis
 from tillroll.plans import views as v
+from tillroll.session import tuned
 from tillroll.sources import files
 from tillroll.sources.star import raw_lines, star_tables
 from tillroll.sources.tables import Tables
@@ -393,7 +394,9 @@ PREDICTION: dict[str, Query] = {
     "s09_model_round_trip": _model_round_trip,
     "m01_churn_features": _churn_features,
     "m02_sales_features": _sales_features,
-    "m10_classification_metrics": _on_scores(lambda df: _rounded(metrics.classification_metrics(df))),
+    "m10_classification_metrics": _on_scores(
+        lambda df: _rounded(metrics.classification_metrics(df))
+    ),
     "m11_roc_auc": _on_scores(lambda df: _rounded(metrics.roc_auc(df))),
     "m12_classification_report": _on_scores(
         lambda df: _rounded(metrics.classification_report(df))
@@ -449,7 +452,13 @@ KPIS: dict[str, Query] = {
     ),
 }
 
-QUERIES: dict[str, Query] = {
+
+
+def _in_tuned_session(query: Query) -> Query:
+    return lambda spark, folder: query(tuned(spark), folder)
+
+
+_ALL = {
     **BUSINESS,
     **VIEWS,
     **QUALITY,
@@ -459,3 +468,5 @@ QUERIES: dict[str, Query] = {
     **PREDICTION,
     **KPIS,
 }
+
+QUERIES: dict[str, Query] = {name: _in_tuned_session(query) for name, query in _ALL.items()}

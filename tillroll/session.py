@@ -1,18 +1,25 @@
-"""Session settings used by the bench, the tests and stand-alone runs."""
+"""Session settings used by the registered queries, the pipeline, the bench and the tests."""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
+# Adaptive execution merges small partitions and splits hot join keys. The last setting lets it
+# split one also where that costs another shuffle, as before a grouping on the same key.
+ADAPTIVE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # split a hot join key even when the split costs one more shuffle behind it
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.ui.enabled": "false",
 }
+SETTINGS = {**ADAPTIVE, "spark.sql.session.timeZone": "UTC", "spark.ui.enabled": "false"}
+
+
+def tuned(spark: SparkSession) -> SparkSession:
+    """The session with hot join keys split; everything else stays as the cluster set it."""
+    for key in ("spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.forceOptimizeSkewedJoin"):
+        spark.conf.set(key, ADAPTIVE[key])
+    return spark
 
 
 def local_session(
