@@ -1,11 +1,14 @@
 """What the physical plans must and must not contain."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.conftest import SMALL
+from tillroll.operators import flat
 from tillroll.plans import business as b
 from tillroll.plans import views as v
+from tillroll.session import tuned
 from tillroll.sources import files
 
 QUERIES = entry.queries()
@@ -69,3 +72,32 @@ def test_lines_are_summed_before_the_joins(stored):
 
 def test_unused_order_totals_are_not_computed(star):
     assert "lineitem" not in plan_of(b.orders_by_payment(star))
+
+
+def test_a_hot_order_is_split_before_a_grouping_on_orders(spark, stored):
+    """A third of the lines belong to one order; adaptive execution cuts its partition."""
+    lines = stored.order_items.crossJoin(spark.range(40)).withColumn(
+        "Order_ID", F.when(F.col("id") % 3 == 0, "6").otherwise(F.col("Order_ID"))
+    )
+    hot = stored.replaced(order_items=lines.repartition(8).drop("id"))
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        tuned(spark)
+        joined = flat.flat_table(hot).groupBy("Order_ID").agg(
+            F.sum("Sales").alias("Sales"), F.max("Customer_Age").alias("Age")
+        )
+        per_order = {r["Order_ID"]: r["Sales"] for r in joined.collect()}
+        plan = plan_of(joined)
+    finally:
+        for key in small:
+            spark.conf.unset(key)
+    assert "skew=true" in plan
+    assert sum(per_order.values()) == hot.order_items.agg(F.sum("Sales")).first()[0]
