@@ -17,7 +17,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors see")
         folder = tempfile.mkdtemp(prefix="tillroll-")
         context.setCheckpointDir(folder)
