@@ -5,15 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import simhash
+from tillroll.llm import simhash, substrings
 from tillroll.llm.common import table
 
 
+def op6_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.without_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
 
 
 QUERIES = {
+    "op6_substrings": op6_substrings,
     "op9_simhash": op9_simhash,
 }
