@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import simhash, substrings
-from tillroll.llm.common import table
+from tillroll.llm import ppm, simhash, substrings
+from tillroll.llm.common import fold, table
 
 
 def op6_substrings(spark: SparkSession, folder: str) -> DataFrame:
@@ -14,6 +14,10 @@ def op6_substrings(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_ppm(spark: SparkSession, folder: str) -> DataFrame:
+    return ppm.log_probabilities(table(spark, folder, "documents"), held=fold() == 1)
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
@@ -21,5 +25,6 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op6_substrings": op6_substrings,
+    "op8_ppm": op8_ppm,
     "op9_simhash": op9_simhash,
 }
