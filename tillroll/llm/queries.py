@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import ppm, simhash, substrings
+from tillroll.llm import ppm, simhash, substrings, topk
 from tillroll.llm.common import fold, table
 
 
+def op4_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op6_substrings(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.without_repeats(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -24,6 +28,7 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_topk": op4_topk,
     "op6_substrings": op6_substrings,
     "op8_ppm": op8_ppm,
     "op9_simhash": op9_simhash,
