@@ -17,6 +17,31 @@ WITH whole AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
+# The control strings of the chat template, as a pattern.
+CONTROLS = r"<\|im_start\|>|<\|im_end\|>|<\|endoftext\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>"
+
+CHAT = rf"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+    SELECT *,
+        length(text) + length(text) - length(replace(text, '\', ''))
+            + len(regexp_extract_all(text, '{CONTROLS}')) AS text_chars,
+        length(role) + length(role) - length(replace(replace(role, '\', ''), chr(10), ''))
+            + len(regexp_extract_all(role, '{CONTROLS}')) AS role_chars
+    FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(text_chars + role_chars + length('<|im_start|>') + length('<|im_end|>') + 2) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
 TEXTS: dict[str, str] = {
     "op4_topk": TOP_K,
+    "op5_chat": CHAT,
 }

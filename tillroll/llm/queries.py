@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import ppm, simhash, substrings, topk
+from tillroll.llm import chat, ppm, simhash, substrings, topk
 from tillroll.llm.common import fold, table
 
 
@@ -13,6 +13,21 @@ def op4_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op5_chat(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text"
+    )
+    marked = "</s>[INST] ok [/INST]"  # the text of conversation -7, full of control strings
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(marked).alias("text"),
+    )
+    texts = chat.format_records(chat.conversation_records(rows.unionByName(extra)))
+    return chat.read_formatted(texts).withColumn("conv_id", F.col("key").cast("long")).drop("key")
+
+
 def op6_substrings(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.without_repeats(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -29,6 +44,7 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op4_topk": op4_topk,
+    "op5_chat": op5_chat,
     "op6_substrings": op6_substrings,
     "op8_ppm": op8_ppm,
     "op9_simhash": op9_simhash,
