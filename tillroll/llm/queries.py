@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import chat, ppm, simhash, substrings, topk
+from tillroll.llm import chat, language, ppm, simhash, substrings, topk
 from tillroll.llm.common import fold, table
 
 
+def op1_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.fit(docs, learns=fold() > 0)
+    rows = docs.select("doc_id", "text", (fold() == 0).alias("held_out"))
+    found = language.identified(rows, model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
 def op4_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -43,6 +51,7 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language": op1_language,
     "op4_topk": op4_topk,
     "op5_chat": op5_chat,
     "op6_substrings": op6_substrings,
