@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import chat, language, ppm, simhash, substrings, topk
+from tillroll.llm import chat, decontaminate, language, ppm, simhash, substrings, topk
 from tillroll.llm.common import fold, table
 
 
@@ -17,6 +17,17 @@ def op1_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
+def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.with_hits(docs, table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        (F.size("hits") > 0).alias("contaminated"),
+        F.transform("hits", lambda h: h["item_id"]).alias("item_ids"),
+        F.array_min(F.transform("hits", lambda h: h["distance"])).alias("least_distance"),
+    )
+
+
 def op4_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -52,6 +63,7 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_language": op1_language,
+    "op2_decontaminate": op2_decontaminate,
     "op4_topk": op4_topk,
     "op5_chat": op5_chat,
     "op6_substrings": op6_substrings,
