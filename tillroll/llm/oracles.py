@@ -41,7 +41,52 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+MIXING = """
+WITH RECURSIVE docs AS (
+    SELECT doc_id, source, coalesce(source, '') AS name, text,
+        md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS key
+    FROM documents
+), sources AS (
+    SELECT name, count(*) AS n,
+        CASE name WHEN 'src0' THEN 4 WHEN 'src1' THEN 3 WHEN 'src2' THEN 2 ELSE 1 END AS share
+    FROM docs GROUP BY name
+), whole AS (
+    SELECT list(name ORDER BY name) AS names, list(share ORDER BY name) AS shares, sum(share)::BIGINT AS period
+    FROM sources
+), schedule(slot, done, pick) AS (
+    SELECT -1::BIGINT, [0::BIGINT for x in shares], NULL::BIGINT FROM whole
+    UNION ALL
+    SELECT slot + 1, [done[i] + CASE WHEN i = pick THEN 1 ELSE 0 END for i in range(1, len(shares) + 1)], pick
+    FROM (
+        SELECT slot, done, shares, list_min([
+            {'due': ((done[i] + 1) * period + shares[i] - 1) // shares[i], 'i': i}
+            for i in range(1, len(shares) + 1) if done[i] * period // shares[i] <= slot + 1
+        ]).i AS pick
+        FROM schedule, whole WHERE slot + 1 < period
+    )
+), turns AS (
+    SELECT names[pick] AS name, slot AS spot, row_number() OVER (PARTITION BY pick ORDER BY slot) - 1 AS turn
+    FROM schedule, whole WHERE slot >= 0
+), lasting AS (
+    SELECT min((n // 8) * period // share) AS runs_out FROM sources, whole
+), numbered AS (
+    SELECT doc_id, source, name,
+        row_number() OVER (PARTITION BY name ORDER BY key, text) - 1 AS index
+    FROM docs
+), placed AS (
+    SELECT d.*, index // 8 AS block, share, period, runs_out, spot,
+        (index // 8) // share * period + spot AS slot
+    FROM numbered d JOIN sources USING (name), whole, lasting, turns t
+    WHERE t.name = d.name AND t.turn = (index // 8) % share
+)
+SELECT doc_id, source, block, CAST(index % 8 AS INTEGER) AS place,
+    block * period // share AS release, ((block + 1) * period + share - 1) // share AS deadline,
+    slot, slot < runs_out AS on_target
+FROM placed
+"""
+
 TEXTS: dict[str, str] = {
     "op4_topk": TOP_K,
     "op5_chat": CHAT,
+    "op7_mixing": MIXING,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import chat, decontaminate, language, ppm, simhash, substrings, topk
+from tillroll.llm import chat, decontaminate, language, mixing, ppm, simhash, substrings, topk
 from tillroll.llm.common import fold, table
 
 
@@ -52,6 +52,11 @@ def op6_substrings(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return mixing.mixed(docs).select("doc_id", "source", *mixing.ADDED)
+
+
 def op8_ppm(spark: SparkSession, folder: str) -> DataFrame:
     return ppm.log_probabilities(table(spark, folder, "documents"), held=fold() == 1)
 
@@ -67,6 +72,7 @@ QUERIES = {
     "op4_topk": op4_topk,
     "op5_chat": op5_chat,
     "op6_substrings": op6_substrings,
+    "op7_mixing": op7_mixing,
     "op8_ppm": op8_ppm,
     "op9_simhash": op9_simhash,
 }
