@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import chat, decontaminate, language, mixing, ppm, simhash, substrings, topk
+from tillroll.llm import chat, decontaminate, language, mixing, pii, ppm, simhash, substrings, topk
 from tillroll.llm.common import fold, table
 
 
@@ -28,6 +28,22 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.annotated(table(spark, folder, "documents").select("doc_id", "text"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{name}")
+        for k, name in enumerate(pii.KINDS)
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.span_text("base"), 256).alias("base_sha256"),
+        pii.span_text(F.concat("base", "found")).alias("spans"),
+        F.size("found").cast("long").alias("n_found"),
+    )
+
+
 def op4_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -69,6 +85,7 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_language": op1_language,
     "op2_decontaminate": op2_decontaminate,
+    "op3_pii": op3_pii,
     "op4_topk": op4_topk,
     "op5_chat": op5_chat,
     "op6_substrings": op6_substrings,
