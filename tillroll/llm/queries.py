@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import chat, decontaminate, language, mixing, pii, ppm, simhash, substrings, topk
+from tillroll.llm import chat, decontaminate, language, mixing, pii, ppm, simhash, substrings, topk, toxicity
 from tillroll.llm.common import fold, table
 
 
@@ -82,6 +82,13 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", (fold() == 0).alias("held_out"))
+    model = toxicity.fit(docs, table(spark, folder, "labels"), learns=fold() > 0)
+    found = toxicity.scored(docs, model)
+    return found.select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_decontaminate": op2_decontaminate,
@@ -92,4 +99,5 @@ QUERIES = {
     "op7_mixing": op7_mixing,
     "op8_ppm": op8_ppm,
     "op9_simhash": op9_simhash,
+    "op10_toxicity": op10_toxicity,
 }

@@ -18,6 +18,8 @@ IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
+LETTERS = LOWER.copy()
+LETTERS[[i for i in range(128) if not chr(i).isalnum()]] = 0x20
 
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 STEP = 0xD1B54A32D192ED03
@@ -77,9 +79,12 @@ class Words:
     bounds: np.ndarray  # words of text i are bounds[i]:bounds[i + 1]
 
 
-def words(texts: pa.Array, lower: bool = False) -> Words:
+def words(texts: pa.Array, lower: bool = False, letters: bool = False) -> Words:
+    """Words of each text; with A-Z lower-cased, or also without ASCII punctuation."""
     body, bounds = utf8(texts)
-    if lower:
+    if letters:
+        body = LETTERS[body]
+    elif lower:
         body = LOWER[body]
     inside = np.zeros(len(body) + 1, bool)
     np.logical_not(IS_SPACE[body], out=inside[:-1])
