@@ -10,44 +10,75 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import chunked, text_key
-from tillroll.llm.words import words
+from tillroll.llm.words import Words, words
 from tillroll.operators.settle import settled
 
 TRAIN_DOCS = 50_000  # labelled rows, about, that a fit reads at most
 PRIOR = 0.02  # weight of the Dirichlet prior, as a share of all counted words
-MIN_Z = 1.96  # of a word's log odds, to count at all
-DRIFT = 0.5  # taken from every word's log odds, so that ordinary text scores below zero
+MIN_Z = 1.96  # of a feature's log odds, to count at all
+BEGINNINGS = (4, 5, 6, 7, 8)  # bytes of a word's beginning that are features beside the whole word
+DRIFT = 0.1  # taken from every word's log odds, so that ordinary text scores below zero
 SIGNIFICANT = 0.05  # largest chance of a passage's score in clean text
+SLOTS = 1 << 20  # of the table that tells quickly which features are known
+
+
+def features(found: Words):
+    """Of the whole words and of each length of beginning: which words, and their hashes."""
+    yield np.arange(len(found.hashes)), found.hashes
+    for size in BEGINNINGS:
+        yield found.beginnings(size)
 
 
 @dataclass
 class Model:
-    hashes: np.ndarray  # of the words that tell, ascending
+    hashes: np.ndarray  # of the features that tell, ascending
     odds: np.ndarray
-    decay: float  # lambda of the extreme-value law of segment scores
+    certainty: np.ndarray  # absolute z of the odds
+    decay: float = 1.0  # lambda and K of the extreme-value law of segment scores in clean text
+    rate: float = 1.0
     offset: float = 0.0  # of the logistic curve from evidence to score
     slope: float = 1.0
 
-    def passages(self, texts: pa.Array):
-        """For each text its number of words and its significant segments: (first word, end, p)."""
+    def word_scores(self, found: Words) -> np.ndarray:
+        """Log odds of every word less the drift, by its most certain feature. A word that comes again
+        in its text adds nothing to what it said the first time."""
+        scores, certainty = np.zeros(len(found.hashes)), np.zeros(len(found.hashes))
+        known = np.zeros(SLOTS, bool)
+        known[(self.hashes & np.uint64(SLOTS - 1)).astype(np.int64)] = True
+        for which, hashes in features(found):
+            maybe = np.flatnonzero(known[(hashes & np.uint64(SLOTS - 1)).astype(np.int64)])
+            at = np.minimum(np.searchsorted(self.hashes, hashes[maybe]), max(len(self.hashes) - 1, 0))
+            right = self.hashes[at] == hashes[maybe] if len(self.hashes) else np.zeros(0, bool)
+            at, word = at[right], which[maybe[right]]
+            better = self.certainty[at] > certainty[word]
+            scores[word[better]] = self.odds[at[better]]
+            certainty[word[better]] = self.certainty[at[better]]
+        raised = np.flatnonzero(scores > DRIFT)
+        doc = np.searchsorted(found.bounds, raised, side="right") - 1
+        order = np.lexsort((raised, found.hashes[raised], doc))
+        h, d = found.hashes[raised][order], doc[order]
+        again = order[1:][(h[1:] == h[:-1]) & (d[1:] == d[:-1])]
+        scores[raised[again]] = 0.0
+        return scores - DRIFT
+
+    def segments(self, texts: pa.Array):
+        """For each text its number of words and its maximal-scoring segments: (first, end, score)."""
         found = words(texts, letters=True)
-        scores = np.full(len(found.hashes), -DRIFT)
-        if len(self.hashes):
-            at = np.minimum(np.searchsorted(self.hashes, found.hashes), len(self.hashes) - 1)
-            known = self.hashes[at] == found.hashes
-            scores[known] += self.odds[at[known]]
+        scores = self.word_scores(found)
         total = np.concatenate(([0.0], np.cumsum(scores)))
         raised = np.flatnonzero(scores > 0)
         cuts = np.searchsorted(raised, found.bounds)
         for lo, hi, first, end in zip(cuts, cuts[1:], found.bounds, found.bounds[1:]):
-            n = int(end - first)
-            if lo == hi:
-                yield n, []
-                continue
             places = raised[lo:hi]
-            segments = maximal_segments(places.tolist(), total[places].tolist(), total[places + 1].tolist())
-            chances = [(a - first, b - first, chance(n, self.decay * s)) for a, b, s in segments]
-            yield n, [c for c in chances if c[2] <= SIGNIFICANT]
+            kept = maximal_segments(places.tolist(), total[places].tolist(), total[places + 1].tolist()) if lo < hi else []
+            yield int(end - first), [(int(a - first), int(b - first), s) for a, b, s in kept], scores[places]
+
+    def chance(self, n: int, score: float) -> float:
+        """Probability that n words of clean text hold a segment of that score (Karlin and Altschul)."""
+        return float(-np.expm1(-self.rate * n * np.exp(-self.decay * score)))
+
+    def evidence(self, n: int, segments) -> float:
+        return float(sum(-np.log(max(self.chance(n, s), 1e-300)) for _, _, s in segments))
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.offset + self.slope * evidence, -500, 500)))
@@ -74,52 +105,53 @@ def maximal_segments(places: list[int], before: list[float], after: list[float])
     return [(a, b, high - low) for a, b, low, high in kept]
 
 
-def chance(n: int, scaled: float) -> float:
-    """Probability that n words of clean text hold a segment of that score (lambda times score)."""
-    return float(-np.expm1(-n * np.exp(-scaled)))
-
-
-def evidence(segments) -> float:
-    return float(sum(-np.log(max(p, 1e-300)) for _, _, p in segments))
+def law_of(raised: np.ndarray, segments: np.ndarray, n: int) -> tuple[float, float]:
+    """lambda and K from n words of clean text: the scores of its raised words and of its segments.
 
-
-def decay_of(odds: np.ndarray, shares: np.ndarray) -> float:
-    """lambda > 0 with sum of share * exp(lambda * score) = 1 over the words of clean text."""
-    scores = odds - DRIFT
-    if not len(scores) or scores.max() <= 0:
-        return 1.0
+    lambda > 0 makes the mean of exp(lambda * score) one; K fits the number of segments in the upper
+    half. One raised word and one segment more than seen stand for what a larger text would hold.
+    """
+    scores = np.append(raised, raised.max(initial=1.0))
+    rest = max(n + 1 - len(scores), 1)
     low, high = 0.0, 1.0
 
     def excess(x):
-        return float((shares * np.expm1(np.clip(x * scores, -700, 700))).sum())
+        return float(np.expm1(np.minimum(x * scores, 700)).sum() + rest * np.expm1(-x * DRIFT))
 
-    while excess(high) < 0 and high < 100:
+    while excess(high) < 0 and high < 64:
         low, high = high, 2 * high
     for _ in range(60):
         middle = (low + high) / 2
         low, high = (middle, high) if excess(middle) < 0 else (low, middle)
-    return max(high, 1e-3)
+    decay = max(high, 1e-3)
+    middle = float(np.median(segments)) if len(segments) else float(scores.max())
+    upper = int((segments >= middle).sum()) + 1
+    return decay, upper * float(np.exp(decay * middle)) / max(n, 1)
 
 
-def word_counts(batches):
-    """In how many texts of each label every word occurs."""
+def feature_counts(batches):
+    """With how many different words, summed over the texts of each label, every feature occurs."""
     for batch in chunked(batches):
         labels = np.asarray(batch.column(1), np.int64)
         found = words(batch.column(0), letters=True)
         doc = np.repeat(np.arange(len(batch)), np.diff(found.bounds))
         order = np.lexsort((found.hashes, doc))
         h, d = found.hashes[order], doc[order]
-        once = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])))) if len(h) else order
-        h, label = h[once], labels[d[once]]
-        order = np.argsort(h, kind="stable")
-        h, label = h[order], label[order]
-        cuts = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else order
-        if not len(cuts):
-            continue
-        toxic = np.add.reduceat(label, cuts)
-        total = np.diff(np.concatenate((cuts, [len(h)])))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(h[cuts].view(np.int64)), pa.array(toxic), pa.array(total - toxic)], ["word", "toxic", "fine"])
+        once = np.zeros(len(order), bool)
+        if len(order):
+            once[order[np.concatenate(([True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])))]] = True
+        for which, hashes in features(found):
+            use = once[which]
+            h, label = hashes[use], labels[doc[which[use]]]
+            if not len(h):
+                continue
+            order = np.argsort(h, kind="stable")
+            h, label = h[order], label[order]
+            cuts = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+            toxic = np.add.reduceat(label, cuts)
+            total = np.diff(np.concatenate((cuts, [len(h)])))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h[cuts].view(np.int64)), pa.array(toxic), pa.array(total - toxic)], ["word", "toxic", "fine"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, learns: Column, train_docs: int = TRAIN_DOCS) -> Model:
@@ -127,9 +159,10 @@ def fit(docs: DataFrame, labels: DataFrame, learns: Column, train_docs: int = TR
 
     ``labels`` has doc_id and toxic (0 or 1; 1 wins if an id has both); ``learns`` picks the ids that may be
     read. Of more than ``train_docs`` such rows a fixed share is taken by a hash of the id. Equal texts count
-    once. Three quarters of them give the log odds, with a Dirichlet prior in proportion to the words'
-    overall counts; the last quarter, scored by those, gives the logistic curve. Without both labels
-    every score is the same, at the share of toxic rows (0 without any).
+    once. Three quarters of them give the log odds of words and of their beginnings, with a Dirichlet
+    prior in proportion to the features' overall counts; the last quarter, scored by those, gives the
+    extreme-value law (from its clean texts) and the logistic curve. Without both labels every score
+    is the same, at the share of toxic rows (0 without any).
     """
     given = (
         labels.where(F.col("toxic").isin(0, 1) & learns).groupBy(F.col("doc_id").cast("long").alias("_id"))
@@ -145,43 +178,55 @@ def fit(docs: DataFrame, labels: DataFrame, learns: Column, train_docs: int = TR
     )
     last = F.pmod(F.shiftright("key", 7), F.lit(4)) == 0
     counts = settled(
-        texts.where(~last).select("text", "label").mapInArrow(word_counts, "word long, toxic long, fine long")
+        texts.where(~last).select("text", "label").mapInArrow(feature_counts, "word long, toxic long, fine long")
         .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("fine").alias("fine"))
     )
     sums = counts.agg(F.sum("toxic").alias("t"), F.sum("fine").alias("f")).first()
     n_toxic, n_fine = float(sums["t"] or 0), float(sums["f"] or 0)
     rates = texts.agg(F.count("*").alias("n"), F.sum("label").alias("t")).first()
     n, toxic_docs = rates["n"], rates["t"] or 0
+    share = min(max(toxic_docs / n if n else 0.0, 1e-6), 1 - 1e-6)
     if not 0 < toxic_docs < n or not n_toxic or not n_fine:
-        share = toxic_docs / n if n else 0.0
-        share = min(max(share, 1e-6), 1 - 1e-6)
-        return Model(np.empty(0, np.uint64), np.empty(0), 1.0, float(np.log(share / (1 - share))), 0.0)
+        nothing = np.empty(0)
+        return Model(np.empty(0, np.uint64), nothing, nothing, offset=float(np.log(share / (1 - share))), slope=0.0)
     prior = PRIOR * (n_toxic + n_fine)
     weight = PRIOR * (F.col("toxic") + F.col("fine"))
     t, f = F.col("toxic") + weight, F.col("fine") + weight
     delta = F.log(t / (n_toxic + prior - t)) - F.log(f / (n_fine + prior - f))
     telling = (
-        counts.select("word", "fine", delta.alias("odds"), (delta / F.sqrt(1 / t + 1 / f)).alias("z"))
-        .where(F.abs("z") >= MIN_Z)
-        .toArrow()  # words of a sample of at most about train_docs texts
+        counts.select("word", delta.alias("odds"), (F.abs(delta) / F.sqrt(1 / t + 1 / f)).alias("z"))
+        .where(F.col("z") >= MIN_Z)
+        .toArrow()  # features of at most about train_docs texts
     )
     hashes = np.asarray(telling["word"], np.int64).view(np.uint64)
     order = np.argsort(hashes)
-    odds = np.asarray(telling["odds"], np.float64)[order]
-    shares = (np.asarray(telling["fine"], np.float64)[order] + 0.5) / (n_fine + 0.5 * len(order))
-    rest = max(1e-9, 1.0 - shares.sum())
-    model = Model(hashes[order], odds, decay_of(np.append(odds, 0.0), np.append(shares, rest)))
+    model = Model(hashes[order], np.asarray(telling["odds"], np.float64)[order], np.asarray(telling["z"], np.float64)[order])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def weighed(batches):
         for batch in chunked(batches):
-            x = [evidence(found) for _, found in shared.value.passages(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), batch.column(1)], ["x", "label"])
-
-    points = texts.where(last).select("text", "label").mapInArrow(weighed, "x double, label long").toArrow()
-    model.offset, model.slope = logistic(
-        np.asarray(points["x"], np.float64), np.asarray(points["label"], np.float64), toxic_docs / n
+            found = list(shared.value.segments(batch.column(0)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([n for n, _, _ in found], pa.int64()), batch.column(1),
+                 pa.array([[s for _, _, s in kept] for _, kept, _ in found], pa.list_(pa.float64())),
+                 pa.array([raised for _, _, raised in found], pa.list_(pa.float64()))],
+                ["n", "label", "segments", "raised"])
+
+    tried = (
+        texts.where(last).select("text", "label")
+        .mapInArrow(weighed, "n long, label long, segments array<double>, raised array<double>")
+        .toArrow()  # a quarter of the sample, without its texts
+    )
+    size, label = np.asarray(tried["n"], np.int64), np.asarray(tried["label"], np.float64)
+    segments = [np.asarray(s, np.float64) for s in tried["segments"].to_pylist()]
+    clean = [i for i in range(len(size)) if label[i] == 0]
+    raised = tried["raised"].to_pylist()
+    model.decay, model.rate = law_of(
+        np.array([x for i in clean for x in raised[i]]), np.array([x for i in clean for x in segments[i]]),
+        int(size[clean].sum()) if clean else 0,
     )
+    x = np.array([model.evidence(m, [(0, 0, s) for s in kept]) for m, kept in zip(size, segments)])
+    model.offset, model.slope = logistic(x, label, share)
     return model
 
 
@@ -208,7 +253,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
     Words are lower-cased and without ASCII punctuation. passages has every maximal-scoring segment whose
     score clean text of that length reaches with probability ``SIGNIFICANT`` at most, as first word, end
-    word and that probability. The score follows the sum of their negative logarithms. A missing
+    word and that probability. The score follows the sum of the negative logarithms over all segments. A missing
     or empty text has no passage and the lowest score. Columns of the three names are replaced; other
     columns and repeated rows stay; an empty table gives an empty result.
     """
@@ -219,9 +264,11 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         for batch in chunked(batches):
             texts = batch.column(batch.schema.get_field_index("text"))
-            found = [segments for _, segments in shared.value.passages(texts)]
-            score = shared.value.score(np.array([evidence(s) for s in found], np.float64))
-            rows = [[{"first": int(a), "end": int(b), "p": p} for a, b, p in s] for s in found]
+            fitted = shared.value
+            found = [(n, kept) for n, kept, _ in fitted.segments(texts)]
+            score = fitted.score(np.array([fitted.evidence(n, kept) for n, kept in found], np.float64))
+            chances = [[(a, b, fitted.chance(n, s)) for a, b, s in kept] for n, kept in found]
+            rows = [[{"first": a, "end": b, "p": p} for a, b, p in c if p <= SIGNIFICANT] for c in chances]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(score), pa.array((score >= 0.5).astype(np.int32)), pa.array(rows, SEGMENTS)],
                 names=[*names, *added])

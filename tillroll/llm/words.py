@@ -61,14 +61,23 @@ class Powers:
 BYTE_POWERS, WORD_POWERS = Powers(BASE), Powers(STEP)
 
 
-def runs(values: np.ndarray, powers: Powers, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of values[start:end] for each pair: differences of one running sum, shifted to zero."""
-    up, down = powers.of(len(values) + 1)
+def running(values: np.ndarray, powers: Powers) -> np.ndarray:
+    """Sums of the values before each place, each value times its place's power."""
     total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[:-1], dtype=np.uint64, out=total[1:])
+    np.cumsum(values * powers.of(len(values) + 1)[0][:-1], dtype=np.uint64, out=total[1:])
+    return total
+
+
+def between(total: np.ndarray, powers: Powers, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the values from start to end for each pair: a difference of sums, shifted to zero."""
+    down = powers.of(len(total))[1]
     return mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def runs(values: np.ndarray, powers: Powers, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return between(running(values, powers), powers, starts, ends)
+
+
 @dataclass
 class Words:
     """Words of a run of texts, in order."""
@@ -77,6 +86,13 @@ class Words:
     ends: np.ndarray
     hashes: np.ndarray
     bounds: np.ndarray  # words of text i are bounds[i]:bounds[i + 1]
+    total: np.ndarray  # running sums of the bytes
+
+    def beginnings(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which words are longer than ``size`` bytes, and the hashes of their beginnings."""
+        longer = np.flatnonzero(self.ends - self.starts > size)
+        starts = self.starts[longer]
+        return longer, mixed(between(self.total, BYTE_POWERS, starts, starts + size) + np.uint64(STEP))
 
 
 def words(texts: pa.Array, lower: bool = False, letters: bool = False) -> Words:
@@ -92,5 +108,6 @@ def words(texts: pa.Array, lower: bool = False, letters: bool = False) -> Words:
     edge[bounds] = True
     starts = np.flatnonzero(inside[:-1] & (edge[:-1] | ~np.concatenate(([False], inside[:-2])))) if len(body) else np.empty(0, np.int64)
     ends = np.flatnonzero(inside[:-1] & (edge[1:] | ~inside[1:])) + 1 if len(body) else np.empty(0, np.int64)
-    hashes = runs(SYMBOLS[body], BYTE_POWERS, starts, ends)
-    return Words(starts, ends, hashes, np.searchsorted(starts, bounds))
+    total = running(SYMBOLS[body], BYTE_POWERS)
+    hashes = between(total, BYTE_POWERS, starts, ends)
+    return Words(starts, ends, hashes, np.searchsorted(starts, bounds), total)
