@@ -149,7 +149,17 @@ def add_hits(batches, shared):
         yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item."""
-    names = [c for c in docs.columns if c != "hits"]
-    return with_hits(docs, benchmark, error_rate).where(F.size("hits") == 0).select(*names)
+def clean(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_chars: int = MIN_CHARS) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item, with all their columns."""
+    result = docs
+    for items in item_blocks(benchmark, error_rate, min_chars):
+        shared = docs.sparkSession.sparkContext.broadcast(items)
+
+        def run(batches, shared=shared):
+            matcher = Matcher(shared.value)
+            for batch in chunked(batches):
+                texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+                yield batch.filter(pa.array([not (text and matcher.hits(text)) for text in texts], pa.bool_()))
+
+        result = result.mapInArrow(run, docs.schema)
+    return result

@@ -209,3 +209,18 @@ def identified(docs: DataFrame, model: Model | None) -> DataFrame:
         {"lang_pred": F.lit(""), "score": F.lit(0.0), "ambiguous": F.lit(False)}
     ).schema
     return given.mapInArrow(run, schema)
+
+
+def confident(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of ``docs`` whose language is found without ambiguity; all rows if nothing was learnt."""
+    if model is None:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in chunked(batches):
+            texts = batch.column(batch.schema.get_field_index("text")).fill_null("").to_pylist()
+            _, _, lead, letters = shared.value.decoded(texts)
+            yield batch.filter(pa.array(letters & (lead >= AMBIGUOUS)))
+
+    return docs.mapInArrow(run, docs.schema)

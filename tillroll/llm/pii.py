@@ -248,8 +248,10 @@ def redacted(docs: DataFrame) -> DataFrame:
     Spans that overlap become one, named by the first. n_chars, where the table has it, follows the
     text; rows without personal data stay as they are.
     """
-    names = docs.columns
-    marked = annotated(docs).select(*names, F.concat("base", "found").alias("_spans"))
+    names, aside = docs.columns, {c: f"__{c}" for c in ("base", "found") if c in docs.columns}
+    marked = annotated(docs.withColumnsRenamed(aside)).select(
+        *(F.col(aside.get(c, c)).alias(c) for c in names), F.concat(F.col("base"), F.col("found")).alias("_spans")
+    )
 
     def run(batches):
         for batch in chunked(batches):
