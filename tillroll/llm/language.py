@@ -70,19 +70,23 @@ def codewords(n: int) -> np.ndarray:
 class Model:
     languages: list[str]
     code: np.ndarray  # languages x bits
-    weights: np.ndarray  # bits x buckets: log odds of a trigram for the bit's two groups
+    weights: np.ndarray  # bits x buckets: log odds of a trigram for the bit's two groups, 0 if never seen
+    learnt: np.ndarray  # which buckets were seen
     scale: np.ndarray  # of each bit's mean log odds, so that 1 is a usual margin
     trust: np.ndarray  # languages x bits: how reliably the bit is right for the language
 
     def margins(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Mean log odds of every text and bit, and the number of its trigrams."""
+        """Mean log odds of every text and bit over the trigrams that were learnt, and the number of
+        all its trigrams."""
         grams, bounds = letter_grams(texts)
         n = np.diff(bounds)
         out = np.zeros((len(texts), len(self.weights)))
         full = np.flatnonzero(n)
         if len(full):
+            starts = bounds[:-1][full]
+            learnt = np.maximum(np.add.reduceat(self.learnt[grams].astype(np.int64), starts), 1)
             for b, row in enumerate(self.weights):
-                out[full, b] = np.add.reduceat(row[grams], bounds[:-1][full]) / n[full]
+                out[full, b] = np.add.reduceat(row[grams], starts) / learnt
         return out * self.scale, n
 
     def decoded(self, texts: list[str]):
@@ -152,7 +156,8 @@ def fit(docs: DataFrame, learns: Column) -> Model | None:
     weights = np.array([
         np.log(share[code[:, b] > 0].mean(axis=0)) - np.log(share[code[:, b] < 0].mean(axis=0)) for b in range(code.shape[1])
     ]).reshape(code.shape[1], BUCKETS)
-    model = Model(names, code, weights, np.ones(len(weights)), np.ones(code.shape))
+    learnt = counts.sum(axis=0) > 0
+    model = Model(names, code, weights * learnt, learnt, np.ones(len(weights)), np.ones(code.shape))
     if not len(weights):
         return model
     step = max(1, int(n[~grams].sum()) // CALIBRATION_DOCS)
