@@ -147,8 +147,9 @@ def discovered(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
     A context is the word, or the two words, before a seed. It becomes a pattern of the seeds' kind
     if at least ``MIN_SUPPORT`` different seeds follow it. Its confidence is the share of all its
-    occurrences, ordinary words included, that a seed or a found identifier follows. A token with some digits
-    scores the noisy-or of the confident patterns before it; scores feed the next round's confidences.
+    occurrences, ordinary words included, that a seed or a found identifier follows; possible
+    identifiers not found yet count half. A token with some digits scores the noisy-or of the
+    confident patterns before it; scores feed the next round's confidences.
     Tokens whose score ends at ``MIN_CONFIDENCE`` or more are identifiers of that kind wherever they stand
     behind one of its patterns.
     """
@@ -180,10 +181,13 @@ def discovered(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         gained = edges.select("cue", "of", "value", "n", F.lit(0.0).alias("score")) if scores is None else (
             edges.join(scores, ["value", "of"], "left").select("cue", "of", "value", "n", F.coalesce("score", F.lit(0.0)).alias("score"))
         )
-        gain = gained.groupBy("cue", "of").agg(F.sum(F.col("n") * F.col("score")).alias("gain"))
+        gain = gained.groupBy("cue", "of").agg(
+            F.sum(F.col("n") * F.col("score")).alias("gain"), F.sum(F.col("n") * (1 - F.col("score"))).alias("open")
+        )
+        right = F.col("seeds") + F.col("gain")
         trusted = (
             patterns.withColumnRenamed("kind", "of").join(gain, ["cue", "of"])
-            .withColumn("confidence", F.least((F.col("seeds") + F.col("gain")) / F.col("total"), F.lit(0.999)))
+            .withColumn("confidence", F.least(right / (F.col("total") - F.col("open") / 2), F.lit(0.999)))
             .where(F.col("confidence") >= MIN_CONFIDENCE)
             .select("cue", "of", "confidence")
         )
