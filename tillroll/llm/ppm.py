@@ -12,6 +12,7 @@ import os
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.ipc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,16 +24,37 @@ ORDER = 4  # bytes of context
 MARK = 0xFF  # before and after a text; no UTF-8 text holds this byte
 SYMBOLS = 256
 PART_BYTES = 16_000_000  # text whose distinct keys one part counts
-DENSE = 1 << 26  # entries of a direct lookup table; beyond, keys are sorted instead
+DENSE = 1 << 24  # entries of a direct lookup table; beyond, keys are sorted instead
 
 DOC, WORD, RUN = 0, 1, 2
-LAYOUT = "batch long, part long, doc_id long, held boolean, text string, keys binary, counts binary, kind int"
+LAYOUT = "batch long, part long, train_docs long, keys binary, counts binary, kind int"
 FIELDS = pa.schema([
-    ("batch", pa.int64()), ("part", pa.int64()), ("doc_id", pa.int64()), ("held", pa.bool_()),
-    ("text", pa.string()), ("keys", pa.binary()), ("counts", pa.binary()), ("kind", pa.int32()),
+    ("batch", pa.int64()), ("part", pa.int64()), ("train_docs", pa.int64()),
+    ("keys", pa.binary()), ("counts", pa.binary()), ("kind", pa.int32()),
 ])
 
 
+def packed(batch: pa.RecordBatch) -> bytes:
+    """The rows of a chunk as one compressed value."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(value: bytes) -> pa.Table:
+    return pa.ipc.open_stream(value).read_all()
+
+
+def steps(ascending: np.ndarray) -> bytes:
+    """Ascending keys as their differences, which are mostly small and so compress."""
+    return blob(np.diff(ascending, prepend=np.uint64(0)))
+
+
+def from_steps(value: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(value, np.uint64), dtype=np.uint64)
+
+
 def byte_runs(texts, order: int):
     """Of every byte and end mark: the number of its run of order + 1 bytes; the runs, ascending;
     and the places that each text has."""
@@ -45,12 +67,13 @@ def byte_runs(texts, order: int):
     places = np.concatenate(([0], np.cumsum(sizes + 1)))
     begins = np.arange(places[-1]) + np.repeat(np.arange(len(sizes)) * order, sizes + 1)
     present = np.flatnonzero(np.bincount(line, minlength=SYMBOLS))
-    narrow = np.zeros(SYMBOLS, np.int64)
+    narrow = np.zeros(SYMBOLS, np.uint8)
     narrow[present] = np.arange(len(present))
     symbols = narrow[line]
-    ids, runs = symbols[begins], present.astype(np.uint64)
+    ids, runs = symbols[begins].astype(np.int32), present.astype(np.uint64)
     for k in range(1, order + 1):
-        ids = ids * len(present) + symbols[begins + k]
+        kind = np.int32 if len(runs) * len(present) < 1 << 31 else np.int64
+        ids = ids.astype(kind) * kind(len(present)) + symbols[begins + k]
         ids, used = renumbered(ids, len(runs) * len(present))
         runs = (runs[used // len(present)] << np.uint64(8)) | present[used % len(present)].astype(np.uint64)
     ids, used = renumbered(ids, len(runs))
@@ -63,13 +86,13 @@ def renumbered(ids: np.ndarray, size: int):
         order = np.argsort(ids, kind="stable")
         ranked = ids[order]
         new = np.concatenate(([True], ranked[1:] != ranked[:-1])) if len(ids) else np.empty(0, bool)
-        out = np.empty(len(ids), np.int64)
+        out = np.empty(len(ids), np.int32)
         out[order] = np.cumsum(new) - 1
-        return out, ranked[new]
+        return out, ranked[new].astype(np.int64)
     seen = np.zeros(size, bool)
     seen[ids] = True
     used = np.flatnonzero(seen)
-    rank = np.zeros(size, np.int64)
+    rank = np.zeros(size, np.int32)
     rank[used] = np.arange(len(used))
     return rank[ids], used
 
@@ -94,14 +117,10 @@ def asked(batches, parts: int, order: int):
     """Of every chunk: its documents, and its distinct words and byte runs with training counts."""
     for batch in chunked(batches):
         name = int.from_bytes(os.urandom(8), "big") >> 1
-        n = len(batch)
-        ids, held = batch.column(0), batch.column(1)
-        texts = batch.column(2).fill_null("")
-        empty = pa.nulls(n, pa.binary())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, name)), pa.nulls(n, pa.int64()), ids, held, texts, empty, empty,
-             pa.array(np.full(n, DOC, np.int32))], schema=FIELDS)
-        learns = ~np.asarray(held, bool)
+        texts = batch.column(2)
+        learns = ~np.asarray(batch.column(1), bool)
+        row = {"batch": name, "train_docs": int(learns.sum()), "kind": DOC, "keys": packed(batch)}
+        yield pa.RecordBatch.from_pylist([row], schema=FIELDS)
         found = words(texts, lower=True)
         of_words, hashes = word_ids(found)
         of_runs, runs, places = byte_runs(texts, order)
@@ -110,7 +129,7 @@ def asked(batches, parts: int, order: int):
             part, by = part_order(keys, parts)
             cuts = np.searchsorted(part[by], np.arange(parts + 1))
             rows = [
-                {"batch": name, "part": p, "kind": kind, "keys": blob(keys[by[lo:hi]]), "counts": blob(counted[by[lo:hi]])}
+                {"batch": name, "part": p, "kind": kind, "keys": steps(keys[by[lo:hi]]), "counts": blob(counted[by[lo:hi]])}
                 for p, (lo, hi) in enumerate(zip(cuts, cuts[1:])) if hi > lo
             ]
             for lo in range(0, len(rows), 64):
@@ -119,7 +138,7 @@ def asked(batches, parts: int, order: int):
 
 def summed(group: pa.Table):
     """Distinct keys of a part, ascending, their counts, and where each request has its keys."""
-    requests = [np.frombuffer(x, np.uint64) for x in group["keys"].to_pylist()]
+    requests = [from_steps(x) for x in group["keys"].to_pylist()]
     counts = [np.frombuffer(x, np.int64) for x in group["counts"].to_pylist()]
     keys, inverse = word_ids_of(np.concatenate(requests))
     total = np.bincount(inverse, weights=np.concatenate(counts), minlength=len(keys)).astype(np.int64)
@@ -159,7 +178,7 @@ def run_scores(requests: pa.Table, scored: pa.Table) -> pa.Table:
     runs = np.asarray(scored["run"], np.int64).view(np.uint64)
     order = np.argsort(runs)
     runs, values = runs[order], np.asarray(scored["score"], np.float64)[order]
-    asked_for = [np.frombuffer(x, np.uint64) for x in requests["keys"].to_pylist()]
+    asked_for = [from_steps(x) for x in requests["keys"].to_pylist()]
     return pa.table({
         "batch": requests["batch"], "part": requests["part"],
         "values": pa.array([blob(values[np.searchsorted(runs, a)]) for a in asked_for], pa.binary()),
@@ -230,7 +249,8 @@ def trie_scores(runs: DataFrame, order: int) -> DataFrame:
 
 def scored_docs(docs: pa.Table, answers: pa.Table, order: int, train_docs: int) -> pa.Table:
     """Sums of one chunk's answers over its documents."""
-    texts = docs["text"].combine_chunks() if isinstance(docs["text"], pa.ChunkedArray) else docs["text"]
+    docs = unpacked(docs["keys"][0].as_py())
+    texts = docs["text"].combine_chunks()
 
     def lookup(kind, keys):
         mine = answers.filter(pc.equal(answers["kind"], kind)).sort_by("part")
@@ -296,12 +316,12 @@ def log_probabilities(docs: DataFrame, held: Column, order: int = ORDER) -> Data
         .unionByName(by_run.withColumn("kind", F.lit(RUN)))
         .withColumn("parts", F.lit(parts))
     )
-    texts = stored.where(F.col("kind") == DOC).select("batch", "doc_id", "held", "text")
-    train_docs = texts.where("not held").count()
+    chunks = stored.where(F.col("kind") == DOC)
+    train_docs = chunks.agg(F.sum("train_docs").alias("n")).first()["n"] or 0
     totals = by_word.agg(F.sum("types").alias("types"), F.sum("tokens").alias("tokens")).first()
     n = (totals["tokens"] or 0) + train_docs
     v = (totals["types"] or 0) + (train_docs > 0)
-    found = texts.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
+    found = chunks.select("batch", "keys").groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
         lambda left, right: scored_docs(left, right, order, train_docs),
         "doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, score double",
     )
