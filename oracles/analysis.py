@@ -2,15 +2,17 @@
 
 from oracles.business import TIER, dec, half_up, quotient
 from oracles.business import TEXTS as BUSINESS
-from tillroll.model import (
-    DOCUMENTED_ROWS,
+from oracles.facts import (
+    COLUMNS,
+    EXPECTED_ROWS,
     FOREIGN_KEYS,
     PRIMARY_KEYS,
-    SCHEMAS,
+    REQUIRED,
+    TEXT_LENGTHS,
 )
 
-ITEM_COLUMNS = ", ".join(SCHEMAS["order_items"].names)
-ORDER_COLUMNS = ", ".join(SCHEMAS["orders"].names)
+ITEM_COLUMNS = ", ".join(COLUMNS["order_items"])
+ORDER_COLUMNS = ", ".join(COLUMNS["orders"])
 
 # -- sources and quality ---------------------------------------------------------------------
 
@@ -37,9 +39,9 @@ def foreign_keys(rename=None):
 
 
 FLAT_COLUMNS = [
-    *SCHEMAS["order_items"].names,
-    *[c for c in SCHEMAS["orders"].names if c != "Order_ID"],
-    *[c for c in SCHEMAS["customers"].names if c != "Customer_ID"],
+    *COLUMNS["order_items"],
+    *[c for c in COLUMNS["orders"] if c != "Order_ID"],
+    *[c for c in COLUMNS["customers"] if c != "Customer_ID"],
     "Shipping_Mode",
     "Carrier",
     "Review_Score",
@@ -82,17 +84,25 @@ CLEANED = f"""
 
 QUALITY = {
     "s01_table_shapes": union(
-        f"""SELECT '{n}' AS table_name, COUNT(*) AS row_count, {len(schema)} AS column_count
+        f"""SELECT '{n}' AS table_name, COUNT(*) AS row_count, {len(names)} AS column_count
             FROM t_{n}"""
-        for n, schema in SCHEMAS.items()
+        for n, names in COLUMNS.items()
     ),
     "s01_csv_round_trip": f"SELECT {ITEM_COLUMNS} FROM t_order_items",
+    "s02_csv_by_header": f"""
+        SELECT {ITEM_COLUMNS} FROM (
+            SELECT * REPLACE (0::DECIMAL(4,2) AS Discount, 'No' AS Return_Flag)
+            FROM t_order_items)""",
+    "s04_csv_line_breaks": """
+        SELECT Review_ID, Order_Item_ID, Product_ID, Review_Score,
+               'say "' || Review_Text || '",' || chr(10) || 'then more' AS Review_Text, Review_Date
+        FROM t_reviews""",
     "s07_parquet_round_trip": f"SELECT {ORDER_COLUMNS} FROM t_orders",
     "s10_view_by_name": BUSINESS["v5_state_performance"],
     "s11_row_count_check": union(
         f"""SELECT '{n}' AS table_name, COUNT(*) AS actual_rows, {e}::BIGINT AS expected_rows,
             COUNT(*) = {e} AS as_expected FROM t_{n}"""
-        for n, e in DOCUMENTED_ROWS.items()
+        for n, e in EXPECTED_ROWS.items()
     ),
     "s03_orders_from_text": """
         SELECT Order_ID, Customer_ID,
@@ -109,11 +119,11 @@ QUALITY = {
         ]
     ),
     "d01_first_per_key": """
-        SELECT * EXCLUDE (l_shipdate, rn) FROM (
+        SELECT * EXCLUDE (rn) REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM (
             SELECT *, row_number() OVER (
                 PARTITION BY l_orderkey, l_linenumber
                 ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
-                         l_returnflag, l_linestatus) AS rn
+                         l_returnflag, l_linestatus, l_shipdate) AS rn
             FROM lineitem) WHERE rn = 1""",
     "d04_items_from_text": """
         SELECT Order_Item_ID, Order_ID, Product_ID, Category, Sub_Category, Brand, Quantity,
@@ -150,24 +160,22 @@ QUALITY = {
         for n, k in PRIMARY_KEYS.items()
     ),
     "d13_foreign_keys": foreign_keys(),
-    "d13_foreign_keys_dirty": foreign_keys({"order_items": "t_all_items"}),
+    "d13_foreign_keys_dirty": foreign_keys({"order_items": "t_dirty_items"}),
     "d14_scores_outside_2_to_4": """
         SELECT Review_ID, Order_Item_ID, Product_ID, Review_Score, Review_Text, Review_Date
         FROM t_reviews WHERE Review_Score < 2 OR Review_Score > 4""",
     "d15_required_columns": union(
-        f"""SELECT '{n}' AS table_name, '{f.name}' AS column_name,
-            COUNT(*) FILTER ({f.name} IS NULL) AS null_count FROM t_{n}"""
-        for n, schema in SCHEMAS.items()
-        for f in schema
-        if not f.nullable
+        f"""SELECT '{n}' AS table_name, '{c}' AS column_name,
+            COUNT(*) FILTER ({c} IS NULL) AS null_count FROM t_{n}"""
+        for n, names in REQUIRED.items()
+        for c in names
     ),
     "d15_text_lengths": union(
-        f"""SELECT '{n}' AS table_name, '{f.name}' AS column_name,
-            COUNT(*) FILTER (length({f.name}) > {f.metadata['max_length']}) AS too_long
+        f"""SELECT '{n}' AS table_name, '{c}' AS column_name,
+            COUNT(*) FILTER (length({c}) > {size}) AS too_long
             FROM t_{n}"""
-        for n, schema in SCHEMAS.items()
-        for f in schema
-        if f.metadata
+        for n, sizes in TEXT_LENGTHS.items()
+        for c, size in sizes.items()
     ),
     "d17_formula_check": """
         SELECT * FROM (
@@ -203,10 +211,18 @@ TENURE = """CAST(date_diff('day', Customer_Since, (SELECT MAX(Order_Date) FROM t
     CASE WHEN Total_Orders > 0 THEN Total_Spend::DOUBLE / Total_Orders::DOUBLE ELSE 0 END
         AS Avg_Spend_Per_Order"""
 
+# The columns that get label codes.
 ENCODED = (
-    "Category Sub_Category Payment_Method Customer_Segment Income_Group Gender State "
-    "Order_Status Shipping_Mode"
-).split()
+    "Category",
+    "Sub_Category",
+    "Payment_Method",
+    "Customer_Segment",
+    "Income_Group",
+    "Gender",
+    "State",
+    "Order_Status",
+    "Shipping_Mode",
+)
 
 
 def code(column, suffix, missing):
@@ -232,11 +248,28 @@ FEATURES = {
 
 # -- exploration -----------------------------------------------------------------------------
 
-NUMERIC = "Quantity Unit_Price Discount Sales Profit Shipping_Cost Customer_Age".split()
+# The columns of the numeric summary and of the correlation matrix.
+NUMERIC = (
+    "Quantity",
+    "Unit_Price",
+    "Discount",
+    "Sales",
+    "Profit",
+    "Shipping_Cost",
+    "Customer_Age",
+)
 CORRELATED = (
-    "Quantity Unit_Price Discount Sales Shipping_Cost Profit Customer_Age "
-    "Customer_Lifetime_Value Total_Orders Recency_Days"
-).split()
+    "Quantity",
+    "Unit_Price",
+    "Discount",
+    "Sales",
+    "Shipping_Cost",
+    "Profit",
+    "Customer_Age",
+    "Customer_Lifetime_Value",
+    "Total_Orders",
+    "Recency_Days",
+)
 
 
 def described(c):
@@ -456,6 +489,9 @@ PREDICTION = {
         FROM (VALUES (0), (1)) a(x) CROSS JOIN (VALUES (0), (1)) p(x)
         LEFT JOIN ({SCORED}) s ON s.label = a.x AND s.prediction = p.x GROUP BY 1, 2""",
     "m14_roc_points": f"""
+        SELECT 'infinity'::DOUBLE AS threshold, 0::BIGINT AS tp, 0::BIGINT AS fp, 0::DOUBLE AS fpr,
+               0::DOUBLE AS tpr
+        UNION ALL
         SELECT DISTINCT round(score, 9) AS threshold, tp::BIGINT AS tp, fp::BIGINT AS fp,
                round(fp::DOUBLE / (SELECT COUNT(*) FROM ({SCORED}) WHERE label = 0), 9) AS fpr,
                round(tp::DOUBLE / (SELECT COUNT(*) FROM ({SCORED}) WHERE label = 1), 9) AS tpr

@@ -64,6 +64,7 @@ SUMMARY = """
     FROM t_order_items i JOIN t_orders o ON i.Order_ID = o.Order_ID
     JOIN t_customers c ON o.Customer_ID = c.Customer_ID"""
 
+# The discount tiers of the reports.
 TIER = """CASE WHEN Discount = 0 THEN 'No Discount' WHEN Discount <= 0.10 THEN 'Low (0-10%)'
           WHEN Discount <= 0.20 THEN 'Medium (10-20%)' ELSE 'High (20%+)' END"""
 
@@ -77,7 +78,14 @@ TEXTS = {
     "u1_table_row_counts": " UNION ALL ".join(
         f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM t_{n}"
         for n in (
-            "categories products customers orders order_items payments shipping reviews".split()
+            "categories",
+            "products",
+            "customers",
+            "orders",
+            "order_items",
+            "payments",
+            "shipping",
+            "reviews",
         )
     ),
     "u2_view_row_counts": f"""
@@ -196,13 +204,13 @@ TEXTS = {
         FROM ({MONTHS})""",
     "q31_rank_in_category": f"""
         SELECT Category, Product_ID, {dec('SUM(Sales)')} AS Product_Sales,
-               CAST(RANK() OVER (PARTITION BY Category ORDER BY SUM(Sales) DESC) AS INTEGER)
-                   AS Rank_In_Category
+               RANK() OVER (PARTITION BY Category ORDER BY SUM(Sales) DESC) AS Rank_In_Category
         FROM t_order_items GROUP BY 1, 2""",
     "q32_order_sequence": """
         SELECT Customer_ID, Order_ID, Order_Date,
-               CAST(ROW_NUMBER() OVER (PARTITION BY Customer_ID ORDER BY Order_Date, Order_ID)
-                    AS INTEGER) AS Order_Sequence FROM t_orders""",
+               ROW_NUMBER() OVER (PARTITION BY Customer_ID ORDER BY Order_Date, Order_ID)
+                   AS Order_Sequence
+        FROM t_orders""",
     "q33_moving_avg_3m": f"""
         SELECT Year_Month, Total_Sales,
                {half_up('''(SUM(Total_Sales) OVER w)::DOUBLE / (COUNT(*) OVER w)''', 2)}

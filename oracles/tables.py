@@ -19,14 +19,10 @@ CTES = {
                DATE '1994-01-01' + CAST(p_partkey % 365 AS INTEGER) AS Launch_Date
         FROM part""",
     "t_categories": "SELECT DISTINCT Category_ID, Category, Sub_Category FROM t_products",
-    "t_kept": """
-        SELECT * FROM orders
-        WHERE o_custkey % 83 <> 0
-          AND CAST(o_orderdate AS DATE) NOT BETWEEN DATE '1997-06-01' AND DATE '1997-06-30'""",
     "t_lines": """
         SELECT l.*, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
                               CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR)) AS item_id
-        FROM lineitem l WHERE l_partkey % 97 <> 0""",
+        FROM lineitem l""",
     "t_all_items": """
         SELECT item_id AS Order_Item_ID, CAST(l_orderkey AS VARCHAR) AS Order_ID, Product_ID,
                Category, Sub_Category, Brand, CAST(l_quantity AS INTEGER) AS Quantity, Unit_Price,
@@ -42,7 +38,10 @@ CTES = {
     "t_order_items": """
         SELECT i.* EXCLUDE (Unit_Cost),
                CAST(Sales - Quantity * Unit_Cost - Shipping_Cost AS DECIMAL(12,2)) AS Profit
-        FROM t_all_items i JOIN t_kept ON l_orderkey = o_orderkey""",
+        FROM t_all_items i""",
+    "t_dirty_items": """
+        SELECT * REPLACE (CASE WHEN l_orderkey % 83 = 0 THEN 'X' || Order_ID ELSE Order_ID END
+                          AS Order_ID) FROM t_order_items""",
     "t_order_sums": """
         SELECT Order_ID, SUM(Sales) AS s, SUM(Profit) AS p, COUNT(*) AS n
         FROM t_order_items GROUP BY Order_ID""",
@@ -50,7 +49,7 @@ CTES = {
         SELECT *, CASE WHEN o_orderstatus = 'P' AND o_orderkey % 2 = 0 THEN 'Processing'
                        WHEN o_orderkey % 13 = 0 THEN 'Cancelled'
                        WHEN o_orderkey % 11 = 0 THEN 'Returned' ELSE 'Delivered' END AS st
-        FROM t_kept""",
+        FROM orders""",
     "t_orders": """
         SELECT CAST(o_orderkey AS VARCHAR) AS Order_ID, CAST(o_custkey AS VARCHAR) AS Customer_ID,
                CAST(o_orderdate AS DATE) AS Order_Date,
@@ -153,11 +152,11 @@ CTES = {
     "t_segments": """
         SELECT * EXCLUDE (pos), R_Score::VARCHAR || F_Score || M_Score AS RFM_Score,
                R_Score + F_Score + M_Score AS RFM_Total,
-               CASE WHEN least(R_Score, F_Score, M_Score) >= 4 THEN 'Champions'
-                    WHEN least(R_Score, F_Score) >= 3 THEN 'Loyal Customers'
+               CASE WHEN R_Score >= 4 AND F_Score >= 4 AND M_Score >= 4 THEN 'Champions'
+                    WHEN R_Score >= 3 AND F_Score >= 3 THEN 'Loyal Customers'
                     WHEN R_Score >= 4 AND F_Score <= 2 THEN 'New Customers'
                     WHEN R_Score <= 2 AND F_Score >= 4 THEN 'At Risk'
-                    WHEN greatest(R_Score, F_Score, M_Score) <= 2 THEN 'Lost'
+                    WHEN R_Score <= 2 AND F_Score <= 2 AND M_Score <= 2 THEN 'Lost'
                     ELSE 'Needs Attention' END AS RFM_Segment
         FROM t_scored""",
 }

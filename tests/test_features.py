@@ -96,19 +96,18 @@ def test_sample_is_exact_and_repeatable(spark):
     assert fixed_size_sample(df, "k", 5000).count() == 1000
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_stratified_split(spark, limit):
+def test_stratified_split(spark):
     df = spark.range(1003).select(
         F.col("id").alias("k"), F.when(F.col("id") % 10 < 3, 1).otherwise(0).alias("y")
     )
-    split = stratified_split(df, "k", "y", single_task_rows=limit)
+    split = stratified_split(df, "k", "y")
     shares = {(r["y"], r["is_test"]): r["count"] for r in
               split.groupBy("y", "is_test").count().collect()}
     ones = df.filter("y = 1").count()
     assert shares[1, True] == round(ones * 0.2)
     assert shares[0, True] == round((1003 - ones) * 0.2)
     assert sum(shares.values()) == 1003
-    again = stratified_split(df.repartition(5), "k", "y", single_task_rows=limit)
+    again = stratified_split(df.repartition(5), "k", "y")
     assert rows_of(split, "k", "is_test") == rows_of(again, "k", "is_test")
 
 

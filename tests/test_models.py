@@ -27,19 +27,18 @@ def test_confusion_and_metrics(scored):
     assert rows_of(metrics.confusion_matrix(scored)) == [(0, 0, 2), (0, 1, 2), (1, 0, 1), (1, 1, 3)]
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_auc_is_exact(scored, limit):
+def test_auc_is_exact(scored):
     pairs = [(p, n) for y, p in SCORED if y for z, n in SCORED if not z]
     expected = sum((p > n) + 0.5 * (p == n) for p, n in pairs) / len(pairs)
-    assert metrics.roc_auc(scored, single_task_rows=limit).first()[0] == pytest.approx(expected)
+    assert metrics.roc_auc(scored).first()[0] == pytest.approx(expected)
     evaluator = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0)
     assert evaluator.evaluate(scored) == pytest.approx(expected)
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_roc_points(scored, limit):
-    points = rows_of(metrics.roc_points(scored, single_task_rows=limit), "tp", "fp", "threshold")
-    assert points == [(1, 0, 0.9), (2, 1, 0.8), (3, 2, 0.6), (4, 3, 0.4), (4, 4, 0.1)]
+def test_roc_points(scored):
+    points = rows_of(metrics.roc_points(scored), "tp", "fp", "threshold")
+    start = (0, 0, float("inf"))
+    assert points == [start, (1, 0, 0.9), (2, 1, 0.8), (3, 2, 0.6), (4, 3, 0.4), (4, 4, 0.1)]
 
 
 def test_report(scored):

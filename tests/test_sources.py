@@ -5,7 +5,7 @@ import pytest
 
 from tests.conftest import rows_of
 from tillroll.model import FOREIGN_KEYS, PRIMARY_KEYS, SCHEMAS
-from tillroll.operators import settle
+from tillroll.operators import quality, settle
 from tillroll.plans import eda, views
 from tillroll.operators import flat
 from tillroll.sources import files
@@ -88,8 +88,7 @@ def test_views_by_name(spark, star):
 
 
 def test_bucketed_tables_join_without_a_shuffle(spark, star, tmp_path):
-    bucketed = files.save_bucketed(star, str(tmp_path), 4, prefix="b_")
-    assert all(bucketed.values())
+    files.save_bucketed(star, str(tmp_path), 4, prefix="b_")
     t = files.read_catalog_tables(spark, "b_")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -101,16 +100,78 @@ def test_bucketed_tables_join_without_a_shuffle(spark, star, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_a_hot_key_is_not_put_into_one_bucket(spark, tables, tmp_path):
+def test_only_the_named_tables_are_bucketed(spark, tables, tmp_path):
     t = tables(
         orders=[{"Order_ID": str(i)} for i in range(9)],
         payments=[{"Payment_ID": str(i), "Order_ID": "hot"} for i in range(9)],
     )
     some = Tables({"orders": t.orders, "payments": t.payments})
-    assert files.save_bucketed(some, str(tmp_path), 2, "h_", largest_key_rows=5) == {
-        "orders": True,
-        "payments": False,
+    files.save_bucketed(some, str(tmp_path), 2, "h_", bucketed=["orders"])
+    kinds = {
+        name: spark.sql(f"DESCRIBE EXTENDED h_{name}").filter("col_name = 'Num Buckets'").count()
+        for name in ("orders", "payments")
     }
+    assert kinds == {"orders": 1, "payments": 0}
+    assert spark.table("h_payments").count() == 9
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Category,Category_ID,Sub_Category\nPhones,C1,Smart\n")
+    df = files.read_csv(spark, str(tmp_path / "a.csv"), "categories")
+    assert [tuple(r) for r in df.collect()] == [("C1", "Phones", "Smart")]
+
+
+def test_csv_without_some_columns_takes_defaults(spark, tmp_path):
+    (tmp_path / "i.csv").write_text(
+        "Sales,Order_Item_ID,Order_ID,Product_ID,Category,Sub_Category,Brand,Quantity,Unit_Price,Shipping_Cost,Profit\n"
+        "20.00,i,o,p,c,s,b,2,10.00,1.00,5.00\n"
+    )
+    row = files.read_csv(spark, str(tmp_path / "i.csv"), "order_items").first()
+    assert (row["Discount"], row["Return_Flag"]) == (D("0.00"), "No")
+    assert (row["Sales"], row["Shipping_Cost"], row["Profit"]) == (D("20.00"), D("1.00"), D("5.00"))
+
+
+def test_csv_line_breaks_in_texts(spark, tmp_path):
+    (tmp_path / "r.csv").write_text(
+        "Review_ID,Order_Item_ID,Product_ID,Review_Score,Review_Text,Review_Date\n"
+        'r1,i1,p,5,"line one\nline ""two""",2024-01-31\nr2,i2,p,4,plain,\n'
+    )
+    path = str(tmp_path / "r.csv")
+    rows = files.read_csv(spark, path, "reviews").orderBy("Review_ID").collect()
+    assert [r["Review_Text"] for r in rows] == ['line one\nline "two"', "plain"]
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        files.read_csv(spark, path, "reviews", multiline=False).collect()
+
+
+def test_csv_with_an_unknown_column_or_a_short_row_is_an_error(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("Category,Category_ID,Extra\na,b,c\n")
+    with pytest.raises(ValueError, match="Extra"):
+        files.read_csv(spark, str(tmp_path / "x.csv"), "categories")
+    (tmp_path / "y.csv").write_text("Category,Category_ID,Sub_Category\na,b\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        files.read_csv(spark, str(tmp_path / "y.csv"), "categories").collect()
+
+
+def test_whole_numbers(spark):
+    from pyspark.sql import functions as F
+
+    texts = ["3", "3.0", " 3 ", "3.7", "x", "", None, "99999999999"]
+    df = spark.createDataFrame([(t,) for t in texts], "Delivery_Days string")
+    expected = [3, 3, 3, None, None, None, None, None]
+    read = files.from_text(df.withColumn("Order_ID", F.monotonically_increasing_id()), "orders")
+    assert [r["Delivery_Days"] for r in read.collect()] == expected
+    coerced = quality.to_numbers(df, {"Delivery_Days": "int"})
+    assert [r["Delivery_Days"] for r in coerced.collect()] == expected
+
+
+def test_dates_in_several_formats(spark):
+    df = spark.createDataFrame([("2024-01-31",), ("01/31/2024",), ("Jan 31, 2024",), ("31.31.2024",), (None,)], "d string")
+    day = datetime.date(2024, 1, 31)
+    assert [r["d"] for r in quality.to_dates(df, ["d"]).collect()] == [day, None, None, None, None]
+    formats = ["yyyy-MM-dd", "MM/dd/yyyy", "MMM d, yyyy"]
+    assert [r["d"] for r in quality.to_dates(df, ["d"], formats).collect()] == [day, day, day, None, None]
+    lost = quality.lost_values(df, quality.to_dates(df, ["d"], formats), ["d"])
+    assert rows_of(lost) == [("d", 1)]
 
 
 def test_unknown_table_is_refused(star):

@@ -53,18 +53,23 @@ def roc_points(
     df: DataFrame,
     label: str = "label",
     score: str = "score",
-    single_task_rows: int = ranking.SINGLE_TASK_ROWS,
 ) -> DataFrame:
-    """False and true positive rate for every distinct score used as threshold."""
+    """False and true positive rate for every distinct score used as threshold.
+
+    The curve starts at (0, 0), where the threshold is above every score: infinity.
+    """
     levels = scores_by_value(df, label, score)
     upto = ranking.running_totals(
         levels,
         [F.desc("threshold")],
         {"tp": F.col("_pos"), "fp": F.col("_neg")},
-        single_task_rows=single_task_rows,
     )
     positives, negatives = levels.agg(F.sum("_pos")).scalar(), levels.agg(F.sum("_neg")).scalar()
-    return upto.select(
+    none = F.lit(0).cast("bigint")
+    start = levels.sparkSession.range(1).select(
+        F.lit(float("inf")).alias("threshold"), none.alias("tp"), none.alias("fp")
+    )
+    return upto.select("threshold", "tp", "fp").unionByName(start).select(
         "threshold",
         "tp",
         "fp",
@@ -77,12 +82,11 @@ def roc_auc(
     df: DataFrame,
     label: str = "label",
     score: str = "score",
-    single_task_rows: int = ranking.SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Chance that a positive outscores a negative, ties counting half: exact, in one row."""
     levels = scores_by_value(df, label, score)
     upto = ranking.running_totals(
-        levels, [F.desc("threshold")], {"tp": F.col("_pos")}, single_task_rows=single_task_rows
+        levels, [F.desc("threshold")], {"tp": F.col("_pos")}
     )
     won = F.col("_neg") * (real("tp") - real("_pos") / 2)
     return upto.agg(

@@ -12,8 +12,10 @@ from pyspark.sql import types as T
 from tillroll.functions.numbers import count, ratio, real
 from tillroll.model import FOREIGN_KEYS, PRIMARY_KEYS, REVIEW_SCORES, SCHEMAS
 from tillroll.operators import ranking
+from tillroll.sources.files import whole_number
 from tillroll.sources.tables import Tables
 
+# Columns that may be empty, are checked for outliers, are trimmed.
 MAY_BE_NULL = ("Ship_Date", "Shipping_Mode", "Carrier", "Delivery_Days", "Review_Score")
 OUTLIER_COLUMNS = ("Sales", "Profit", "Unit_Price")
 TRIMMED = ("Category", "Sub_Category", "Brand", "State", "City", "Payment_Method")
@@ -82,14 +84,41 @@ def without_duplicates(
 # -- types and text --------------------------------------------------------------------------
 
 
-def to_dates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Dates; whatever is not a date becomes NULL."""
-    return df.withColumns({c: F.col(c).try_cast("date") for c in columns if c in df.columns})
+def to_dates(
+    df: DataFrame, columns: Sequence[str], formats: Sequence[str] = ()
+) -> DataFrame:
+    """Dates: ISO, or the first of ``formats`` that fits; whatever is not a date becomes NULL."""
+
+    def day(c: str) -> Column:
+        if df.schema[c].dataType == T.DateType():
+            return F.col(c)
+        plain = F.col(c).try_cast("date")
+        text = F.trim(F.col(c).cast("string"))
+        return F.coalesce(plain, *[F.try_to_timestamp(text, F.lit(f)).cast("date") for f in formats])
+
+    return df.withColumns({c: day(c) for c in columns if c in df.columns})
+
+
+def lost_values(before: DataFrame, after: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """How many present values of each column a coercion turned into NULL (empty text is missing)."""
+    present = {c: F.count_if(F.trim(F.col(c).cast("string")) != "") for c in columns}
+    was = count_per_column(before, present, "column_name", "_before")
+    now = count_per_column(after, present, "column_name", "_after")
+    return was.join(now, "column_name").select(
+        "column_name", (F.col("_before") - F.col("_after")).alias("lost")
+    )
 
 
 def to_numbers(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Numbers of the given types; whatever is not a number becomes NULL."""
-    return df.withColumns({c: F.col(c).try_cast(kind) for c, kind in types.items()})
+    """Numbers of the given types; whatever is not such a number becomes NULL, a fraction too where
+    a whole number is asked for ("3.0" is whole)."""
+
+    def number(c: str, kind: str) -> Column:
+        if kind in ("int", "bigint") and df.schema[c].dataType == T.StringType():
+            return whole_number(F.trim(F.col(c)), kind)
+        return F.col(c).try_cast(kind)
+
+    return df.withColumns({c: number(c, kind) for c, kind in types.items()})
 
 
 def trimmed(df: DataFrame, columns: Sequence[str] = TRIMMED) -> DataFrame:

@@ -1,9 +1,8 @@
 """Running totals, row numbers, ranks, buckets and quantiles that survive a hot group.
 
-A plain Spark window sorts each group in one task. That is the fastest way while the largest
-group is small, so every function first counts the largest group. Beyond ``SINGLE_TASK_ROWS``
-the rows are range-partitioned on the whole sort key instead, which cuts a hot group over many
-tasks, and the totals of the earlier slices are carried into the later ones.
+A plain Spark window sorts each group in one task. Here the rows are range-partitioned on the whole
+sort key instead, which cuts a hot group over many tasks, and the totals of the earlier slices are
+carried into the later ones. There is one way for every size.
 """
 
 from __future__ import annotations
@@ -17,17 +16,8 @@ from pyspark.sql.window import Window as W
 
 from tillroll.operators.settle import settled
 
-SINGLE_TASK_ROWS = 1_000_000
 
-
-def largest_group(df: DataFrame, within: Sequence[str] = ()) -> int:
-    """Row count of the largest group; partial counts are combined before the shuffle."""
-    if not within:
-        return df.count()
-    return df.groupBy(*within).count().agg(F.max("count")).first()[0] or 0
-
-
-def sliced_totals(
+def running_totals(
     df: DataFrame,
     order_by: Sequence[Column],
     totals: Mapping[str, Column],
@@ -74,34 +64,14 @@ def sliced_totals(
     )
 
 
-def running_totals(
-    df: DataFrame,
-    order_by: Sequence[Column],
-    totals: Mapping[str, Column],
-    within: Sequence[str] = (),
-    single_task_rows: int = SINGLE_TASK_ROWS,
-) -> DataFrame:
-    """Sums up to and with each row, by a plain window if every group is small enough."""
-    if largest_group(df, within) > single_task_rows:
-        return sliced_totals(df, order_by, totals, within)
-    so_far = (
-        W.partitionBy(*within).orderBy(*order_by).rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    return df.withColumns({out: F.sum(weight).over(so_far) for out, weight in totals.items()})
-
-
 def row_number(
     df: DataFrame,
     order_by: Sequence[Column],
     out: str,
     within: Sequence[str] = (),
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """1-based position by ``order_by`` (unique), per group if ``within`` names columns."""
-    if largest_group(df, within) <= single_task_rows:
-        return df.withColumn(out, F.row_number().over(W.partitionBy(*within).orderBy(*order_by)))
-    numbered = sliced_totals(df, order_by, {out: F.lit(1).cast("bigint")}, within)
-    return numbered.withColumn(out, F.col(out).cast("int"))
+    return running_totals(df, order_by, {out: F.lit(1).cast("bigint")}, within)
 
 
 def ntile(
@@ -109,16 +79,13 @@ def ntile(
     buckets: int,
     order_by: Sequence[Column],
     out: str,
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """``buckets`` groups of equal size; the first ones hold one row more if needed."""
     rows = df.count()
-    if rows <= single_task_rows:
-        return df.withColumn(out, F.ntile(buckets).over(W.partitionBy().orderBy(*order_by)))
     size, longer = divmod(rows, buckets)
     edge = longer * (size + 1)
     position = F.col(out) - 1
-    return sliced_totals(df, order_by, {out: F.lit(1).cast("bigint")}).withColumn(
+    return running_totals(df, order_by, {out: F.lit(1).cast("bigint")}).withColumn(
         out,
         F.when(position < edge, F.floor(position / (size + 1)) + 1)
         .otherwise(longer + F.floor((position - edge) / max(size, 1)) + 1)
@@ -132,19 +99,15 @@ def rank(
     out: str,
     within: Sequence[str] = (),
     dense: bool = False,
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Rank by ``value`` descending; equal values share a rank, with or without gaps after."""
-    if largest_group(df, within) <= single_task_rows:
-        window = W.partitionBy(*within).orderBy(F.col(value).desc())
-        return df.withColumn(out, (F.dense_rank() if dense else F.rank()).over(window))
     keys = [*within, value]
     levels = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     weight = F.lit(1).cast("bigint") if dense else F.col("_rows")
-    ranked = sliced_totals(levels, [F.col(value).desc()], {"_upto": weight}, within)
+    ranked = running_totals(levels, [F.col(value).desc()], {"_upto": weight}, within)
     position = F.col("_upto") if dense else F.col("_upto") - F.col("_rows") + 1
     ranks = ranked.select(
-        *[F.col(k).alias(f"_r_{k}") for k in keys], position.cast("int").alias(out)
+        *[F.col(k).alias(f"_r_{k}") for k in keys], position.cast("bigint").alias(out)
     )
     same = F.lit(True)
     for k in keys:
@@ -170,18 +133,16 @@ def quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> dict[str, list[float | None]]:
     """Exact quantiles with linear interpolation, for all columns in one pass over ``df``."""
     counted = value_histogram(df, columns)
-    return histogram_quantiles(counted, columns, probabilities, single_task_rows)
+    return histogram_quantiles(counted, columns, probabilities)
 
 
 def histogram_quantiles(
     counted: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> dict[str, list[float | None]]:
     """Quantiles from a value histogram; only the requested points come to the driver."""
     sizes = {
@@ -190,9 +151,7 @@ def histogram_quantiles(
         .agg(F.count(F.lit(1)).alias("levels"), F.sum("rows").alias("total"))
         .collect()
     }
-    ordered = running_totals(
-        counted, [F.col("value")], {"upto": F.col("rows")}, ["name"], single_task_rows
-    )
+    ordered = running_totals(counted, [F.col("value")], {"upto": F.col("rows")}, ["name"])
     wanted = {}
     for name, (_, total) in sizes.items():
         for i, p in enumerate(probabilities):

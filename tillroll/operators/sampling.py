@@ -36,7 +36,6 @@ def stratified_split(
     label: str,
     test_share: float = 0.2,
     seed: int = SEED,
-    single_task_rows: int = ranking.SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Adds ``is_test``: true for the same share, rounded, of each label's rows."""
     sizes = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
@@ -45,7 +44,6 @@ def stratified_split(
         [F.col("_pick"), F.col(key)],
         "_position",
         within=[label],
-        single_task_rows=single_task_rows,
     )
     chain = F.lit(False)
     for value, rows in sizes.items():

@@ -13,6 +13,7 @@ from tillroll.functions.binning import first_match, quantile_bins
 from tillroll.functions.numbers import count, money, real, share_of_total
 from tillroll.model import SEED
 from tillroll.operators import ranking
+from tillroll.operators.quality import first_per_key
 from tillroll.operators.settle import settled
 
 ATTRIBUTES = (
@@ -56,31 +57,31 @@ def rfm_table(lines: DataFrame, customers: DataFrame | None = None) -> DataFrame
         money("_sales").alias("Monetary"),
     )
     if customers is None:
-        # equal rows meet before the shuffle; a customer with contradicting rows keeps one
-        attributes = lines.select("Customer_ID", *ATTRIBUTES).distinct()
-        customers = attributes.dropDuplicates(["Customer_ID"])
+        # equal rows meet before the shuffle; of contradicting rows a customer keeps the first in order
+        customers = first_per_key(lines.select("Customer_ID", *ATTRIBUTES), "Customer_ID")
     return rfm.join(customers.select("Customer_ID", *ATTRIBUTES), "Customer_ID", "left")
 
 
 def segment_of(r: Column, f: Column, m: Column) -> Column:
-    """The six segments; the first rule that holds decides."""
+    """The six segments; the first rule that holds decides. A missing score meets no condition on it."""
+    # The rules and their names.
     rules = [
-        (F.least(r, f, m) >= 4, "Champions"),
-        (F.least(r, f) >= 3, "Loyal Customers"),
+        ((r >= 4) & (f >= 4) & (m >= 4), "Champions"),
+        ((r >= 3) & (f >= 3), "Loyal Customers"),
         ((r >= 4) & (f <= 2), "New Customers"),
         ((r <= 2) & (f >= 4), "At Risk"),
-        (F.greatest(r, f, m) <= 2, "Lost"),
+        ((r <= 2) & (f <= 2) & (m <= 2), "Lost"),
     ]
     return first_match(rules, "Needs Attention")
 
 
-def score_rfm(rfm: DataFrame, single_task_rows: int = ranking.SINGLE_TASK_ROWS) -> DataFrame:
+def score_rfm(rfm: DataFrame) -> DataFrame:
     """Adds quintile scores (5 is best), their text and sum, and the segment.
 
     Frequency has many ties, so its score follows the position by frequency and customer.
     """
     rfm = settled(rfm)
-    cuts = ranking.quantiles(rfm, ["Recency", "Monetary"], QUINTILES, single_task_rows)
+    cuts = ranking.quantiles(rfm, ["Recency", "Monetary"], QUINTILES)
     rows = rfm.count()
     positions = [1 + (rows - 1) * p for p in QUINTILES]
     if not rows:
@@ -89,7 +90,6 @@ def score_rfm(rfm: DataFrame, single_task_rows: int = ranking.SINGLE_TASK_ROWS)
         rfm,
         [F.col("Frequency"), F.col("Customer_ID")],
         "_position",
-        single_task_rows=single_task_rows,
     )
     r, f, m = F.col("R_Score"), F.col("F_Score"), F.col("M_Score")
     return (

@@ -343,26 +343,22 @@ def _product_sales(t: Tables, out: str) -> DataFrame:
     return t.order_items.groupBy("Category", "Product_ID").agg(money(F.sum("Sales")).alias(out))
 
 
-def rank_in_category(
-    t: Tables, single_task_rows: int = ranking.SINGLE_TASK_ROWS
-) -> DataFrame:
+def rank_in_category(t: Tables) -> DataFrame:
     # one row per product, kept because the ranking reads it twice
     return ranking.rank(
         settled(_product_sales(t, "Product_Sales")),
         "Product_Sales",
         "Rank_In_Category",
         within=["Category"],
-        single_task_rows=single_task_rows,
     )
 
 
-def order_sequence(t: Tables, single_task_rows: int = ranking.SINGLE_TASK_ROWS) -> DataFrame:
+def order_sequence(t: Tables) -> DataFrame:
     return ranking.row_number(
         t.orders.select("Customer_ID", "Order_ID", "Order_Date"),
         [F.col("Order_Date"), F.col("Order_ID")],
         "Order_Sequence",
         within=["Customer_ID"],
-        single_task_rows=single_task_rows,
     )
 
 
@@ -400,15 +396,12 @@ def top3_customers_per_state(t: Tables, n: int = 3) -> DataFrame:
     )
 
 
-def spend_quartile(
-    t: Tables, buckets: int = 4, single_task_rows: int = ranking.SINGLE_TASK_ROWS
-) -> DataFrame:
+def spend_quartile(t: Tables, buckets: int = 4) -> DataFrame:
     return ranking.ntile(
         t.customers.select("Customer_ID", "Total_Spend"),
         buckets,
         [F.desc("Total_Spend"), F.col("Customer_ID")],
         "Spend_Quartile",
-        single_task_rows=single_task_rows,
     )
 
 

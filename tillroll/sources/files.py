@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.model import DEFAULTS, SCHEMAS
-from tillroll.operators import ranking
 from tillroll.sources.tables import Tables
 
 # Field texts that usual data-frame CSV readers take for "no value".
@@ -55,11 +54,16 @@ def typed(col: Column, kind: T.DataType) -> Column:
         return col
     clean = F.trim(col)
     if isinstance(kind, T.IntegerType):
-        # "3.0" is how a whole-number column with gaps is often written
-        return clean.try_cast("decimal(20,4)").try_cast("int")
+        return whole_number(clean)
     return clean.try_cast(kind)
 
 
+def whole_number(col: Column, kind: str = "int") -> Column:
+    """Text as a whole number: "3.0" is 3, as whole numbers with gaps are often written; "3.7" is NULL."""
+    number = col.try_cast("decimal(38,9)")
+    return F.when(number == F.floor(number), F.floor(number)).try_cast(kind)
+
+
 def null_texts_removed(col: Column, null_texts: Iterable[str] = NULL_TEXTS) -> Column:
     return F.when(~F.trim(col).isin(*null_texts), col)
 
@@ -82,6 +86,10 @@ def from_text(df: DataFrame, table: str, null_texts: Iterable[str] = NULL_TEXTS)
     return df.select(*columns)
 
 
+# Tables whose texts may hold line breaks; their files are read whole, each by one task.
+FREE_TEXT = ("reviews",)
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -90,22 +98,38 @@ def read_csv(
     sep: str = ",",
     quote: str = '"',
     header: bool = True,
+    multiline: bool | None = None,
     null_texts: Iterable[str] = NULL_TEXTS,
 ) -> DataFrame:
-    """One table from CSV. ``columns`` names the fields in file order (default: the schema's)."""
-    names = list(columns or SCHEMAS[table].names)
+    """One table from CSV, its columns found by the names in the header line, in any order.
+
+    A column that the file lacks gets its default; a name that the table lacks is an error, as is a
+    second file whose header differs, and a row with too few or too many fields fails the query. Without
+    a header, or with ``columns``, the fields are taken by position (default: the schema's order).
+    ``multiline`` allows line breaks within quotes, which keeps Spark from splitting a file; unless
+    given it holds for the tables of ``FREE_TEXT``.
+    """
+    options = {
+        "sep": sep,
+        "quote": quote,
+        "escape": quote,
+        "header": header,
+        "multiLine": table in FREE_TEXT if multiline is None else multiline,
+    }
+    known = {c.lower(): c for c in SCHEMAS[table].names}
+    by_name = header and columns is None
+    if by_name:
+        names = spark.read.csv(path, **options).columns
+        unknown = [n for n in names if n.strip().lower() not in known]
+        if unknown:
+            raise ValueError(f"{table} has no column {', '.join(unknown)}")
+    else:
+        names = list(columns or SCHEMAS[table].names)
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    raw = spark.read.csv(
-        path,
-        schema=text,
-        sep=sep,
-        quote=quote,
-        escape=quote,
-        header=header,
-        enforceSchema=True,
-        multiLine=False,
-    )
-    return from_text(raw, table, null_texts)
+    # without pruning, so that the number of fields is checked whatever columns a query asks for
+    reader = spark.read.schema(text).option("columnPruning", False)
+    raw = reader.csv(path, enforceSchema=not by_name, mode="FAILFAST", **options)
+    return from_text(raw.toDF(*[n.strip() for n in names]), table, null_texts)
 
 
 def read_csv_tables(spark: SparkSession, folder: str, **options) -> Tables:
@@ -146,26 +170,24 @@ def save_bucketed(
     folder: str,
     buckets: int,
     prefix: str = "",
-    largest_key_rows: int = ranking.SINGLE_TASK_ROWS,
-) -> dict[str, bool]:
-    """Save as catalog tables, bucketed on the key their joins use; says which ones are.
+    bucketed: Iterable[str] = tuple(BUCKET_KEYS),
+) -> None:
+    """Save as catalog tables, those named in ``bucketed`` bucketed on the key their joins use.
 
-    Bucketed tables join and group on that key without a shuffle. A bucket is read by one task,
-    so a table with a key beyond ``largest_key_rows`` rows is saved plain: its joins then shuffle,
-    and adaptive execution can split the hot key.
+    Bucketed tables join and group on that key without a shuffle. A bucket is read by one task, so a
+    table with a hot key is better left out: its joins then shuffle, and adaptive execution can split
+    the key.
     """
-    bucketed = {}
+    chosen = set(bucketed)
     for name in tables:
         df, key = tables[name], BUCKET_KEYS[name]
-        bucketed[name] = ranking.largest_group(df, [key]) <= largest_key_rows
-        if bucketed[name]:
+        if name in chosen:
             # one file per bucket
             writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
         else:
             writer = df.write
         path = f"{folder}/{name}"
         writer.mode("overwrite").option("path", path).saveAsTable(f"{prefix}{name}")
-    return bucketed
 
 
 def read_catalog_tables(spark: SparkSession, prefix: str = "") -> Tables:

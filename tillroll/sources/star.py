@@ -33,7 +33,7 @@ FILES = {
 
 
 def star_tables(spark: SparkSession, folder: str, orphans: bool = False) -> Tables:
-    """The eight tables; with ``orphans`` the lines of left-out orders stay in order_items."""
+    """The eight tables; with ``orphans`` some lines name orders that do not exist."""
     star = _Star(spark, folder, orphans)
 
     def declared(table: str, frame: str):
@@ -98,21 +98,9 @@ class _Star:
         )
 
     @cached_property
-    def kept_orders(self) -> DataFrame:
-        """Orders without some customers and without one month, to have gaps in the data."""
-        day = F.col("o_orderdate").cast("date")
-        return self._read("orders").filter(
-            (F.col("o_custkey") % 83 != 0) & ~day.between("1997-06-01", "1997-06-30")
-        )
-
-    @cached_property
-    def sold_lines(self) -> DataFrame:
-        """Lines of kept orders, without some products, so that a few are never ordered."""
-        lines = self._read("lineitem").filter(F.col("l_partkey") % 97 != 0)
-        if self._orphans:
-            return lines
-        kept = self.kept_orders.select("o_orderkey")
-        return lines.join(kept, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+    def _order_id(self):
+        key = F.col("l_orderkey").cast("string")
+        return F.when(F.col("l_orderkey") % 83 == 0, F.concat(F.lit("X"), key)).otherwise(key) if self._orphans else key
 
     @cached_property
     def _line_id(self):
@@ -133,12 +121,12 @@ class _Star:
         shipping = (F.lit(5) + F.col("l_orderkey") % 20).cast("decimal(8,2)")
         returned = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") % 3 == 0)
         return (
-            self.sold_lines.join(product, F.col("l_partkey") == F.col("p_partkey"))
+            self._read("lineitem").join(product, F.col("l_partkey") == F.col("p_partkey"))
             .select("*", sales.alias("Sales"), shipping.alias("Shipping_Cost"))
             .select(
                 "l_orderkey",
                 self._line_id.alias("Order_Item_ID"),
-                F.col("l_orderkey").cast("string").alias("Order_ID"),
+                self._order_id.alias("Order_ID"),
                 "Product_ID",
                 "Category",
                 "Sub_Category",
@@ -170,7 +158,7 @@ class _Star:
             .otherwise("Delivered")
         )
         shipped = ~status.isin("Processing", "Cancelled")
-        return self.kept_orders.join(
+        return self._read("orders").join(
             totals, F.col("o_orderkey") == F.col("l_orderkey"), "left"
         ).select(
             "o_orderkey",
@@ -262,7 +250,7 @@ class _Star:
     def reviews(self) -> DataFrame:
         part = F.col("l_partkey")
         product = part.cast("string")
-        return self.sold_lines.filter((F.col("l_linenumber") + part) % 2 == 0).select(
+        return self._read("lineitem").filter((F.col("l_linenumber") + part) % 2 == 0).select(
             F.concat(F.lit("R"), self._line_id).alias("Review_ID"),
             self._line_id.alias("Order_Item_ID"),
             product.alias("Product_ID"),
