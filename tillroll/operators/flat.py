@@ -40,9 +40,9 @@ def _with_suffix(right: DataFrame, names: list[str], key: str, suffix: str) -> D
 def flat_table(t: Tables) -> DataFrame:
     """Lines with order, customer, shipment and mean review: 41 columns.
 
-    Shipments and customers meet the orders first, so the lines are shuffled only twice: once by
-    order and, if the review is used at all, once by line. Several shipments of an order repeat
-    its lines.
+    Shipments and customers meet the orders first, so the lines are shuffled only twice: if the review
+    is used at all, once by line, with the columns of order_items only, and once by order. Several
+    shipments of an order repeat its lines.
     """
     items = _declared(t, "order_items")
     orders = _declared(t, "orders")
@@ -74,9 +74,10 @@ def flat_table(t: Tables) -> DataFrame:
         "Carrier",
         "Review_Score",
     ]
+    # the review mean meets the lines while they are narrow
     return (
-        items.join(context, "Order_ID", "left")
-        .join(reviews, "Order_Item_ID", "left")
+        items.join(reviews, "Order_Item_ID", "left")
+        .join(context, "Order_ID", "left")
         .select(*names)
     )
 

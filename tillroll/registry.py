@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from tillroll.model import DOCUMENTED_ROWS, PRIMARY_KEYS
 from tillroll.operators import (
@@ -18,7 +19,7 @@ from tillroll.operators import (
     sales,
     segmentation,
 )
-from tillroll.operators.settle import scratch_path
+from tillroll.operators.settle import scratch_path, settled
 from tillroll.plans import business as b
 from tillroll.plans import eda, kpis
 from tillroll.plans import views as v
@@ -311,8 +312,43 @@ def _scored(spark: SparkSession, folder: str) -> DataFrame:
     return segmentation.score_rfm(_rfm(spark, folder))
 
 
+def _once(make: Callable[..., object]) -> Callable[..., object]:
+    """Fits of one session and folder, made once and used by all queries that show them."""
+    kept: dict = {}
+
+    def shared(spark: SparkSession, folder: str):
+        key = (spark.sparkContext.applicationId, folder)
+        if key not in kept:
+            kept[key] = make(spark, folder)
+        return kept[key]
+
+    return shared
+
+
+@_once
 def _clustered(spark: SparkSession, folder: str) -> DataFrame:
-    return segmentation.clustered(_scored(spark, folder))
+    return settled(segmentation.clustered(_scored(spark, folder)))
+
+
+@_once
+def _elbow(spark: SparkSession, folder: str) -> DataFrame:
+    return segmentation.elbow(_rfm(spark, folder))
+
+
+def _clusters_check(spark: SparkSession, folder: str) -> DataFrame:
+    """What must hold for any clustering: each customer once, no empty cluster, numbers by value."""
+    profile = _clustered(spark, folder).groupBy("Cluster").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("Customer_ID").alias("ids"),
+        F.avg(F.col("Monetary").cast("double")).alias("mean"),
+    )
+    before = F.lag("mean").over(W.orderBy("Cluster"))  # one row per cluster
+    return profile.withColumn("falls", (F.col("mean") < before).cast("int")).agg(
+        F.sum("n").alias("customers"),
+        F.sum("ids").alias("different_customers"),
+        F.count(F.lit(1)).alias("clusters"),
+        F.coalesce(F.sum("falls"), F.lit(0)).alias("out_of_order"),
+    )
 
 
 SEGMENTS: dict[str, Query] = {
@@ -326,9 +362,13 @@ SEGMENTS: dict[str, Query] = {
             _rfm(spark, folder).select("Customer_ID", *segmentation.MEASURES)
         )
     ),
-    # three starts per cluster count keep the query short; the default is ten
-    "r09_elbow": lambda spark, folder: segmentation.elbow(_rfm(spark, folder), starts=3),
+    "r09_elbow": _elbow,
+    "r09_elbow_check": lambda spark, folder: _elbow(spark, folder).agg(
+        F.count(F.lit(1)).alias("cluster_counts"),
+        (F.max_by("Inertia", "Clusters") < F.min_by("Inertia", "Clusters")).alias("falls"),
+    ),
     "r10_clusters": _clustered,
+    "r10_clusters_check": _clusters_check,
     "r11_cluster_profile": lambda spark, folder: segmentation.cluster_profile(
         _clustered(spark, folder)
     ),
@@ -337,17 +377,14 @@ SEGMENTS: dict[str, Query] = {
 
 # -- prediction ------------------------------------------------------------------------------
 
-# Forest size of the registered runs; the library's default is 300 trees.
-TREES = 20
-
-
 def _churn_features(spark: SparkSession, folder: str) -> DataFrame:
     table = churn.feature_table(_scored(spark, folder))
     return table.select("Customer_ID", *churn.FEATURES, "Churned", "is_test")
 
 
-def _churn(spark: SparkSession, folder: str, *models: str) -> churn.ChurnRun:
-    return churn.train(_scored(spark, folder), models or None, trees=TREES)
+@_once
+def _churn(spark: SparkSession, folder: str) -> churn.ChurnRun:
+    return churn.train(_scored(spark, folder))
 
 
 def _dated(spark: SparkSession, folder: str) -> DataFrame:
@@ -359,8 +396,41 @@ def _sales_features(spark: SparkSession, folder: str) -> DataFrame:
     return table.select("Order_Item_ID", *sales.FEATURES, "Sales", "is_test")
 
 
-def _sales(spark: SparkSession, folder: str, *models: str) -> sales.SalesRun:
-    return sales.train(_dated(spark, folder), models or None, trees=TREES)
+@_once
+def _sales(spark: SparkSession, folder: str) -> sales.SalesRun:
+    return sales.train(_dated(spark, folder))
+
+
+def _churn_check(spark: SparkSession, folder: str) -> DataFrame:
+    """What must hold for any churn model's predictions."""
+    p = F.col("Predicted_Churn_Probability")
+    tier = F.when(p <= 0.33, "Low Risk").when(p <= 0.66, "Medium Risk").otherwise("High Risk")
+    said = F.when(p > 0.5, 1).otherwise(0)
+    return _churn(spark, folder).predictions().agg(
+        F.count(F.lit(1)).alias("customers"),
+        F.countDistinct("Customer_ID").alias("different_customers"),
+        F.count_if(p.isNull() | ~p.between(0, 1)).alias("outside_0_to_1"),
+        F.count_if(F.col("Churn_Risk_Tier") != tier).alias("wrong_tier"),
+        F.count_if(F.col("Predicted_Churn") != said).alias("wrong_class"),
+    )
+
+
+def _sales_check(spark: SparkSession, folder: str) -> DataFrame:
+    """What must hold for any sales model's predictions."""
+    off = F.abs(F.col("Sales") - F.col("Predicted_Sales") - F.col("Prediction_Error"))
+    return _sales(spark, folder).predictions().agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.countDistinct("Order_Item_ID").alias("different_lines"),
+        F.round(F.sum("Sales"), 0).alias("sales"),
+        F.count_if(off.isNull() | (off > 1e-6)).alias("wrong_error"),
+    )
+
+
+def _best_check(comparison: DataFrame, metric: str, chosen: str) -> DataFrame:
+    """The models compared, and whether the one chosen has the highest metric."""
+    best = comparison.orderBy(F.desc(metric), "position").limit(1).select((F.col("model") == chosen).alias("best_is_chosen"))
+    shown = comparison.agg(F.array_join(F.sort_array(F.collect_list("model")), ", ").alias("models"))
+    return shown.join(best)
 
 
 def _fixed_scores(spark: SparkSession, folder: str) -> DataFrame:
@@ -401,7 +471,7 @@ def _risk_tiers(spark: SparkSession, folder: str) -> DataFrame:
 
 def _model_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Predictions of the stored and reloaded model."""
-    run = _churn(spark, folder, "Logistic Regression")
+    run = _churn(spark, folder)
     path = scratch_path(spark, "churn_model")
     modelling.save_model(run.best.model, path)
     scored = churn.predicted(modelling.load_model(path), run.features)
@@ -421,29 +491,27 @@ PREDICTION: dict[str, Query] = {
     ),
     "m13_confusion_matrix": _on_scores(metrics.confusion_matrix),
     "m14_roc_points": _on_scores(lambda df: _rounded(metrics.roc_points(df))),
-    "m15_churn_importances": lambda spark, folder: _churn(
-        spark, folder, "Random Forest"
-    ).importances(),
-    "m15_sales_importances": lambda spark, folder: _sales(
-        spark, folder, "Random Forest"
-    ).importances(),
+    "m15_churn_importances": lambda spark, folder: _churn(spark, folder).importances(),
+    "m15_sales_importances": lambda spark, folder: _sales(spark, folder).importances(),
     "m16_churn_comparison": lambda spark, folder: _churn(spark, folder).comparison,
+    "m16_churn_check": lambda spark, folder: _best_check(
+        _churn(spark, folder).comparison, "roc_auc", _churn(spark, folder).best.name
+    ),
     "m16_sales_comparison": lambda spark, folder: _sales(spark, folder).comparison,
-    "m17_churn_predictions": lambda spark, folder: _churn(
-        spark, folder, "Logistic Regression"
-    ).predictions(),
+    "m16_sales_check": lambda spark, folder: _best_check(
+        _sales(spark, folder).comparison, "r2", _sales(spark, folder).best.name
+    ),
+    "m17_churn_predictions": lambda spark, folder: _churn(spark, folder).predictions(),
+    "m17_churn_check": _churn_check,
     "m18_risk_tiers": _risk_tiers,
     "m19_high_risk_count": lambda spark, folder: churn.high_risk_count(_risk_tiers(spark, folder)),
     "m20_churn_rate": lambda spark, folder: _rounded(churn.churn_rate(_rfm(spark, folder))),
     "m24_regression_metrics": lambda spark, folder: _rounded(
         metrics.regression_metrics(_fixed_estimates(spark, folder)), 6
     ),
-    "m25_sales_test_pairs": lambda spark, folder: _sales(
-        spark, folder, "Linear Regression"
-    ).test_pairs(),
-    "m26_sales_predictions": lambda spark, folder: _sales(
-        spark, folder, "Linear Regression"
-    ).predictions(),
+    "m25_sales_test_pairs": lambda spark, folder: _sales(spark, folder).test_pairs(),
+    "m26_sales_predictions": lambda spark, folder: _sales(spark, folder).predictions(),
+    "m26_sales_check": _sales_check,
     "m28_churn_label": lambda spark, folder: _rfm(spark, folder).select(
         "Customer_ID", "Recency", churn.churn_label().alias("Churned")
     ),
@@ -454,7 +522,7 @@ KPIS: dict[str, Query] = {
     "k02_margin_by_discount_tier": _on_tables(kpis.margin_by_discount_tier),
     "k03_slow_shipment_share": _on_tables(kpis.slow_shipment_share),
     "k04_high_risk_customers": lambda spark, folder: churn.high_risk_count(
-        _churn(spark, folder, "Logistic Regression").predictions()
+        _churn(spark, folder).predictions()
     ),
     "k05_pivot_category_month": _on_tables(kpis.pivot_category_month),
     "k06_cleaning_log": lambda spark, folder: kpis.cleaning_log(
