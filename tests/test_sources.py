@@ -1,5 +1,6 @@
 import datetime
 from decimal import Decimal as D
+from pathlib import Path
 
 import pytest
 
@@ -181,6 +182,15 @@ def test_unknown_table_is_refused(star):
         Tables({}).orders
 
 
+def test_stored_tables_can_be_removed(spark, monkeypatch):
+    monkeypatch.setattr(settle, "_handed_out", [])
+    kept = settle.settled(spark.range(3))
+    folder = kept.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+    assert Path(folder).is_dir()
+    assert settle.remove_stored(spark) == 1 and not Path(folder).exists()
+    assert settle.remove_stored(spark) == 0
+
+
 def test_settled_rows_are_written_to_the_shared_folder(spark):
     df = spark.range(5)
     kept = settle.settled(df)

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from tillroll.functions.binning import right_closed_bins
 from tillroll.functions.dates import is_weekend, month_key, weekday_name
 from tillroll.functions.numbers import real
 from tillroll.model import DISCOUNT_TIERS
 from tillroll.operators import ranking
+from tillroll.operators.settle import settled
 
 # The columns that get a code, and the class of a missing value.
 ENCODED = (
@@ -87,20 +88,21 @@ def label_codes(
 ) -> DataFrame:
     """Adds 0, 1, 2, ... by sorted text, one code column per column.
 
-    One pass finds the classes of all columns. They are closed vocabularies such as status,
-    segment or state; only the class names come together, never the rows.
+    One pass finds the distinct values of all columns; they are numbered in Spark and joined back,
+    broadcast if Spark finds them small, so a vocabulary may grow with the data.
     """
-    texts = {f"_t_{c}": F.coalesce(F.col(c).cast("string"), F.lit(missing)) for c in columns}
-    prepared = df.withColumns(texts)
-    indexer = StringIndexer(
-        inputCols=list(texts),
-        outputCols=[f"{c}{suffix}" for c in columns],
-        stringOrderType="alphabetAsc",
-        handleInvalid="keep",
-    )
-    coded = indexer.fit(prepared.select(*texts)).transform(prepared)
-    codes = {f"{c}{suffix}": F.col(f"{c}{suffix}").cast("int") for c in columns}
-    return coded.withColumns(codes).drop(*texts)
+    texts = {c: F.coalesce(F.col(c).cast("string"), F.lit(missing)) for c in columns}
+    pairs = [F.struct(F.lit(i).alias("_i"), t.alias("_value")) for i, t in enumerate(texts.values())]
+    values = settled(df.select(F.inline(F.array(*pairs))).distinct())
+    position = F.row_number().over(W.partitionBy("_i").orderBy("_value")) - 1
+    numbered = values.select("_i", "_value", position.alias("_code"))
+    coded = df
+    for i, (column, text) in enumerate(texts.items()):
+        codes = numbered.filter(F.col("_i") == i).select(
+            F.col("_value").alias("_text"), F.col("_code").alias(f"{column}{suffix}")
+        )
+        coded = coded.join(codes, text == F.col("_text")).drop("_text")
+    return coded
 
 
 def engineered(cleaned: DataFrame, high_value_from: float | None = None) -> DataFrame:

@@ -24,9 +24,26 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_handed_out: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder for a table that is written and read back."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+def remove_stored(spark: SparkSession) -> int:
+    """Deletes every table that this process has stored so far; says how many there were.
+
+    Frames that still read them, lazy results included, can no longer be computed afterwards.
+    """
+    conf, removed = spark._jsc.hadoopConfiguration(), 0
+    while _handed_out:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
+        removed += path.getFileSystem(conf).delete(path, True)
+    return removed
 
 
 def settled(df: DataFrame) -> DataFrame:

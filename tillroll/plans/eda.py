@@ -273,14 +273,20 @@ def order_status_breakdown(df: DataFrame) -> DataFrame:
 def insight_summary(df: DataFrame) -> DataFrame:
     """Seven headline facts as (position, metric, value).
 
-    One pass groups the lines by category, state and month; the facts come from those groups.
+    One pass groups the lines by category, state and month, with the sums that a correlation needs;
+    the facts come from those groups.
     """
+    x, y = real("Discount"), real("Profit")
+    both = x.isNotNull() & y.isNotNull()
+    moments = {"_x": x, "_y": y, "_xx": x * x, "_yy": y * y, "_xy": x * y}
     grouped = settled(
         df.groupBy("Category", "State", F.last_day("Order_Date").alias("Month_End")).agg(
             F.sum("Sales").alias("Sales"),
             F.sum("Profit").alias("Profit"),
             F.count_if(F.col("Return_Flag") == "Yes").alias("Returned"),
             F.count(F.lit(1)).alias("Lines"),
+            F.count_if(both).alias("_n"),
+            *[F.sum(F.when(both, value)).alias(name) for name, value in moments.items()],
         )
     )
 
@@ -297,7 +303,13 @@ def insight_summary(df: DataFrame) -> DataFrame:
         return best.select(F.concat(name, F.lit(" ($"), amount, F.lit(")")).alias("value"))
 
     returned = grouped.agg(ratio(F.sum("Returned"), F.sum("Lines"), 100).alias("r"))
-    corr = df.agg(F.corr(real("Discount"), real("Profit")).alias("r"))
+    sums = grouped.agg(*[F.sum(c).alias(c) for c in ("_n", *moments)])
+    spread = F.sqrt(
+        (F.col("_n") * F.col("_xx") - F.col("_x") * F.col("_x"))
+        * (F.col("_n") * F.col("_yy") - F.col("_y") * F.col("_y"))
+    )
+    joint = F.col("_n") * F.col("_xy") - F.col("_x") * F.col("_y")
+    corr = sums.select(F.try_divide(joint, spread).alias("r"))
     sign = F.when(F.col("r") < 0, "negative -> higher discounts erode profit").otherwise("positive")
     # fixed values: the wording of the seven facts
     facts = [
