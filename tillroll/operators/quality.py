@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tillroll.functions.numbers import count, ratio, real
 from tillroll.model import FOREIGN_KEYS, PRIMARY_KEYS, REVIEW_SCORES, SCHEMAS
 from tillroll.operators import ranking
+from tillroll.operators.settle import settled
 from tillroll.sources.files import whole_number
 from tillroll.sources.tables import Tables
 
@@ -58,8 +59,8 @@ def first_per_key(
 ) -> DataFrame:
     """One row per key: the first by ``order_by``, then by the remaining columns.
 
-    This is a minimum over whole rows, so copies are dropped before the shuffle, and a key with
-    very many copies never becomes one large sort.
+    This is a minimum over whole rows: each task keeps one row per key before the shuffle, so a key
+    with very many copies arrives as one row per task. Spark sorts the rows of a task for it.
     """
     keys = [key] if isinstance(key, str) else list(key)
     first = [c for c in order_by if c not in keys]
@@ -75,10 +76,18 @@ def without_duplicates(
 ) -> tuple[DataFrame, int]:
     """The frame without repeated keys, and how many rows went.
 
-    The count reads only the key; whole rows are shuffled only if there is something to drop.
+    The count reads only the key. Rows whose key occurs once pass by; only those of repeated keys, if
+    there are any, are grouped.
     """
     dropped = duplicate_report(df, key, "").first()["duplicate_rows"]
-    return (first_per_key(df, key, order_by) if dropped else df), dropped
+    if not dropped:
+        return df, 0
+    repeated = settled(
+        df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_key")
+    )
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    once = df.join(repeated, same, "left_anti")
+    return once.unionByName(first_per_key(df.join(repeated, same, "left_semi"), key, order_by)), dropped
 
 
 # -- types and text --------------------------------------------------------------------------
