@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 4_000_000  # text that one numpy pass holds; one longer document is a chunk of its own
+CHUNK_BYTES = 1_000_000  # text that one numpy pass holds; one longer document is a chunk of its own
 
 
 def fold(column: str = "doc_id") -> Column:

@@ -207,9 +207,20 @@ def discovered(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     )
 
 
+SPANS = "array<struct<kind:int,lo:int,hi:int>>"
 SPAN = pa.list_(pa.struct([("kind", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32())]))
 
 
+def with_discovered(docs: DataFrame) -> DataFrame:
+    """Every row of ``docs`` with what contexts discover in it, as column found."""
+    found = discovered(docs).groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(
+        F.sort_array(F.collect_list(F.struct("kind", "lo", "hi"))).alias("found")
+    )
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
+    joined = docs.withColumn("_text_key", text_key()).join(found, same, "left")
+    return joined.select(*docs.columns, F.coalesce("found", F.array().cast(SPANS)).alias("found"))
+
+
 def annotated(docs: DataFrame) -> DataFrame:
     """Every row of ``docs`` with its spans: base and found, arrays of (kind, lo, hi) in code points.
 
@@ -218,13 +229,7 @@ def annotated(docs: DataFrame) -> DataFrame:
     rows stay; columns named base or found are replaced; an empty table gives an empty result.
     """
     names = [c for c in docs.columns if c not in ("base", "found")]
-    found = discovered(docs).groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(
-        F.sort_array(F.collect_list(F.struct("kind", "lo", "hi"))).alias("found")
-    )
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
-    joined = docs.select(*names).withColumn("_text_key", text_key()).join(found, same, "left")
-    spans = "array<struct<kind:int,lo:int,hi:int>>"
-    given = joined.select(*names, F.array().cast(spans).alias("base"), F.coalesce("found", F.array().cast(spans)).alias("found"))
+    given = with_discovered(docs.select(*names)).select(*names, F.array().cast(SPANS).alias("base"), "found")
 
     def run(batches):
         for batch in chunked(batches):
@@ -252,15 +257,18 @@ def redacted(docs: DataFrame) -> DataFrame:
     Spans that overlap become one, named by the first. n_chars, where the table has it, follows the
     text; rows without personal data stay as they are.
     """
-    names, aside = docs.columns, {c: f"__{c}" for c in ("base", "found") if c in docs.columns}
-    marked = annotated(docs.withColumnsRenamed(aside)).select(
-        *(F.col(aside.get(c, c)).alias(c) for c in names), F.concat(F.col("base"), F.col("found")).alias("_spans")
+    names, aside = docs.columns, {"found": "__found"} if "found" in docs.columns else {}
+    marked = with_discovered(docs.withColumnsRenamed(aside)).select(
+        *(F.col(aside.get(c, c)).alias(c) for c in names), F.col("found").alias("_spans")
     )
 
     def run(batches):
         for batch in chunked(batches):
-            at, spans = batch.schema.get_field_index("text"), batch.column(batch.schema.get_field_index("_spans")).to_pylist()
-            texts = [covered(t, s) if s else t for t, s in zip(batch.column(at).to_pylist(), spans)]
+            at = batch.schema.get_field_index("text")
+            texts = batch.column(at).to_pylist()
+            found = batch.column(len(names)).to_pylist()
+            spans = [base_spans(t) + [(s["kind"], s["lo"], s["hi"]) for s in f] if t else [] for t, f in zip(texts, found)]
+            texts = [covered(t, s) if s else t for t, s in zip(texts, spans)]
             columns = [pa.array(texts, pa.string()) if j == at else c for j, c in enumerate(batch.columns)]
             yield pa.RecordBatch.from_arrays(columns[:-1], names=names)
 
@@ -271,10 +279,9 @@ def redacted(docs: DataFrame) -> DataFrame:
 
 
 def covered(text: str, spans) -> str:
-    parts, at, open_to = [], 0, -1
-    for s in sorted(spans, key=lambda s: (s["lo"], -s["hi"], s["kind"])):
-        if s["lo"] >= open_to:
-            parts += [text[at : s["lo"]], f"[{KINDS[s['kind']].upper()}]"]
-        open_to = max(open_to, s["hi"])
-        at = open_to
+    parts, at = [], 0
+    for kind, low, high in sorted(spans, key=lambda s: (s[1], -s[2], s[0])):
+        if low >= at:
+            parts += [text[at:low], f"[{KINDS[kind].upper()}]"]
+        at = max(at, high)
     return "".join(parts) + text[at:]
