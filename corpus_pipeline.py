@@ -9,27 +9,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm import decontaminate, language, mixing, pii, simhash
-from tillroll.llm.common import fold, table
+from tillroll.llm.common import fold, small_batches, table
 from tillroll.operators.settle import settled
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go that have no letter or whose language stays ambiguous."""
+    small_batches(spark)
     return language.confident(docs, language.fit(docs, learns=fold() > 0))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: three-word shingles, fingerprints within two bits."""
+    small_batches(spark)
     return simhash.one_per_group(docs, size=simhash.SHINGLE_WORDS, max_bits=simhash.MAX_BITS)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go that hold a benchmark item."""
+    small_batches(spark)
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data are replaced by their kind; all documents stay."""
+    small_batches(spark)
     return pii.redacted(docs)
 
 

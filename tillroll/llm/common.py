@@ -13,6 +13,20 @@ from pyspark.sql import functions as F
 CHUNK_BYTES = 1_000_000  # text that one numpy pass holds; one longer document is a chunk of its own
 
 
+ROWS_AT_A_TIME = 1_000  # that Spark hands to a Python worker together
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """The session, handing Python at most ``ROWS_AT_A_TIME`` rows together, as whole texts are long.
+
+    The setting (spark.sql.execution.arrow.maxRecordsPerBatch) stays; a smaller one is left alone.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ROWS_AT_A_TIME:
+        spark.conf.set(key, ROWS_AT_A_TIME)
+    return spark
+
+
 def fold(column: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo 5; -1 for a missing id, which is in no fold."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % 5, F.lit(-1)).cast("int")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import chat, decontaminate, language, mixing, pii, ppm, simhash, substrings, topk, toxicity
-from tillroll.llm.common import fold, table
+from tillroll.llm.common import fold, small_batches, table
 
 
 def op1_language(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,6 +89,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
 
 
+def _with_small_batches(query):
+    return lambda spark, folder: query(small_batches(spark), folder)
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_decontaminate": op2_decontaminate,
@@ -101,3 +105,4 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
 }
+QUERIES = {name: _with_small_batches(query) for name, query in QUERIES.items()}

@@ -14,6 +14,7 @@ from tillroll.llm.words import STEP, WORD_POWERS, mixed, runs, words
 WINDOW = 50
 ANCHOR_WORDS = 3  # a window travels to the part that its smallest run of so many words names
 PART_BYTES = 8_000_000  # text whose windows one part compares
+CHUNK_BYTES = 2_000_000  # text whose windows are compared before they are sent
 NO_ID = (1 << 63) - 1  # a missing doc_id counts as larger than any other
 
 LOCAL, SENT = 0, 1
@@ -61,7 +62,7 @@ def first_of(ids: np.ndarray, hashes: np.ndarray):
 def sent_windows(batches, parts: int, size: int):
     """Windows by part: each hash of a chunk once, with the rest already known to be repeated."""
     names = ["part", "kind", "ids", "keys", "doc", "first", "count", "hashes"]
-    for batch in chunked(batches):
+    for batch in chunked(batches, limit=CHUNK_BYTES):
         ids = np.asarray(batch.column(0).fill_null(NO_ID), np.int64)
         keys = np.asarray(batch.column(1).fill_null(0), np.int64)
         found = words(batch.column(2))
@@ -162,7 +163,8 @@ def without_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     in a document with a smaller doc_id; windows are judged on the input. Words are runs of
     characters other than ASCII white space. A missing text has no words; a missing doc_id counts
     as larger than any other. Rows of one doc_id never remove from each other. Texts shorter than a
-    window stay whole, an empty table gives an empty result, other columns are left out.
+    window stay whole, an empty table gives an empty result, other columns are left out. ``docs``
+    should be a stored table, whose rows come in the same order should a lost task read them again.
     """
     spans = (
         removals(docs, size)
@@ -181,7 +183,7 @@ def without_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
 
 
 def kept_words(batches):
-    for batch in chunked(batches, limit=16_000_000):
+    for batch in chunked(batches, limit=4_000_000):
         n_words, n_removed, kept = [], [], []
         lows, highs = batch.column(2).to_pylist(), batch.column(3).to_pylist()
         for text, lo, hi in zip(batch.column(1).cast(pa.binary()).to_pylist(), lows, highs):

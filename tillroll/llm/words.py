@@ -64,8 +64,8 @@ BYTE_POWERS, WORD_POWERS = Powers(BASE), Powers(STEP)
 def running(values: np.ndarray, powers: Powers) -> np.ndarray:
     """Sums of the values before each place, each value times its place's power."""
     total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * powers.of(len(values) + 1)[0][:-1], dtype=np.uint64, out=total[1:])
-    return total
+    np.multiply(values, powers.of(len(values) + 1)[0][:-1], out=total[1:])
+    return np.cumsum(total, dtype=np.uint64, out=total)
 
 
 def between(total: np.ndarray, powers: Powers, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
