@@ -43,10 +43,10 @@ class Brute:
             if node is None:
                 continue
             rest = {x: c for x, c in node.items() if x not in excluded}
-            weight = sum(rest.values()) + len(rest)
+            weight = sum(rest.values())
             if s in node:
-                return total + math.log10(node[s] / weight)
-            total += math.log10(len(rest) / weight) if rest else 0.0
+                return total + math.log10((node[s] - 0.5) / weight)
+            total += math.log10(len(rest) / 2 / weight) if rest else 0.0
             excluded = set(node)
         return total - math.log10(256 - len(excluded))
 

@@ -23,8 +23,10 @@ from tillroll.operators.settle import scratch_path, settled
 ORDER = 4  # bytes of context
 MARK = 0xFF  # before and after a text; no UTF-8 text holds this byte
 SYMBOLS = 256
+HALF = 0.5  # of a count, that each symbol of a context gives to symbols not yet seen in it
+CHUNK_BYTES = 4_000_000  # text that asks for each of its distinct keys once
 PART_BYTES = 16_000_000  # text whose distinct keys one part counts
-DENSE = 1 << 24  # entries of a direct lookup table; beyond, keys are sorted instead
+DENSE = 1 << 23  # entries of a direct lookup table; beyond, keys are sorted instead
 
 DOC, WORD, RUN = 0, 1, 2
 LAYOUT = "batch long, part long, train_docs long, keys binary, counts binary, kind int"
@@ -61,19 +63,26 @@ def byte_runs(texts, order: int):
     body, bounds = utf8(texts)
     sizes = np.diff(bounds)
     line = np.full(len(body) + (order + 1) * len(sizes), MARK, np.uint8)
-    shift = np.arange(len(sizes)) * (order + 1) + order
-    line[np.arange(len(body)) + np.repeat(shift, sizes)] = LOWER[body]
     # a run starts at each place whose last byte belongs to the same text or is its end mark
+    starts = np.ones(len(line), bool)
+    for i, (low, size) in enumerate(zip(bounds.tolist(), sizes.tolist())):
+        first = low + i * (order + 1)
+        line[first + order : first + order + size] = LOWER[body[low : low + size]]
+        starts[first + size + 1 : first + size + order + 1] = False
+    begins = np.flatnonzero(starts).astype(np.int32 if len(line) < 1 << 31 else np.int64)
     places = np.concatenate(([0], np.cumsum(sizes + 1)))
-    begins = np.arange(places[-1]) + np.repeat(np.arange(len(sizes)) * order, sizes + 1)
     present = np.flatnonzero(np.bincount(line, minlength=SYMBOLS))
     narrow = np.zeros(SYMBOLS, np.uint8)
     narrow[present] = np.arange(len(present))
     symbols = narrow[line]
+    del line, starts
     ids, runs = symbols[begins].astype(np.int32), present.astype(np.uint64)
-    for k in range(1, order + 1):
+    for _ in range(order):
+        begins += 1
         kind = np.int32 if len(runs) * len(present) < 1 << 31 else np.int64
-        ids = ids.astype(kind) * kind(len(present)) + symbols[begins + k]
+        ids = ids.astype(kind)
+        ids *= kind(len(present))
+        ids += symbols[begins]
         ids, used = renumbered(ids, len(runs) * len(present))
         runs = (runs[used // len(present)] << np.uint64(8)) | present[used % len(present)].astype(np.uint64)
     ids, used = renumbered(ids, len(runs))
@@ -115,7 +124,7 @@ def part_order(keys: np.ndarray, parts: int):
 
 def asked(batches, parts: int, order: int):
     """Of every chunk: its documents, and its distinct words and byte runs with training counts."""
-    for batch in chunked(batches):
+    for batch in chunked(batches, limit=CHUNK_BYTES):
         name = int.from_bytes(os.urandom(8), "big") >> 1
         texts = batch.column(2)
         learns = ~np.asarray(batch.column(1), bool)
@@ -193,9 +202,9 @@ def trie_scores(runs: DataFrame, order: int) -> DataFrame:
     """part, run and log10 of the probability of the run's last byte after the others.
 
     ``runs`` has every run asked for, with its training count c (0 if unseen). Level k holds runs of
-    k bytes of context and one symbol. Escapes follow method C: a context gives as much weight to
-    "something new" as it has seen different symbols. After an escape the symbols of the longer
-    context are excluded from the counts of the shorter one. Of a run at level k, ``after`` is the log
+    k bytes of context and one symbol. Escapes follow method D: of a context's total count, half for
+    each different symbol goes to "something new", and that half is taken from the symbol. After an
+    escape the symbols of the longer context are excluded from the counts of the shorter one. Of a run at level k, ``after`` is the log
     probability of its symbol once the context has been left, ``score`` that of the whole search
     from this context down; both need only the level below, so levels are built upwards.
     """
@@ -229,17 +238,17 @@ def trie_scores(runs: DataFrame, order: int) -> DataFrame:
             new = (F.col("low_kinds") - F.col("kinds")).cast("double")
             after = (
                 F.when(F.col("kinds") == 0, F.col("low_score"))
-                .when(F.col("low_c") > 0, F.log(F.try_divide(F.col("low_c"), left + new)))
-                .when(new > 0, F.log(F.try_divide(new, left + new)) + F.col("low_after"))
+                .when(F.col("low_c") > 0, F.log(F.try_divide(F.col("low_c") - HALF, left)))
+                .when(new > 0, F.log(F.try_divide(new * HALF, left)) + F.col("low_after"))
                 .otherwise(F.col("low_after"))
             )
             unknown = F.col("low_score")
-        weight = (F.col("total") + F.col("kinds")).cast("double")
+        weight = F.col("total").cast("double")
         now = now.withColumn("after", after).withColumn(
             "score",
             F.when(F.col("kinds") == 0, unknown)
-            .when(seen, F.log(F.try_divide(F.col("c"), weight)))
-            .otherwise(F.log(F.try_divide(F.col("kinds"), weight)) + F.col("after")),
+            .when(seen, F.log(F.try_divide(F.col("c") - HALF, weight)))
+            .otherwise(F.log(F.try_divide(F.col("kinds") * HALF, weight)) + F.col("after")),
         )
         level = settled(now.select("run", "c", "total", "kinds", "score", "after"))
     return runs.select("part", "run").join(
