@@ -121,3 +121,31 @@ def test_clusters_are_ordered_by_value(scored):
 def test_elbow_falls(scored):
     costs = [r["Inertia"] for r in segmentation.elbow(scored, [2, 4, 8], starts=1).collect()]
     assert costs[0] > costs[1] > costs[2]
+
+
+def test_segments_of_all_scores_and_missing_ones(spark):
+    values = [None, 1, 2, 3, 4, 5]
+    rows = [(r, f, m) for r in values for f in values for m in values]
+    df = spark.createDataFrame(rows, "r int, f int, m int")
+
+    def at_least(x, limit):
+        return x is not None and x >= limit
+
+    def at_most(x, limit):
+        return x is not None and x <= limit
+
+    def expected(r, f, m):
+        if at_least(r, 4) and at_least(f, 4) and at_least(m, 4):
+            return "Champions"
+        if at_least(r, 3) and at_least(f, 3):
+            return "Loyal Customers"
+        if at_least(r, 4) and at_most(f, 2):
+            return "New Customers"
+        if at_most(r, 2) and at_least(f, 4):
+            return "At Risk"
+        if at_most(r, 2) and at_most(f, 2) and at_most(m, 2):
+            return "Lost"
+        return "Needs Attention"
+
+    found = df.select("r", "f", "m", segmentation.segment_of(F.col("r"), F.col("f"), F.col("m")).alias("s"))
+    assert all(row["s"] == expected(row["r"], row["f"], row["m"]) for row in found.collect())
