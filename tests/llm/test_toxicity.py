@@ -94,3 +94,15 @@ def test_without_labels_of_both_kinds(spark, docs):
     assert {r.predicted for r in toxicity.scored(df, fine).collect()} == {0}
     bad = toxicity.fit(df, spark.createDataFrame([(1, 1), (2, 1)], labels), F.lit(True))
     assert {r.predicted for r in toxicity.scored(df, bad).collect()} == {1}
+
+
+def test_repeated_words_are_passages_again(spark, docs):
+    model, _ = trained(spark, docs)
+    passage, plain = "grub slime w2 rotten", "w3 " * 2_000
+    rows = [(1, plain + passage + " " + plain + passage + " " + plain),
+            (2, "".join(f"{plain}{word} " for word in ("grub", "slime", "rotten")) + plain + passage + " " + plain),
+            (3, plain + passage + " " + plain)]
+    by = {r.doc_id: r for r in toxicity.scored(docs(rows), model).collect()}
+    assert [(p.first, p.end) for p in by[1].passages] == [(2000, 2004), (4004, 4008)]
+    assert (8003, 8007) in [(p.first, p.end) for p in by[2].passages]
+    assert by[1].predicted == by[2].predicted == by[3].predicted == 1

@@ -29,19 +29,29 @@ def features(found: Words):
         yield found.beginnings(size)
 
 
+@dataclass
+class Found:
+    """Of one text."""
+
+    n: int  # words
+    segments: list[tuple[int, int, float]]  # maximal-scoring: first, end, score
+    raised: np.ndarray  # scores of the words above zero
+    news: np.ndarray  # the same without words that only repeat
+    fresh: list[float]  # scores of the maximal segments when words that only repeat say nothing
+
+
 @dataclass
 class Model:
     hashes: np.ndarray  # of the features that tell, ascending
     odds: np.ndarray
     certainty: np.ndarray  # absolute z of the odds
-    decay: float = 1.0  # lambda and K of the extreme-value law of segment scores in clean text
-    rate: float = 1.0
+    law: tuple[float, float] = (1.0, 1.0)  # lambda and K of the extreme-value law of segment scores in clean text
+    once: tuple[float, float] = (1.0, 1.0)  # the same where a word counts once in a text
     offset: float = 0.0  # of the logistic curve from evidence to score
     slope: float = 1.0
 
     def word_scores(self, found: Words) -> np.ndarray:
-        """Log odds of every word less the drift, by its most certain feature. A word that comes again
-        in its text adds nothing to what it said the first time."""
+        """Log odds of every word less the drift, by its most certain feature, wherever the word stands."""
         scores, certainty = np.zeros(len(found.hashes)), np.zeros(len(found.hashes))
         known = np.zeros(SLOTS, bool)
         known[(self.hashes & np.uint64(SLOTS - 1)).astype(np.int64)] = True
@@ -53,37 +63,42 @@ class Model:
             better = self.certainty[at] > certainty[word]
             scores[word[better]] = self.odds[at[better]]
             certainty[word[better]] = self.certainty[at[better]]
-        raised = np.flatnonzero(scores > DRIFT)
-        doc = np.searchsorted(found.bounds, raised, side="right") - 1
-        order = np.lexsort((raised, found.hashes[raised], doc))
-        h, d = found.hashes[raised][order], doc[order]
-        again = order[1:][(h[1:] == h[:-1]) & (d[1:] == d[:-1])]
-        scores[raised[again]] = 0.0
         return scores - DRIFT
 
     def segments(self, texts: pa.Array):
-        """For each text its number of words and its maximal-scoring segments: (first, end, score)."""
+        """What is found in each text: in all its words, and in those that do not only repeat."""
         found = words(texts, letters=True)
         scores = self.word_scores(found)
-        total = np.concatenate(([0.0], np.cumsum(scores)))
         raised = np.flatnonzero(scores > 0)
         cuts = np.searchsorted(raised, found.bounds)
-        for lo, hi, first, end in zip(cuts, cuts[1:], found.bounds, found.bounds[1:]):
-            places = raised[lo:hi]
-            kept = maximal_segments(places.tolist(), total[places].tolist(), total[places + 1].tolist()) if lo < hi else []
-            yield int(end - first), [(int(a - first), int(b - first), s) for a, b, s in kept], scores[places]
+        kept = scanned(scores, raised, cuts)
+        again = [lo + repeated(k, raised[lo:hi], found.hashes[raised[lo:hi]]) for k, lo, hi in zip(kept, cuts, cuts[1:])]
+        news = np.ones(len(raised), bool)
+        news[np.concatenate([np.empty(0, np.int64), *again])] = False
+        once = scores.copy()
+        once[raised[~news]] = -DRIFT
+        fresh = scanned(once, raised[news], np.searchsorted(raised[news], found.bounds))
+        for i, (lo, hi, first, end) in enumerate(zip(cuts, cuts[1:], found.bounds, found.bounds[1:])):
+            segments = [(int(a - first), int(b - first), s) for a, b, s in kept[i]]
+            here = scores[raised[lo:hi]]
+            yield Found(int(end - first), segments, here, here[news[lo:hi]], [s for _, _, s in fresh[i]])
 
     def chance(self, n: int, score: float) -> float:
         """Probability that n words of clean text hold a segment of that score (Karlin and Altschul)."""
-        return float(-np.expm1(-self.rate * n * np.exp(-self.decay * score)))
+        return reached(self.law, n, score)
 
-    def evidence(self, n: int, segments) -> float:
-        return float(sum(-np.log(max(self.chance(n, s), 1e-300)) for _, _, s in segments))
+    def evidence(self, n: int, fresh) -> float:
+        return float(sum(-np.log(max(reached(self.once, n, s), 1e-300)) for s in fresh))
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.offset + self.slope * evidence, -500, 500)))
 
 
+def reached(law: tuple[float, float], n: int, score: float) -> float:
+    decay, rate = law
+    return float(-np.expm1(-rate * n * np.exp(-decay * score)))
+
+
 def maximal_segments(places: list[int], before: list[float], after: list[float]):
     """All maximal-scoring segments (Ruzzo and Tompa) as (first, end, score), in linear time.
 
@@ -105,6 +120,24 @@ def maximal_segments(places: list[int], before: list[float], after: list[float])
     return [(a, b, high - low) for a, b, low, high in kept]
 
 
+def scanned(scores: np.ndarray, raised: np.ndarray, cuts: np.ndarray) -> list[list[tuple[int, int, float]]]:
+    """Maximal-scoring segments of each text, whose raised words are raised[cuts[i]:cuts[i + 1]]."""
+    total = np.concatenate(([0.0], np.cumsum(scores)))
+    texts = (raised[lo:hi] for lo, hi in zip(cuts, cuts[1:]))
+    return [maximal_segments(p.tolist(), total[p].tolist(), total[p + 1].tolist()) if len(p) else [] for p in texts]
+
+
+def repeated(segments, places: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which of one text's raised words are no news. A word counts in the strongest segment that holds it,
+    the first of equals, and there at its first place."""
+    if not segments:
+        return np.empty(0, np.int64)
+    score = np.array([s for _, _, s in segments])
+    which = np.searchsorted(np.array([a for a, _, _ in segments]), places, side="right") - 1
+    order = np.lexsort((places, -score[which], hashes))
+    return order[1:][hashes[order][1:] == hashes[order][:-1]]
+
+
 def law_of(raised: np.ndarray, segments: np.ndarray, n: int) -> tuple[float, float]:
     """lambda and K from n words of clean text: the scores of its raised words and of its segments.
 
@@ -207,25 +240,26 @@ def fit(docs: DataFrame, labels: DataFrame, learns: Column, train_docs: int = TR
         for batch in chunked(batches):
             found = list(shared.value.segments(batch.column(0)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([n for n, _, _ in found], pa.int64()), batch.column(1),
-                 pa.array([[s for _, _, s in kept] for _, kept, _ in found], pa.list_(pa.float64())),
-                 pa.array([raised for _, _, raised in found], pa.list_(pa.float64()))],
-                ["n", "label", "segments", "raised"])
+                [pa.array([t.n for t in found], pa.int64()), batch.column(1),
+                 *(pa.array(x, pa.list_(pa.float64())) for x in (
+                     [[s for _, _, s in t.segments] for t in found], [t.raised for t in found],
+                     [t.fresh for t in found], [t.news for t in found]))],
+                ["n", "label", "segments", "raised", "fresh", "news"])
 
     tried = (
         texts.where(last).select("text", "label")
-        .mapInArrow(weighed, "n long, label long, segments array<double>, raised array<double>")
+        .mapInArrow(weighed, "n long, label long, segments array<double>, raised array<double>, fresh array<double>, "
+                    "news array<double>")
         .toArrow()  # a quarter of the sample, without its texts
     )
     size, label = np.asarray(tried["n"], np.int64), np.asarray(tried["label"], np.float64)
-    segments = [np.asarray(s, np.float64) for s in tried["segments"].to_pylist()]
-    clean = [i for i in range(len(size)) if label[i] == 0]
-    raised = tried["raised"].to_pylist()
-    model.decay, model.rate = law_of(
-        np.array([x for i in clean for x in raised[i]]), np.array([x for i in clean for x in segments[i]]),
-        int(size[clean].sum()) if clean else 0,
-    )
-    x = np.array([model.evidence(m, [(0, 0, s) for s in kept]) for m, kept in zip(size, segments)])
+    clean = np.flatnonzero(label == 0)
+    n_clean = int(size[clean].sum())
+    seen = {c: tried[c].to_pylist() for c in ("raised", "segments", "news", "fresh")}
+    pooled = {c: np.array([x for i in clean for x in found[i]], np.float64) for c, found in seen.items()}
+    model.law = law_of(pooled["raised"], pooled["segments"], n_clean)
+    model.once = law_of(pooled["news"], pooled["fresh"], n_clean)
+    x = np.array([model.evidence(m, fresh) for m, fresh in zip(size, seen["fresh"])])
     model.offset, model.slope = logistic(x, label, share)
     return model
 
@@ -253,8 +287,10 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
     Words are lower-cased and without ASCII punctuation. passages has every maximal-scoring segment whose
     score clean text of that length reaches with probability ``SIGNIFICANT`` at most, as first word, end
-    word and that probability. The score follows the sum of the negative logarithms over all segments. A missing
-    or empty text has no passage and the lowest score. Columns of the three names are replaced; other
+    word and that probability; a word counts at each of its places. The score follows the sum of the
+    negative logarithms over all segments of a second scan, in which a word counts at one place of its text,
+    in the strongest segment that holds it: a thing said again is a passage again but no new evidence. A missing or empty text has no passage and
+    the lowest score. Columns of the three names are replaced; other
     columns and repeated rows stay; an empty table gives an empty result.
     """
     added = ("score", "predicted", "passages")
@@ -265,9 +301,9 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         for batch in chunked(batches):
             texts = batch.column(batch.schema.get_field_index("text"))
             fitted = shared.value
-            found = [(n, kept) for n, kept, _ in fitted.segments(texts)]
-            score = fitted.score(np.array([fitted.evidence(n, kept) for n, kept in found], np.float64))
-            chances = [[(a, b, fitted.chance(n, s)) for a, b, s in kept] for n, kept in found]
+            found = list(fitted.segments(texts))
+            score = fitted.score(np.array([fitted.evidence(t.n, t.fresh) for t in found], np.float64))
+            chances = [[(a, b, fitted.chance(t.n, s)) for a, b, s in t.segments] for t in found]
             rows = [[{"first": a, "end": b, "p": p} for a, b, p in c if p <= SIGNIFICANT] for c in chances]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(score), pa.array((score >= 0.5).astype(np.int32)), pa.array(rows, SEGMENTS)],
