@@ -96,3 +96,23 @@ def test_redaction(spark, docs):
     assert got == [(0, "[EMAIL]", 7, "x", "y"), (1, "nothing", 7, "x", "y"), (1, "write [EMAIL] or [PHONE]!", 25, "x", "y"),
                    (2, "", 0, "x", "y"), (3, "", 0, "x", "y")]
     assert pii.redacted(docs([])).count() == 0
+
+
+def test_shapes_without_four_digits_in_a_token(spark, docs):
+    rows = [(i, text_with("mail me:", f"user{i}@mail.example.com")) for i in range(12)]
+    rows += [(20 + i, text_with("ring me:", f"+1 523 555 10{i:02}")) for i in range(12)]
+    hidden = {100: "jane.doe(at)example.com", 101: "jane@localhost", 102: "jane dot doe at example dot com",
+              110: "555 123 4567", 111: "(555) 123-4567"}
+    rows += [(i, text_with("mail me:" if i < 110 else "ring me:", value)) for i, value in hidden.items()]
+    rows += [(200, text_with("look", "at me")), (201, text_with("sum of", "555 123 4567"))]
+    by = {r.doc_id: r for r in pii.annotated(docs(rows)).collect()}
+    for i, value in hidden.items():
+        assert [(s.kind, by[i].text[s.lo : s.hi]) for s in by[i].found] == [(0 if i < 110 else 3, value)]
+    assert all(not r.found for i, r in by.items() if i not in hidden)
+    out = {r.doc_id: r.text for r in pii.redacted(docs(rows)).collect()}
+    assert out[110] == text_with("ring me:", "[PHONE]") and out[100] == text_with("mail me:", "[EMAIL]")
+
+
+def test_shapes_take_linear_time():
+    for piece in ("1 ", "a at ", "a dot ", "a@", " at", "(1) ", "a dot b at c ", "1234 5678 ", "(at)"):
+        list(pii.contexts(piece * 100_000))

@@ -18,7 +18,10 @@ KINDS = ("email", "ip", "card", "phone")
 MIN_SUPPORT = 3  # different seeds that a context must precede before it counts as a pattern
 MIN_CONFIDENCE = 0.8  # of a pattern, and of an identifier that patterns find
 ROUNDS = 3
-CANDIDATE_DIGITS = 4  # digits that make a token a possible identifier
+CANDIDATE_DIGITS = 4  # digits that make a token, or a run of groups of digits, a possible identifier
+EMAIL, IP_KIND, CARD_KIND, PHONE_KIND = (1 << k for k in range(4))  # kinds that a possible identifier fits
+ANY = EMAIL | IP_KIND | CARD_KIND | PHONE_KIND
+MOST_DIGITS = ((CARD_KIND, 19), (PHONE_KIND, 15))  # of a run of groups, as of the fixed patterns
 SLOTS = 1 << 20  # of the table that tells which contexts are worth counting
 
 DIGIT = re.compile("[0-9]")
@@ -27,6 +30,10 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile("[0-9]++(?:[ -][0-9]++)*+")
+GROUP = re.compile(r"\(?[0-9][0-9()./-]*")
+AT = re.compile(r"\x20?[(\[{<]\x20?at\x20?[)\]}>]\x20?|\x20at\x20|@", re.IGNORECASE)
+DOT = r"(?:\.|\x20?[(\[{<]\x20?dot\x20?[)\]}>]\x20?|\x20dot\x20)"
+HOST = re.compile(rf"[A-Za-z0-9-]++({DOT}[A-Za-z0-9-]++)*+", re.IGNORECASE)
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 
@@ -67,17 +74,74 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
-def contexts(text: str):
-    """Of every seed and every other token with some digits: kind (-1: none), start, end, value and
-    the two words before it."""
-    seeds = base_spans(text)
-    if not seeds and not DIGIT.search(text):
-        return
-    tokens = [(m.start(), m.end()) for m in TOKEN.finditer(text)]
-    starts = [a for a, _ in tokens]
-    covered = sorted((a, b) for _, a, b in seeds)
-    spans = list(seeds)
-    for a, b in tokens:
+def addresses(text: str):
+    """Start and end of what has the shape of an email address: the @ or the dots may be written out, in
+    brackets or as words, and a host without dots will do unless only the word "at" stands for the @."""
+    free = 0
+    at = AT.search(text)
+    while at:
+        start = at.start()
+        while True:
+            while start > free and (text[start - 1] in LOCAL or text[start - 1].isalnum()):
+                start -= 1
+            if start - 5 <= free or start == at.start() or text[start - 5 : start].lower() != " dot ":
+                break
+            start -= 5
+        host = HOST.match(text, at.end()) if start < at.start() else None
+        if host and (at[0].lower() != " at " or host[1]):
+            yield start, host.end()
+            free = host.end()
+        else:
+            free = at.end()
+        # the space that ends one "at" may begin the next
+        at = AT.search(text, free if host and free == host.end() else free - (text[free - 1] == " "))
+
+
+def groups(text: str, tokens):
+    """Runs of two or more tokens of digits and ( ) . / -, one space apart: the tokens' numbers and
+    where each group ends. Other punctuation behind a group ends its run."""
+    run, ends = [], []
+    for i, (a, b) in enumerate(tokens):
+        found = GROUP.match(text, a, b) if text[a] in "(0123456789" else None
+        end = found.end() if found else a
+        while found and end > a and text[end - 1] in "(./-":
+            end -= 1
+        if found and not text[end:b].strip(",;:.!?"):
+            if run and (run[-1] != i - 1 or text[tokens[i - 1][1] : a] != " " or ends[-1] != tokens[i - 1][1]):
+                if len(run) > 1:
+                    yield run, ends
+                run, ends = [], []
+            run.append(i)
+            ends.append(end)
+    if len(run) > 1:
+        yield run, ends
+
+
+def joined(text: str, tokens):
+    """First token, start, end and the kinds that fit, for the runs of groups. A run longer than the longest number of
+    a kind is cut before the group that exceeds it, and what is left is a run again."""
+    for run, ends in groups(text, tokens):
+        counts = [sum(map(text[tokens[i][0] : e].count, "0123456789")) for i, e in zip(run, ends)]
+        for kind, most in MOST_DIGITS:
+            first, digits = 0, 0
+            for j in range(len(run) + 1):
+                if j == len(run) or digits and digits + counts[j] > most:
+                    if digits >= CANDIDATE_DIGITS and j - first > 1:
+                        yield run[first], tokens[run[first]][0], ends[j - 1], kind
+                    first, digits = j, 0
+                if j < len(run):
+                    digits += counts[j]
+
+
+def candidates(text: str, tokens):
+    """Start, end and fitting kinds of what may be an identifier: tokens with some digits, runs of groups
+    of digits, and what has the shape of an email address."""
+    taken = {}  # kinds of which something wider starts at the token
+    for i, a, b, kind in joined(text, tokens):
+        taken[i] = taken.get(i, 0) | kind
+        yield a, b, kind
+    plain = {}
+    for i, (a, b) in enumerate(tokens):
         piece = text[a:b]
         if not DIGIT.search(piece) or sum(map(piece.count, "0123456789")) < CANDIDATE_DIGITS:
             continue
@@ -85,14 +149,38 @@ def contexts(text: str):
             a += 1
         while not text[b - 1].isalnum():
             b -= 1
+        plain[i] = a, b
+    starts = [a for a, _ in tokens]
+    for a, b in addresses(text):
+        i = bisect_right(starts, a) - 1
+        low, high = plain.get(i, (a, b))
+        if low >= a and high <= b:  # else the token is more than the address
+            taken[i] = taken.get(i, 0) | EMAIL
+            yield a, b, EMAIL
+    for i, (a, b) in plain.items():
+        if ANY & ~taken.get(i, 0):
+            yield a, b, ANY & ~taken.get(i, 0)
+
+
+def contexts(text: str):
+    """Of every seed and every other possible identifier: kind (-1: none), start, end, value, the kinds
+    that fit and the two words before it."""
+    seeds = base_spans(text)
+    if not seeds and not DIGIT.search(text) and not AT.search(text):
+        return
+    tokens = [(m.start(), m.end()) for m in TOKEN.finditer(text)]
+    starts = [a for a, _ in tokens]
+    covered = sorted((a, b) for _, a, b in seeds)
+    spans = [(kind, a, b, 1 << kind) for kind, a, b in seeds]
+    for a, b, fits in candidates(text, tokens):
         i = bisect_right(covered, (b,))
         if not any(x < b and a < y for x, y in covered[max(0, i - 2) : i + 1]):
-            spans.append((-1, a, b))
-    for kind, a, b in spans:
+            spans.append((-1, a, b, fits))
+    for kind, a, b, fits in spans:
         i = bisect_right(starts, a) - 1
         before = [text[x:y] for x, y in tokens[max(0, i - 2) : i]]
         if before:
-            yield kind, a, b, text[a:b], before[-1], before[0] if len(before) > 1 else None
+            yield kind, a, b, text[a:b], fits, before[-1], before[0] if len(before) > 1 else None
 
 
 def pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -108,7 +196,7 @@ def occurrences(batches):
                 rows += [(j, *found) for found in contexts(text)]
         if not rows:
             continue
-        where, kind, start, end, value, near, far = zip(*rows)
+        where, kind, start, end, value, fits, near, far = zip(*rows)
         near_hash = words(pa.array(near), lower=True).hashes
         has_far = np.array([f is not None for f in far])
         far_hash = words(pa.array([f for f in far if f is not None], pa.string()), lower=True).hashes
@@ -119,8 +207,8 @@ def occurrences(batches):
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).take(place), batch.column(1).take(place), pa.array(np.array(kind, np.int32)[index]),
              pa.array(np.array(start, np.int32)[index]), pa.array(np.array(end, np.int32)[index]),
-             pa.array(np.array(value, object)[index], pa.string()), pa.array(cue)],
-            ["doc_id", "text_key", "kind", "lo", "hi", "value", "cue"])
+             pa.array(np.array(value, object)[index], pa.string()), pa.array(np.array(fits, np.int32)[index]), pa.array(cue)],
+            ["doc_id", "text_key", "kind", "lo", "hi", "value", "fits", "cue"])
 
 
 def cue_counts(batches, wanted: np.ndarray):
@@ -148,14 +236,17 @@ def discovered(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     A context is the word, or the two words, before a seed. It becomes a pattern of the seeds' kind
     if at least ``MIN_SUPPORT`` different seeds follow it. Its confidence is the share of all its
     occurrences, ordinary words included, that a seed or a found identifier follows; possible
-    identifiers not found yet count half. A token with some digits scores the noisy-or of the
-    confident patterns before it; scores feed the next round's confidences.
-    Tokens whose score ends at ``MIN_CONFIDENCE`` or more are identifiers of that kind wherever they stand
+    identifiers not found yet count half. What has the shape of an identifier scores the noisy-or of the
+    confident patterns before it; scores feed the next round's confidences. Such shapes are a token with
+    at least ``CANDIDATE_DIGITS`` digits, for every kind; groups of digits one space apart with as many, together, for
+    cards and phones up to the digits that the fixed patterns allow; and name, @, host for emails, also without a dot
+    or with "at" and "dot" written out.
+    Shapes whose score ends at ``MIN_CONFIDENCE`` or more are identifiers of that kind wherever they stand
     behind one of its patterns.
     """
     rows = docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), "text")
     seen = settled(rows.mapInArrow(
-        occurrences, "doc_id long, text_key long, kind int, lo int, hi int, value string, cue long"
+        occurrences, "doc_id long, text_key long, kind int, lo int, hi int, value string, fits int, cue long"
     ))
     strong = settled(
         seen.where("kind >= 0").groupBy("cue", "kind", "value").agg(F.count("*").alias("n"))
@@ -173,8 +264,10 @@ def discovered(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     patterns = settled(strong.join(totals, "cue"))
     # only candidates behind a pattern of some kind can score
     edges = settled(
-        seen.where("kind < 0").groupBy("cue", "value").agg(F.count("*").alias("n"))
+        seen.where("kind < 0").groupBy("cue", "value", "fits").agg(F.count("*").alias("n"))
         .join(patterns.select("cue", F.col("kind").alias("of"), "seeds", "total"), "cue")
+        .where(F.expr("getbit(fits, of) = 1"))
+        .groupBy("cue", "value", "of", "seeds", "total").agg(F.sum("n").alias("n"))
     )
     scores = None
     for _ in range(rounds):
@@ -202,7 +295,7 @@ def discovered(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     )
     cues = edges.select("cue", "value", F.col("of").alias("kind")).join(chosen, ["value", "kind"], "left_semi")
     return (
-        seen.where("kind < 0").drop("kind").join(cues, ["cue", "value"])
+        seen.where("kind < 0").drop("kind").join(cues, ["cue", "value"]).where(F.expr("getbit(fits, kind) = 1"))
         .select("doc_id", "text_key", "kind", "lo", "hi").distinct()
     )
 
@@ -221,6 +314,16 @@ def with_discovered(docs: DataFrame) -> DataFrame:
     return joined.select(*docs.columns, F.coalesce("found", F.array().cast(SPANS)).alias("found"))
 
 
+def outermost(spans: list[dict]) -> list[dict]:
+    """The spans that lie within no other, by kind, then start."""
+    kept, reach = [], -1
+    for s in sorted(spans, key=lambda s: (s["lo"], -s["hi"], s["kind"])):
+        if s["hi"] > reach:
+            kept.append(s)
+            reach = s["hi"]
+    return sorted(kept, key=lambda s: (s["kind"], s["lo"], s["hi"]))
+
+
 def annotated(docs: DataFrame) -> DataFrame:
     """Every row of ``docs`` with its spans: base and found, arrays of (kind, lo, hi) in code points.
 
@@ -236,7 +339,9 @@ def annotated(docs: DataFrame) -> DataFrame:
             at = batch.schema.get_field_index("base")
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             spans = [[{"kind": k, "lo": a, "hi": b} for k, a, b in base_spans(t or "")] for t in texts]
-            columns = [pa.array(spans, SPAN) if j == at else c for j, c in enumerate(batch.columns)]
+            wide = [outermost(f) for f in batch.column(at + 1).to_pylist()]
+            given = {at: spans, at + 1: wide}
+            columns = [pa.array(given[j], SPAN) if j in given else c for j, c in enumerate(batch.columns)]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     return given.mapInArrow(run, given.schema)
