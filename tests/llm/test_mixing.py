@@ -43,3 +43,29 @@ def test_odd_inputs(spark, docs):
 def test_plan_has_no_python_and_one_shuffle_of_the_texts(spark, docs):
     plan = mixing.mixed(docs([(1, "a", None, "s")]))._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "Cartesian"))
+
+
+def slow_plan(shares):
+    """Slots of a period, one by one: of the released blocks the earliest deadline, ties to the first source."""
+    period, done, plan = sum(shares.values()), dict.fromkeys(shares, 0), []
+    for slot in range(period):
+        free = [(-(-(done[s] + 1) * period // a), s) for s, a in sorted(shares.items()) if done[s] * period // a <= slot]
+        plan.append((min(free)[1], done[min(free)[1]]))
+        done[min(free)[1]] += 1
+    return plan
+
+
+def test_plan_by_definition(spark):
+    for shares, other, n in (({"b": 4, "f": 3, "m": 2}, 1, 20), ({"c": 5, "z": 1}, 3, 9), ({}, 2, 5), ({"a": 7, "q": 7}, 2, 1)):
+        every = {**{chr(ord("a") + i): other for i in range(n)}, **shares}
+        sources = spark.createDataFrame([(s, 1) for s in every], "source string, n long")
+        plan, period = mixing.periodic_slots(sources, shares, other)
+        found = [(r._source, r._turn) for r in sorted(plan.collect(), key=lambda r: r.at)]
+        assert period == sum(every.values()) and found == slow_plan(every)
+
+
+def test_more_sources_than_a_period_once_had(spark):
+    df = spark.range(30_000).selectExpr("id AS doc_id", "'t' AS text", "concat('site', id % 25000) AS source")
+    rows = mixing.mixed(df, shares={"site7": 4}, block_docs=1).collect()
+    assert len(rows) == 30_000 and len({r.slot for r in rows}) == 30_000
+    assert all(r.release <= r.slot < r.deadline for r in rows)
