@@ -85,8 +85,53 @@ SELECT doc_id, source, block, CAST(index % 8 AS INTEGER) AS place,
 FROM placed
 """
 
+FILTERS = r"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), firsts AS (
+    SELECT text, min(doc_id) AS first_id FROM docs GROUP BY text
+), failing AS (
+    SELECT doc_id, part, len(words) < 200 AS a, 100 * len(list_distinct(words)) < 50 * len(words) AS b,
+        100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) AS c,
+        regexp_matches(text, '[#$%&*|]') AS d, coalesce(doc_id > first_id, false) AS e
+    FROM docs JOIN firsts USING (text)
+), said AS (
+    SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+    FROM labels GROUP BY doc_id
+), sets AS (
+    SELECT part, concat(CASE WHEN a THEN 'A' ELSE '' END, CASE WHEN b THEN 'B' ELSE '' END, CASE WHEN c THEN 'C' ELSE '' END,
+            CASE WHEN d THEN 'D' ELSE '' END, CASE WHEN e THEN 'E' ELSE '' END) AS fails,
+        count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+    FROM failing LEFT JOIN said USING (doc_id) GROUP BY ALL
+), orders(filter_order) AS (
+    SELECT '' UNION ALL
+    SELECT filter_order || letter FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter)
+    WHERE NOT contains(filter_order, letter)
+), steps AS (
+    SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS own, filter_order[1:step - 1] AS earlier
+    FROM orders, range(1, 6) AS r(step) WHERE length(filter_order) = 5
+), taken AS (
+    SELECT part, filter_order, step, own, n, good, toxic, fails, contains(fails, own) AS hit,
+        earlier <> '' AND regexp_matches(fails, '[' || CASE earlier WHEN '' THEN '-' ELSE earlier END || ']') AS gone
+    FROM sets, steps
+), counted AS (
+    SELECT part, filter_order, step, own,
+        coalesce(sum(n) FILTER (NOT hit AND NOT gone), 0)::BIGINT AS kept,
+        coalesce(sum(n) FILTER (hit AND NOT gone), 0)::BIGINT AS removed,
+        coalesce(sum(n) FILTER (hit AND gone), 0)::BIGINT AS redundant,
+        coalesce(sum(n) FILTER (fails = own), 0)::BIGINT AS unique_fails,
+        coalesce(sum(good) FILTER (hit AND NOT gone), 0)::BIGINT AS good_lost,
+        coalesce(sum(toxic) FILTER (hit AND NOT gone), 0)::BIGINT AS toxic_lost
+    FROM taken GROUP BY ALL
+)
+SELECT * EXCLUDE (own), CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM counted
+"""
+
 TEXTS: dict[str, str] = {
     "op4_topk": TOP_K,
     "op5_chat": CHAT,
     "op7_mixing": MIXING,
+    "op13_filters": FILTERS,
 }
