@@ -85,6 +85,48 @@ SELECT doc_id, source, block, CAST(index % 8 AS INTEGER) AS place,
 FROM placed
 """
 
+SHARDING = r"""
+WITH RECURSIVE crc_table AS (
+    SELECT list(value ORDER BY byte) AS entries FROM (
+        SELECT byte, list_reduce(range(8), lambda c, i: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END), byte) AS value
+        FROM range(256) AS r(byte)
+    )
+), keyed AS (
+    SELECT doc_id, text, coalesce(CAST(doc_id AS VARCHAR), '') AS key, hex(encode(coalesce(text, ''))) AS digits
+    FROM documents
+), sized AS (
+    SELECT doc_id, text, key, length(digits) // 2 + 1 AS size,
+        xor(list_reduce(
+            list_transform(regexp_extract_all(digits, '..'), lambda h: CAST('0x' || h AS BIGINT)),
+            lambda c, b: xor(c >> 8, entries[CAST(xor(c, b) & 255 AS BIGINT) + 1]), 4294967295::BIGINT
+        ), 4294967295) AS text_crc32
+    FROM keyed, crc_table
+), draws AS (
+    SELECT key, path, -ln((CAST('0x' || substr(md5(key || '/' || path), 1, 13) AS BIGINT) + 0.5) / 4503599627370496::DOUBLE) AS time
+    FROM (SELECT DISTINCT key FROM keyed), (
+        SELECT 'r.' || r AS path FROM range(5) AS x(r) UNION ALL
+        SELECT 'r.' || r || '.' || k FROM range(5) AS x(r), range(2) AS y(k) WHERE r < 4 OR k = 0 UNION ALL
+        SELECT 'r.' || r || '.' || k || '.' || s FROM range(5) AS x(r), range(2) AS y(k), range(2) AS z(s) WHERE r < 4 OR k + s = 0
+    )
+), regions AS (
+    SELECT key, arg_min(path, [time / 4, path[3]::INT]) FILTER (path <> 'r.4') AS region,
+        arg_min(path, [time / CASE path WHEN 'r.4' THEN 1 ELSE 4 END, path[3]::INT]) AS grown_region
+    FROM draws WHERE length(path) = 3 GROUP BY key
+), racks AS (
+    SELECT d.key, arg_min(d.path, [time, d.path[5]::INT]) AS rack, any_value(grown_region) AS grown_region
+    FROM draws d JOIN regions r ON d.key = r.key AND d.path[1:3] = r.region AND length(d.path) = 5 GROUP BY d.key
+), shards AS (
+    SELECT d.key, arg_min(d.path, [time, d.path[7]::INT]) AS path, any_value(grown_region) AS grown_region
+    FROM draws d JOIN racks r ON d.key = r.key AND d.path[1:5] = r.rack AND length(d.path) = 7 GROUP BY d.key
+), placed AS (
+    SELECT key, 4 * path[3]::INT + 2 * path[5]::INT + path[7]::INT AS shard, grown_region FROM shards
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+    row_number() OVER (PARTITION BY shard ORDER BY md5(key), doc_id NULLS FIRST, size, text_crc32) - 1 AS slot,
+    CASE grown_region WHEN 'r.4' THEN 16 ELSE shard END AS grown_shard
+FROM sized JOIN placed USING (key)
+"""
+
 FILTERS = r"""
 WITH RECURSIVE docs AS (
     SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
@@ -133,5 +175,6 @@ TEXTS: dict[str, str] = {
     "op4_topk": TOP_K,
     "op5_chat": CHAT,
     "op7_mixing": MIXING,
+    "op12_sharding": SHARDING,
     "op13_filters": FILTERS,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import audit, chat, decontaminate, language, mixing, pii, ppm, simhash, substrings, topk, toxicity
+from tillroll.llm import audit, chat, decontaminate, language, mixing, pii, ppm, sharding, simhash, substrings, topk, toxicity
 from tillroll.llm.common import fold, small_batches, table
 
 
@@ -89,6 +89,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
 
 
+def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.sharded(table(spark, folder, "documents"))
+
+
 def op13_filters(spark: SparkSession, folder: str) -> DataFrame:
     return audit.audited(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -108,6 +112,7 @@ QUERIES = {
     "op8_ppm": op8_ppm,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
+    "op12_sharding": op12_sharding,
     "op13_filters": op13_filters,
 }
 QUERIES = {name: _with_small_batches(query) for name, query in QUERIES.items()}
