@@ -85,6 +85,41 @@ SELECT doc_id, source, block, CAST(index % 8 AS INTEGER) AS place,
 FROM placed
 """
 
+CODES = """
+WITH kept AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), points AS MATERIALIZED (
+    SELECT vec_id, part, v[part * len(v) // 4 + 1 : (part + 1) * len(v) // 4] AS p FROM kept, range(4) AS r(part)
+), book0 AS MATERIALIZED (
+    SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, p AS c
+    FROM points WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 256)
+)"""
+NEAREST = """, near{n} AS MATERIALIZED (
+    SELECT vec_id, part, any_value(p) AS p, arg_min(entry, [list_inner_product(c, c) - 2 * list_inner_product(c, p), entry]) AS entry
+    FROM points JOIN book{n} USING (part) GROUP BY vec_id, part
+)"""
+MEANS = """, means{n} AS (
+    SELECT part, entry, list(mean ORDER BY i) AS c FROM (
+        SELECT part, entry, i, floor(sum(p[i]) / count(*)) AS mean
+        FROM near{n}, range(1, (SELECT max(len(p)) + 1 FROM points)) AS r(i) GROUP BY part, entry, i
+    ) GROUP BY part, entry
+), book{m} AS MATERIALIZED (
+    SELECT part, entry, coalesce(means{n}.c, book{n}.c) AS c FROM book{n} LEFT JOIN means{n} USING (part, entry)
+)"""
+CODES += "".join(NEAREST.format(n=n) + MEANS.format(n=n, m=n + 1) for n in range(4)) + NEAREST.format(n=4) + """, coded AS (
+    SELECT vec_id, string_agg(printf('%02x', n.entry), '' ORDER BY part) AS code,
+        CAST(sum(list_inner_product(p, p) - 2 * list_inner_product(p, c) + list_inner_product(c, c)) AS BIGINT) AS error
+    FROM near4 n JOIN book4 USING (part, entry) GROUP BY vec_id
+), digest AS (
+    SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: CAST(x AS BIGINT)), ','), ',' ORDER BY part, entry)) AS codebooks_sha256
+    FROM book4
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (vec_id), digest
+"""
+
 SHARDING = r"""
 WITH RECURSIVE crc_table AS (
     SELECT list(value ORDER BY byte) AS entries FROM (
@@ -175,6 +210,7 @@ TEXTS: dict[str, str] = {
     "op4_topk": TOP_K,
     "op5_chat": CHAT,
     "op7_mixing": MIXING,
+    "op11_codes": CODES,
     "op12_sharding": SHARDING,
     "op13_filters": FILTERS,
 }

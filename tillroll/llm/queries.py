@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import audit, chat, decontaminate, language, mixing, pii, ppm, sharding, simhash, substrings, topk, toxicity
+from tillroll.llm import audit, chat, codes, decontaminate, language, mixing, pii, ppm, sharding, simhash, substrings, topk, toxicity
 from tillroll.llm.common import fold, small_batches, table
 
 
@@ -89,6 +89,18 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
 
 
+def op11_codes(spark: SparkSession, folder: str) -> DataFrame:
+    found = codes.compressed(table(spark, folder, "embeddings"))
+    digits = F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0")))
+    return found.rows.select(
+        "vec_id",
+        F.array_join(digits, "").alias("code"),
+        "error",
+        "label_error",
+        F.lit(found.books_sha256()).alias("codebooks_sha256"),
+    )
+
+
 def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.sharded(table(spark, folder, "documents"))
 
@@ -112,6 +124,7 @@ QUERIES = {
     "op8_ppm": op8_ppm,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
+    "op11_codes": op11_codes,
     "op12_sharding": op12_sharding,
     "op13_filters": op13_filters,
 }
