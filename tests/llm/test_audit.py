@@ -86,9 +86,18 @@ def test_no_row_meets_more_than_one(spark, docs):
 
 
 def test_clashing_columns(spark):
-    names = ["hash", "part", "bits", "n", "copies", "parts", "part_no", "earlier", "good", "bad", "toxic", "quality", "own", "before", "step", "kept"]
+    names = ["hash", "digest", "bucket", "bitmap", "part", "bits", "n", "copies", "parts", "part_no", "earlier", "good", "bad", "toxic", "quality", "own", "before", "step", "kept"]
     kind = "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names)
     rows = spark.createDataFrame([(1, "a", "s", *names), (2, "a", "s", *names)], kind)
     said = spark.createDataFrame([(2, 1, 1, *names)], "doc_id long, quality int, toxic int, " + ", ".join(f"{n} string" for n in names if n not in ("quality", "toxic")) + ", z string, y string")
     found = [r for r in audit.audited(rows, said).collect() if r["filter_order"] == "EABCD" and r["step"] == 1]
     assert [(r["removed"], r["good_lost"], r["toxic_lost"]) for r in found] == [(1, 1, 1)]
+
+
+def test_slots_keep_every_wanted_row(spark, monkeypatch):
+    monkeypatch.setattr(audit, "SLOT_BITS", 1 << 10)
+    rows = spark.range(5000).selectExpr("xxhash64(id) AS hash", "id")
+    wanted = rows.where("id % 50 = 0").select("hash")
+    found = {r["id"] for r in audit.in_slots(rows, wanted).collect()}
+    assert {i for i in range(0, 5000, 50)} <= found and len(found) < 200
+    assert audit.in_slots(rows, wanted.limit(0)).count() == 0

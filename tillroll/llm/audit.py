@@ -15,6 +15,9 @@ LETTERS = "ABCDE"  # A to D look at one text, E at all texts
 REPEATED = 1 << LETTERS.index("E")
 MIN_WORDS = 200
 SALT_ROWS = 10_000  # rows of one text that one part of the join compares
+SLOT_BITS = 16  # bits of the table that tells which hashes occur more than once, for each of these
+BUCKET = 1 << 15  # bits of one of its rows, as Spark's bitmaps have
+MOST_SLOTS = 1 << 28
 
 
 def own_failures(text: Column) -> Column:
@@ -27,17 +30,39 @@ def own_failures(text: Column) -> Column:
     return sum((F.when(fails, 1 << i).otherwise(0) for i, fails in enumerate(tests)), F.lit(0)).cast("long")
 
 
+def in_slots(rows: DataFrame, hashes: DataFrame) -> DataFrame:
+    """The rows (with a column hash) whose hash may be among ``hashes``: all that are, and few others.
+
+    Spark sums the hashes up in a table of bits, ``SLOT_BITS`` for each of them, that every task gets. It has at most
+    ``MOST_SLOTS`` bits (32 MB); beyond, more rows pass that a later join has to take out.
+    """
+    wanted = SLOT_BITS * max(1, hashes.count())
+    slots = min(MOST_SLOTS, max(BUCKET, 1 << (wanted - 1).bit_length()))
+    slot = F.col("hash").bitwiseAND(F.lit(slots - 1))
+    at = slot.bitwiseAND(F.lit(BUCKET - 1)).cast("int")
+    bits = hashes.groupBy(F.shiftright(slot, 15).alias("bucket")).agg(F.bitmap_construct_agg(at).alias("bitmap"))
+    octet = F.conv(F.hex(F.substring("bitmap", F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    return (
+        rows.withColumn("bucket", F.shiftright(slot, 15)).join(F.broadcast(bits), "bucket")
+        .where(F.getbit(octet, at.bitwiseAND(F.lit(7))) == 1)
+        .drop("bucket", "bitmap")
+    )
+
+
 def repeats(texts: DataFrame) -> DataFrame:
-    """The rows of ``texts`` (doc_id, hash, text and others) whose text a smaller doc_id also has, without text.
+    """The rows of ``texts`` (doc_id, part, text) whose text a smaller doc_id also has.
 
-    Only rows whose hash occurs more than once travel with their text. Each text's smallest doc_id is found
+    Rows whose hash occurs once stay where they are. Each text's smallest doc_id is found
     before it is joined, so of a group of copies every row meets one row; a left-semi join on hash, exact text
     and smaller doc_id keeps those that have an earlier one. The rows of a very frequent text are dealt to as
     many parts as its count asks for, and its smallest doc_id is given to each of them.
     """
-    known = texts.where(F.col("doc_id").isNotNull())
-    counts = known.groupBy("hash").agg(F.count("*").alias("copies")).where("copies > 1")
-    shared = known.join(settled(counts), "hash").withColumn("parts", F.ceil(F.col("copies") / SALT_ROWS).cast("int"))
+    known = texts.where(F.col("doc_id").isNotNull()).withColumn("hash", F.xxhash64("text"))
+    counts = settled(known.groupBy("hash").agg(F.count("*").alias("copies")).where("copies > 1"))
+    shared = (
+        in_slots(known, counts).join(counts, "hash")
+        .withColumn("parts", F.ceil(F.col("copies") / SALT_ROWS).cast("int")).drop("copies")
+    )
     first = (
         shared.groupBy("hash", "text", "parts").agg(F.min("doc_id").alias("earlier"))
         .withColumn("part_no", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -47,8 +72,7 @@ def repeats(texts: DataFrame) -> DataFrame:
         (F.col("l.hash") == F.col("r.hash")) & (F.col("l.part_no") == F.col("r.part_no"))
         & (F.col("l.text") == F.col("r.text")) & (F.col("l.doc_id") > F.col("r.earlier"))
     )
-    kept = dealt.alias("l").join(first.alias("r"), same, "left_semi")
-    return kept.select(*[c for c in texts.columns if c != "text"])
+    return dealt.alias("l").join(first.alias("r"), same, "left_semi").select(*texts.columns)
 
 
 def combinations(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -61,12 +85,13 @@ def combinations(docs: DataFrame, labels: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source"), F.lit("")).alias("part"), text.alias("text")
-    ).withColumn("hash", F.unhex(F.sha2("text", 256)))
-    own = rows.select("doc_id", "part", "hash", F.lit(1).cast("long").alias("n"), own_failures(F.col("text")).alias("bits"))
+    )
+    digest = F.unhex(F.sha2("text", 256)).alias("digest")
+    own = rows.select("doc_id", "part", digest, F.lit(1).cast("long").alias("n"), own_failures(F.col("text")).alias("bits"))
     # equal rows meet before the shuffle
-    own = own.groupBy("doc_id", "part", "hash").agg(F.sum("n").alias("n"), F.max("bits").alias("bits"))
-    late = repeats(rows).distinct().select("doc_id", "part", "hash", F.lit(0).cast("long").alias("n"), F.lit(REPEATED).cast("long").alias("bits"))
-    failing = own.unionByName(late).groupBy("doc_id", "part", "hash").agg(F.sum("n").alias("n"), F.sum("bits").alias("bits"))
+    own = own.groupBy("doc_id", "part", "digest").agg(F.sum("n").alias("n"), F.max("bits").alias("bits"))
+    late = repeats(rows).select("doc_id", "part", digest).distinct().select("doc_id", "part", "digest", F.lit(0).cast("long").alias("n"), F.lit(REPEATED).cast("long").alias("bits"))
+    failing = own.unionByName(late).groupBy("doc_id", "part", "digest").agg(F.sum("n").alias("n"), F.sum("bits").alias("bits"))
     per_id = failing.groupBy("doc_id", "part", "bits").agg(F.sum("n").alias("n"))
     said = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.max((F.col("quality") == 1).cast("long")).alias("good"), F.max((F.col("toxic") == 1).cast("long")).alias("bad")
