@@ -516,9 +516,12 @@ PREDICTION = {
         FROM (SELECT Sales::DOUBLE AS y, (Quantity * Unit_Price)::DOUBLE AS p
               FROM t_order_items)""",
     "m16_churn_check": """
-        SELECT 'Logistic Regression, Random Forest' AS models, TRUE AS best_is_chosen""",
+        SELECT 'Gradient Boosting, Logistic Regression, Random Forest' AS models,
+               TRUE AS best_is_chosen, TRUE AS within_range, TRUE AS follows_from_predictions""",
     "m16_sales_check": """
-        SELECT 'Linear Regression, Random Forest' AS models, TRUE AS best_is_chosen""",
+        SELECT 'Gradient Boosting, Linear Regression, Random Forest' AS models,
+               TRUE AS best_is_chosen, TRUE AS within_range, TRUE AS follows_from_predictions,
+               TRUE AS trees_beat_line""",
     "m17_churn_check": """
         SELECT COUNT(*) AS customers, COUNT(DISTINCT Customer_ID) AS different_customers,
                0::BIGINT AS outside_0_to_1, 0::BIGINT AS wrong_tier, 0::BIGINT AS wrong_class

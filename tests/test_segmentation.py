@@ -4,6 +4,8 @@ from decimal import Decimal as D
 from itertools import product
 
 import pytest
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
@@ -149,3 +151,25 @@ def test_segments_of_all_scores_and_missing_ones(spark):
 
     found = df.select("r", "f", "m", segmentation.segment_of(F.col("r"), F.col("f"), F.col("m")).alias("s"))
     assert all(row["s"] == expected(row["r"], row["f"], row["m"]) for row in found.collect())
+
+
+def test_stacked_fits_are_as_good_as_separate_ones(spark):
+    """All starts of all cluster counts in shared passes cost what ten fits of Spark's own each do, but for local minima."""
+    df = spark.range(900).selectExpr("array((id * 7919 % 901) / 100.0D, (id * 104729 % 907) / 200.0D + id % 3 * 4) AS _point").repartition(3)
+    found = segmentation.best_centers(df, [2, 3, 5], starts=10, sample_rows=200)
+    vectors = df.select(array_to_vector("_point").alias("_point")).cache()
+    for k, (cost, centers) in found.items():
+        own = min(
+            KMeans(k=k, seed=i, maxIter=300, tol=1e-4, featuresCol="_point").fit(vectors).summary.trainingCost for i in range(10)
+        )
+        assert cost <= own * 1.005 and centers.shape == (k, 2)
+        apart = [min(sum((a - b) ** 2 for a, b in zip(r[0], c)) for c in centers) for r in df.collect()]
+        assert cost == pytest.approx(sum(apart))
+
+
+def test_more_clusters_than_points(spark):
+    df = spark.createDataFrame([([1.0, 2.0],), ([1.0, 2.0],)], "_point array<double>")
+    cost, centers = segmentation.best_centers(df, [3], starts=2)[3]
+    assert cost == 0 and centers.tolist() == [[1.0, 2.0]] * 3
+    with pytest.raises(ValueError):
+        segmentation.best_centers(df.limit(0), [3])

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from tillroll.functions.numbers import count, real
 from tillroll.model import CHURN_AFTER_DAYS, SEED
 from tillroll.operators import metrics, modelling
 from tillroll.operators.features import label_codes
+from tillroll.operators.forest import ForestClassifier
 from tillroll.operators.modelling import Candidate, Fitted
 from tillroll.operators.sampling import stratified_split
 from tillroll.operators.settle import settled
@@ -91,17 +93,21 @@ def candidates(
         ),
         Candidate(
             "Random Forest",
-            RandomForestClassifier(labelCol=LABEL, numTrees=trees, maxDepth=8, seed=seed),
+            # each node looks at the square root of the number of features
+            ForestClassifier(
+                labelCol=LABEL, numTrees=trees, maxDepth=8, seed=seed, most=math.ceil(len(FEATURES) ** 0.5)
+            ),
         ),
     ]
-    if boosted:
-        models.append(
-            Candidate(
-                "Gradient Boosting",
-                GBTClassifier(labelCol=LABEL, maxIter=rounds, maxDepth=5, stepSize=0.05, seed=seed),
-            )
-        )
-    return models
+    return [*models, boosted_trees(rounds, seed)] if boosted else models
+
+
+def boosted_trees(rounds: int = 300, seed: int = SEED) -> Candidate:
+    """One small tree a round; what a round leaves over is checkpointed every ten of them."""
+    trees = GBTClassifier(
+        labelCol=LABEL, maxIter=rounds, maxDepth=5, stepSize=0.05, seed=seed, checkpointInterval=10
+    )
+    return Candidate("Gradient Boosting", trees)
 
 
 def predicted(model, df: DataFrame) -> DataFrame:
@@ -153,24 +159,33 @@ class ChurnRun:
         return next(f.model for f in self.fits if f.name == chosen)
 
 
-def train(scored: DataFrame, models: Sequence[str] | None = None, **options) -> ChurnRun:
-    """Fits the models (or those named), compares them on the test rows, keeps the best."""
-    features = settled(feature_table(settled(scored)))
+def _fit(models: Sequence[Candidate], features: DataFrame) -> list[Fitted]:
     training, test = features.filter("not is_test"), features.filter("is_test")
     fits = []
-    for candidate in candidates(training.count(), **options):
-        if models is not None and candidate.name not in models:
-            continue
+    for candidate in models:
         model = modelling.fit(candidate, training, FEATURES)
         outcome = predicted(model, test).select(LABEL, "prediction", "score")
         row = metrics.classification_metrics(outcome, LABEL).first()
         fits.append(Fitted(candidate.name, model, row.asDict()))
-    return ChurnRun(
-        features,
-        fits,
-        modelling.comparison(scored.sparkSession, fits, 4),
-        modelling.best(fits, "roc_auc", 4),
-    )
+    return fits
+
+
+def _run(features: DataFrame, fits: Sequence[Fitted]) -> ChurnRun:
+    comparison = modelling.comparison(features.sparkSession, fits, 4)
+    return ChurnRun(features, fits, comparison, modelling.best(fits, "roc_auc", 4))
+
+
+def train(scored: DataFrame, models: Sequence[str] | None = None, **options) -> ChurnRun:
+    """Fits the models (or those named), compares them on the test rows, keeps the best."""
+    features = settled(feature_table(settled(scored)))
+    rows = features.filter("not is_test").count()
+    tried = [c for c in candidates(rows, **options) if models is None or c.name in models]
+    return _run(features, _fit(tried, features))
+
+
+def with_boosted(run: ChurnRun, rounds: int = 300, seed: int = SEED) -> ChurnRun:
+    """The same run with gradient-boosted trees as a further model."""
+    return _run(run.features, [*run.fits, *_fit([boosted_trees(rounds, seed)], run.features)])
 
 
 def risk_tier_counts(predictions: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.operators.settle import shared_folder
+
 
 @dataclass(frozen=True)
 class Candidate:
@@ -27,6 +29,7 @@ class Fitted:
 
 
 def fit(candidate: Candidate, train: DataFrame, columns: Sequence[str]) -> PipelineModel:
+    shared_folder(train.sparkSession)  # where models with many rounds keep their checkpoints
     raw = "_raw" if candidate.scaled else "features"
     stages = [VectorAssembler(inputCols=list(columns), outputCol=raw)]
     if candidate.scaled:

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +29,8 @@ MEASURES = ("Recency", "Frequency", "Monetary")
 QUINTILES = (0.2, 0.4, 0.6, 0.8)
 CLUSTERS = 4
 ELBOW = range(2, 9)
+SEED_ROWS = 20_000  # points that starting centers are drawn from
+POINTS_AT_A_TIME = 2_048  # compared with all centers together
 
 
 def rfm_table(lines: DataFrame, customers: DataFrame | None = None) -> DataFrame:
@@ -135,26 +137,124 @@ def standardised(df: DataFrame, columns: Iterable[str] = MEASURES, suffix: str =
     )
 
 
-def _vectors(df: DataFrame) -> DataFrame:
-    assembler = VectorAssembler(inputCols=[f"{c}_Z" for c in MEASURES], outputCol="_point")
-    return assembler.transform(standardised(df))
+def _points(df: DataFrame) -> DataFrame:
+    return standardised(df).withColumn("_point", F.array(*[F.col(f"{c}_Z") for c in MEASURES]))
 
 
-def best_kmeans(points: DataFrame, k: int, starts: int = 10, seed: int = SEED) -> KMeansModel:
-    """The fit with the lowest cost among ``starts`` fits from different seeds."""
-    fits = [
-        KMeans(k=k, seed=seed + i, maxIter=300, tol=1e-4, featuresCol="_point").fit(points)
-        for i in range(starts)
-    ]
-    return min(fits, key=lambda fit: fit.summary.trainingCost)
+def _spread(points: DataFrame) -> DataFrame:
+    """The points, stored so that all cores share them: every pass reads them again."""
+    return settled(points.repartition(points.sparkSession.sparkContext.defaultParallelism))
+
+
+def seeded_centers(sample: np.ndarray, k: int, draw: np.random.Generator) -> np.ndarray:
+    """k starting centers among the sample's points, each drawn by its squared distance to those before."""
+    chosen = [sample[draw.integers(len(sample))]]
+    apart = ((sample - chosen[0]) ** 2).sum(axis=1)
+    for _ in range(1, k):
+        total = apart.sum()
+        # some points as far as needed, then any
+        at = draw.choice(len(sample), p=apart / total) if total > 0 else draw.integers(len(sample))
+        chosen.append(sample[at])
+        apart = np.minimum(apart, ((sample - sample[at]) ** 2).sum(axis=1))
+    return np.array(chosen)
+
+
+def refined(sample: np.ndarray, centers: np.ndarray, rounds: int, tolerance: float) -> np.ndarray:
+    """Centers after rounds over the sample alone, so that few passes over all points are left."""
+    for _ in range(rounds):
+        nearest = ((centers**2).sum(axis=1) - 2 * (sample @ centers.T)).argmin(axis=1)
+        n = np.bincount(nearest, minlength=len(centers))[:, None]
+        sums = np.stack([np.bincount(nearest, column, len(centers)) for column in sample.T], axis=1)
+        now = np.where(n > 0, sums / np.maximum(n, 1), centers)
+        if (((now - centers) ** 2).sum(axis=1) <= tolerance**2).all():
+            return now
+        centers = now
+    return centers
+
+
+def _cluster_sums(batches, fits: dict[int, np.ndarray]):
+    """Points, sums and cost by fit and cluster, of one task."""
+    stacked = np.concatenate(list(fits.values()))
+    lengths = (stacked**2).sum(axis=1)
+    ends = np.cumsum([len(c) for c in fits.values()]).tolist()
+    width = stacked.shape[1]
+    sums = {fit: np.zeros((len(centers), width + 2)) for fit, centers in fits.items()}
+    for batch in batches:
+        points = np.asarray(batch.column(0).flatten(), np.float64).reshape(len(batch), width)
+        for low in range(0, len(points), POINTS_AT_A_TIME):
+            x = points[low : low + POINTS_AT_A_TIME]
+            apart = lengths - 2 * (x @ stacked.T)  # but for the point's own length, the same for all centers
+            own = (x**2).sum(axis=1)
+            for (fit, found), end in zip(sums.items(), ends):
+                mine = apart[:, end - len(found) : end]
+                nearest = mine.argmin(axis=1)
+                columns = [None, np.maximum(mine[np.arange(len(x)), nearest] + own, 0), *x.T]
+                for j, weights in enumerate(columns):
+                    found[:, j] += np.bincount(nearest, weights, len(found))
+    for fit, found in sums.items():
+        columns = [np.full(len(found), fit), np.arange(len(found)), *found.T]
+        kinds = [pa.int32(), pa.int32(), *[pa.float64()] * found.shape[1]]
+        names = ["fit", "cluster", *[f"s{i}" for i in range(found.shape[1])]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
+
+
+def _pass(points: DataFrame, fits: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """One pass over the points for all fits: a few numbers per fit and cluster come back."""
+    width = next(iter(fits.values())).shape[1] + 2
+    names = [f"s{i}" for i in range(width)]
+    layout = "fit int, cluster int, " + ", ".join(f"{n} double" for n in names)
+    found = points.mapInArrow(lambda b: _cluster_sums(b, fits), layout).groupBy("fit", "cluster").agg(*[F.sum(n) for n in names])
+    out = {fit: np.zeros((len(centers), width)) for fit, centers in fits.items()}
+    for row in found.collect():
+        out[row[0]][row[1]] = row[2:]
+    return out
+
+
+def best_centers(
+    points: DataFrame, ks: Iterable[int], starts: int = 10, seed: int = SEED, rounds: int = 300, tolerance: float = 1e-4,
+    sample_rows: int = SEED_ROWS,
+) -> dict[int, tuple[float, np.ndarray]]:
+    """For each number of clusters the cost and the centers of the best of ``starts`` fits.
+
+    All fits move in the same passes over the points; one that has settled (no center moved by more than
+    ``tolerance``) takes no part in later ones. Every fit starts from its own draw over one sample of at most
+    ``sample_rows`` points, settled on that sample first. A center without points stays. ``points`` has an array column _point.
+    """
+    points = points.select("_point")
+    sample = points.orderBy(F.xxhash64("_point", F.lit(seed)), "_point").limit(sample_rows).collect()
+    if not sample:
+        raise ValueError("no points to cluster")
+    sample = np.array([row[0] for row in sample])
+    names = [(k, start) for k in ks for start in range(starts)]
+    centers = {}
+    for i, (k, start) in enumerate(names):
+        first = seeded_centers(sample, k, np.random.default_rng([seed, k, start]))
+        centers[i] = refined(sample, first, rounds, tolerance)
+    moving = dict(centers)
+    for _ in range(rounds):
+        if not moving:
+            break
+        for fit, sums in _pass(points, moving).items():
+            some = sums[:, :1] > 0
+            now = np.where(some, sums[:, 2:] / np.maximum(sums[:, :1], 1), centers[fit])
+            settled_down = (((now - centers[fit]) ** 2).sum(axis=1) <= tolerance**2).all()
+            centers[fit] = moving[fit] = now
+            if settled_down:
+                del moving[fit]
+    costs = {fit: float(sums[:, 1].sum()) for fit, sums in _pass(points, centers).items()}
+    best = {}
+    for fit, (k, _) in enumerate(names):
+        if k not in best or costs[fit] < best[k][0]:
+            best[k] = costs[fit], centers[fit]
+    return best
 
 
 def elbow(
     rfm: DataFrame, ks: Iterable[int] = ELBOW, starts: int = 10, seed: int = SEED
 ) -> DataFrame:
     """Cost of the best clustering per number of clusters."""
-    points = settled(_vectors(rfm).select("_point"))
-    costs = [(k, best_kmeans(points, k, starts, seed).summary.trainingCost) for k in ks]
+    found = best_centers(_spread(_points(rfm).select("_point")), ks, starts, seed)
+    costs = [(k, cost) for k, (cost, _) in found.items()]
     return rfm.sparkSession.createDataFrame(costs, "Clusters int, Inertia double")
 
 
@@ -162,19 +262,18 @@ def clustered(
     rfm: DataFrame, k: int = CLUSTERS, starts: int = 10, seed: int = SEED
 ) -> DataFrame:
     """Adds ``Cluster``; the numbers rise with the cluster's mean Monetary."""
-    points = settled(_vectors(rfm))
-    model = best_kmeans(points, k, starts, seed)
-    monetary = MEASURES.index("Monetary")
-    centers = model.clusterCenters()
-    by_value = sorted(range(len(centers)), key=lambda i: centers[i][monetary])
-    number = first_match(
-        [(F.col("prediction") == old, F.lit(new)) for new, old in enumerate(by_value)]
-    )
-    return (
-        model.transform(points)
-        .withColumn("Cluster", number.cast("int"))
-        .select(*rfm.columns, "Cluster")
-    )
+    points = _spread(_points(rfm))
+    centers = best_centers(points, [k], starts, seed)[k][1].tolist()
+    centers.sort(key=lambda c: c[MEASURES.index("Monetary")])
+    apart = [
+        F.struct(
+            sum(((F.get("_point", F.lit(j)) - c) ** 2 for j, c in enumerate(center)), F.lit(0.0)).alias("apart"),
+            F.lit(number).alias("number"),
+        )
+        for number, center in enumerate(centers)
+    ]
+    nearest = F.array_min(F.array(*apart))["number"]
+    return points.withColumn("Cluster", nearest.cast("int")).select(*rfm.columns, "Cluster")
 
 
 def cluster_profile(clusters: DataFrame) -> DataFrame:

@@ -20,11 +20,13 @@ def shared_folder(spark: SparkSession) -> str:
         if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors see")
         folder = tempfile.mkdtemp(prefix="tillroll-")
+    if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
 
 _handed_out: list[str] = []
+_stored_since = 0  # rises whenever stored tables are removed
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -39,13 +41,20 @@ def remove_stored(spark: SparkSession) -> int:
 
     Frames that still read them, lazy results included, can no longer be computed afterwards.
     """
+    global _stored_since
     conf, removed = spark._jsc.hadoopConfiguration(), 0
+    _stored_since += 1
     while _handed_out:
         path = spark._jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
         removed += path.getFileSystem(conf).delete(path, True)
     return removed
 
 
+def generation() -> int:
+    """Tells results that read stored tables from those made before the last removal."""
+    return _stored_since
+
+
 def settled(df: DataFrame) -> DataFrame:
     """The same rows, written once to the shared folder and read from there afterwards.
 

@@ -19,7 +19,7 @@ from tillroll.operators import (
     sales,
     segmentation,
 )
-from tillroll.operators.settle import scratch_path, settled
+from tillroll.operators.settle import generation, scratch_path, settled
 from tillroll.plans import business as b
 from tillroll.plans import eda, kpis
 from tillroll.plans import views as v
@@ -312,13 +312,28 @@ def _scored(spark: SparkSession, folder: str) -> DataFrame:
     return segmentation.score_rfm(_rfm(spark, folder))
 
 
+def _state(spark: SparkSession, folder: str) -> int:
+    """Changes when a file of the folder does: a hash of names, sizes and times."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    entries = []
+    while found.hasNext():
+        status = found.next()
+        entries.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return hash(tuple(sorted(entries)))
+
+
 def _once(make: Callable[..., object]) -> Callable[..., object]:
-    """Fits of one session and folder, made once and used by all queries that show them."""
+    """Fits of one session, folder and state of its files, made once and used by all queries that show them.
+
+    They are made anew after stored tables have been removed, since they read those.
+    """
     kept: dict = {}
 
     def shared(spark: SparkSession, folder: str):
-        key = (spark.sparkContext.applicationId, folder)
+        key = (spark.sparkContext.applicationId, folder, _state(spark, folder), generation())
         if key not in kept:
+            kept.clear()  # results of another folder or state are not asked for again
             kept[key] = make(spark, folder)
         return kept[key]
 
@@ -383,10 +398,20 @@ def _churn_features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @_once
-def _churn(spark: SparkSession, folder: str) -> churn.ChurnRun:
+def _churn_base(spark: SparkSession, folder: str) -> churn.ChurnRun:
     return churn.train(_scored(spark, folder))
 
 
+@_once
+def _churn(spark: SparkSession, folder: str) -> churn.ChurnRun:
+    return churn.with_boosted(_churn_base(spark, folder))
+
+
+@_once
+def _churn_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    return settled(_churn(spark, folder).predictions())
+
+
 def _dated(spark: SparkSession, folder: str) -> DataFrame:
     return features.date_features(_prepared(spark, folder))
 
@@ -397,16 +422,27 @@ def _sales_features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @_once
-def _sales(spark: SparkSession, folder: str) -> sales.SalesRun:
+def _sales_base(spark: SparkSession, folder: str) -> sales.SalesRun:
     return sales.train(_dated(spark, folder))
 
 
+@_once
+def _sales(spark: SparkSession, folder: str) -> sales.SalesRun:
+    return sales.with_boosted(_sales_base(spark, folder))
+
+
+@_once
+def _sales_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """All lines scored once; the checks read the same table."""
+    return settled(_sales(spark, folder).predictions())
+
+
 def _churn_check(spark: SparkSession, folder: str) -> DataFrame:
     """What must hold for any churn model's predictions."""
     p = F.col("Predicted_Churn_Probability")
     tier = F.when(p <= 0.33, "Low Risk").when(p <= 0.66, "Medium Risk").otherwise("High Risk")
     said = F.when(p > 0.5, 1).otherwise(0)
-    return _churn(spark, folder).predictions().agg(
+    return _churn_predictions(spark, folder).agg(
         F.count(F.lit(1)).alias("customers"),
         F.countDistinct("Customer_ID").alias("different_customers"),
         F.count_if(p.isNull() | ~p.between(0, 1)).alias("outside_0_to_1"),
@@ -418,7 +454,7 @@ def _churn_check(spark: SparkSession, folder: str) -> DataFrame:
 def _sales_check(spark: SparkSession, folder: str) -> DataFrame:
     """What must hold for any sales model's predictions."""
     off = F.abs(F.col("Sales") - F.col("Predicted_Sales") - F.col("Prediction_Error"))
-    return _sales(spark, folder).predictions().agg(
+    return _sales_predictions(spark, folder).agg(
         F.count(F.lit(1)).alias("lines"),
         F.countDistinct("Order_Item_ID").alias("different_lines"),
         F.round(F.sum("Sales"), 0).alias("sales"),
@@ -427,12 +463,44 @@ def _sales_check(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _best_check(comparison: DataFrame, metric: str, chosen: str) -> DataFrame:
-    """The models compared, and whether the one chosen has the highest metric."""
+    """The models compared, and whether the one chosen has the highest metric and no metric exceeds 1."""
     best = comparison.orderBy(F.desc(metric), "position").limit(1).select((F.col("model") == chosen).alias("best_is_chosen"))
-    shown = comparison.agg(F.array_join(F.sort_array(F.collect_list("model")), ", ").alias("models"))
+    shown = comparison.agg(
+        F.array_join(F.sort_array(F.collect_list("model")), ", ").alias("models"),
+        (F.count_if(F.col(metric).isNull() | (F.col(metric) > 1)) == 0).alias("within_range"),
+    )
     return shown.join(best)
 
 
+def _recomputed(run, predictions: DataFrame, key: str, metric: str, digits: int, measure: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Whether the chosen model's metric follows from the stored predictions of the test rows."""
+    test = run.features.filter("is_test").select(key)
+    again = measure(predictions.join(test, key, "left_semi")).select(F.round(metric, digits).alias("again"))
+    said = run.comparison.filter(F.col("model") == run.best.name).select(F.col(metric).alias("said"))
+    return again.join(said).select((F.abs(F.col("again") - F.col("said")) < 1.5 * 10**-digits).alias("follows_from_predictions"))
+
+
+def _churn_models_check(spark: SparkSession, folder: str) -> DataFrame:
+    run = _churn(spark, folder)
+    scores = lambda df: metrics.roc_auc(
+        df.select(F.col("Churned").alias("label"), F.col("Predicted_Churn_Probability").alias("score"))
+    )
+    follows = _recomputed(run, _churn_predictions(spark, folder), "Customer_ID", "roc_auc", 4, scores)
+    return _best_check(run.comparison, "roc_auc", run.best.name).join(follows)
+
+
+def _sales_models_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Also that trees explain more than a line does."""
+    run = _sales(spark, folder)
+    pairs = lambda df: metrics.regression_metrics(
+        df.select(F.col("Sales").alias("label"), F.col("Predicted_Sales").alias("prediction"))
+    )
+    follows = _recomputed(run, _sales_predictions(spark, folder), "Order_Item_ID", "r2", 3, pairs)
+    linear = F.max(F.when(F.col("model") == "Linear Regression", F.col("r2")))
+    trees = run.comparison.agg((F.max("r2") > linear).alias("trees_beat_line"))
+    return _best_check(run.comparison, "r2", run.best.name).join(follows).join(trees)
+
+
 def _fixed_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Customers with a score that needs no model, so that SQL can check the metrics."""
     score = ((F.col("Customer_Age") * 37 + F.col("Total_Orders") * 11) % 100) / F.lit(100.0)
@@ -471,7 +539,7 @@ def _risk_tiers(spark: SparkSession, folder: str) -> DataFrame:
 
 def _model_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Predictions of the stored and reloaded model."""
-    run = _churn(spark, folder)
+    run = _churn_base(spark, folder)
     path = scratch_path(spark, "churn_model")
     modelling.save_model(run.best.model, path)
     scored = churn.predicted(modelling.load_model(path), run.features)
@@ -491,17 +559,13 @@ PREDICTION: dict[str, Query] = {
     ),
     "m13_confusion_matrix": _on_scores(metrics.confusion_matrix),
     "m14_roc_points": _on_scores(lambda df: _rounded(metrics.roc_points(df))),
-    "m15_churn_importances": lambda spark, folder: _churn(spark, folder).importances(),
-    "m15_sales_importances": lambda spark, folder: _sales(spark, folder).importances(),
+    "m15_churn_importances": lambda spark, folder: _churn_base(spark, folder).importances(),
+    "m15_sales_importances": lambda spark, folder: _sales_base(spark, folder).importances(),
     "m16_churn_comparison": lambda spark, folder: _churn(spark, folder).comparison,
-    "m16_churn_check": lambda spark, folder: _best_check(
-        _churn(spark, folder).comparison, "roc_auc", _churn(spark, folder).best.name
-    ),
+    "m16_churn_check": _churn_models_check,
     "m16_sales_comparison": lambda spark, folder: _sales(spark, folder).comparison,
-    "m16_sales_check": lambda spark, folder: _best_check(
-        _sales(spark, folder).comparison, "r2", _sales(spark, folder).best.name
-    ),
-    "m17_churn_predictions": lambda spark, folder: _churn(spark, folder).predictions(),
+    "m16_sales_check": _sales_models_check,
+    "m17_churn_predictions": _churn_predictions,
     "m17_churn_check": _churn_check,
     "m18_risk_tiers": _risk_tiers,
     "m19_high_risk_count": lambda spark, folder: churn.high_risk_count(_risk_tiers(spark, folder)),
@@ -510,7 +574,7 @@ PREDICTION: dict[str, Query] = {
         metrics.regression_metrics(_fixed_estimates(spark, folder)), 6
     ),
     "m25_sales_test_pairs": lambda spark, folder: _sales(spark, folder).test_pairs(),
-    "m26_sales_predictions": lambda spark, folder: _sales(spark, folder).predictions(),
+    "m26_sales_predictions": _sales_predictions,
     "m26_sales_check": _sales_check,
     "m28_churn_label": lambda spark, folder: _rfm(spark, folder).select(
         "Customer_ID", "Recency", churn.churn_label().alias("Churned")
@@ -522,7 +586,7 @@ KPIS: dict[str, Query] = {
     "k02_margin_by_discount_tier": _on_tables(kpis.margin_by_discount_tier),
     "k03_slow_shipment_share": _on_tables(kpis.slow_shipment_share),
     "k04_high_risk_customers": lambda spark, folder: churn.high_risk_count(
-        _churn(spark, folder).predictions()
+        _churn_predictions(spark, folder)
     ),
     "k05_pivot_category_month": _on_tables(kpis.pivot_category_month),
     "k06_cleaning_log": lambda spark, folder: kpis.cleaning_log(
