@@ -1,8 +1,9 @@
 """Words of many texts at once, as 64-bit hashes.
 
 A word is a run of bytes other than space, tab, line feed, vertical tab, form feed and carriage
-return. Hashes are polynomial in the bytes (Rabin-Karp) and then mixed, so equal words have equal
-hashes on every machine, and two different words of 64-bit hashes practically never agree.
+return. Hashes are two polynomials in the bytes (Rabin-Karp) modulo the prime 2**31 - 1, joined and mixed, so
+equal words have equal hashes on every machine. Two different words of n bytes agree for at most n of the
+2**31 bases in each polynomial; no pattern of letters makes them agree whatever the base is, as it does modulo a power of two.
 """
 
 from __future__ import annotations
@@ -21,10 +22,11 @@ LOWER[ord("A") : ord("Z") + 1] += 32
 LETTERS = LOWER.copy()
 LETTERS[[i for i in range(128) if not chr(i).isalnum()]] = 0x20
 
-BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+PRIME = (1 << 31) - 1
 STEP = 0xD1B54A32D192ED03
-U64 = (1 << 64) - 1
-SYMBOLS = np.random.Generator(np.random.PCG64(20240501)).integers(1, 1 << 63, 256, dtype=np.uint64)
+DRAW = np.random.Generator(np.random.PCG64(20240501))
+SYMBOLS = DRAW.integers(1, PRIME, (2, 256), dtype=np.uint64)  # what a byte counts in each polynomial
+BYTES_AT_A_TIME = 1_000_000  # hashed together; one longer text is hashed alone
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -38,44 +40,68 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
-class Powers:
-    """Powers of an odd number and of its inverse, kept up to the longest length asked for."""
-
-    def __init__(self, base: int):
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            both = []
-            for factor in (self.base, self.inverse):
-                steps = np.full(n, factor, np.uint64)
-                steps[0] = 1
-                both.append(np.cumprod(steps, dtype=np.uint64))
-            if n > 1 << 23:  # of a very long text; not worth keeping
-                return both[0], both[1]
-            self.up, self.down = both
-        return self.up[:n], self.down[:n]
-
-
-BYTE_POWERS, WORD_POWERS = Powers(BASE), Powers(STEP)
+def reduced(x: np.ndarray) -> np.ndarray:
+    """The same numbers modulo the prime, below 2**31 + 5."""
+    for _ in range(2):
+        x = (x & np.uint64(PRIME)) + (x >> np.uint64(31))
+    return x
 
 
-def running(values: np.ndarray, powers: Powers) -> np.ndarray:
-    """Sums of the values before each place, each value times its place's power."""
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.multiply(values, powers.of(len(values) + 1)[0][:-1], out=total[1:])
-    return np.cumsum(total, dtype=np.uint64, out=total)
-
-
-def between(total: np.ndarray, powers: Powers, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of the values from start to end for each pair: a difference of sums, shifted to zero."""
-    down = powers.of(len(total))[1]
-    return mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-
+class Powers:
+    """Powers of a number and of its inverse modulo the prime, kept up to the longest length asked for."""
 
-def runs(values: np.ndarray, powers: Powers, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return between(running(values, powers), powers, starts, ends)
+    def __init__(self, base: int):
+        self.bases = base, pow(base, -1, PRIME)
+        self.kept = [np.ones(1, np.uint32)] * 2
+
+    def of(self, n: int) -> list[np.ndarray]:
+        if len(self.kept[0]) >= n:
+            return [k[:n] for k in self.kept]
+        found = []
+        for base, line in zip(self.bases, self.kept):
+            while len(line) < n:  # each step doubles the line
+                more = reduced(line[: n - len(line)].astype(np.uint64) * np.uint64(pow(base, len(line), PRIME)))
+                line = np.concatenate((line, np.where(more >= PRIME, more - np.uint64(PRIME), more).astype(np.uint32)))
+            found.append(line)
+        if n <= 1 << 23:  # longer ones, of a very long text, are not worth keeping
+            self.kept = found
+        return [k[:n] for k in found]
+
+
+BYTE_POWERS, WORD_POWERS = ([Powers(int(b)) for b in DRAW.integers(1 << 24, PRIME, 2)] for _ in range(2))
+
+
+def span_hashes(lanes, powers: list[Powers], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the values from start to end for each pair; ``lanes`` has the values of each polynomial."""
+    joined = np.zeros(len(starts), np.uint64)
+    for values, lane in zip(lanes, powers):
+        up, down = lane.of(len(values) + 1)
+        total = np.zeros(len(values) + 1, np.uint64)  # sums of the values before each place, times the place's power
+        np.cumsum(reduced(values * up[:-1]), dtype=np.uint64, out=total[1:])
+        # a difference of sums, shifted to place zero
+        found = reduced(reduced(total[ends] - total[starts]) * down[starts])
+        joined = (joined << np.uint64(31)) | np.where(found >= PRIME, found - np.uint64(PRIME), found)
+    return mixed(mixed(joined) + (ends - starts).astype(np.uint64))
+
+
+def runs(values: np.ndarray, powers: list[Powers], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of runs of 64-bit values; each polynomial takes other bits of a value."""
+    lanes = [(values & np.uint64(PRIME)) + np.uint64(1), ((values >> np.uint64(32)) & np.uint64(PRIME)) + np.uint64(1)]
+    return span_hashes(lanes, powers, starts, ends)
+
+
+def byte_hashes(body: np.ndarray, bounds: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each run of bytes; the runs ascend and none leaves its text."""
+    out = np.empty(len(starts), np.uint64)
+    low = 0
+    while low < len(bounds) - 1:
+        high = max(low + 1, int(np.searchsorted(bounds, bounds[low] + BYTES_AT_A_TIME, side="right")) - 1)
+        first, last = bounds[low], bounds[high]
+        mine = slice(*np.searchsorted(starts, (first, last)))
+        piece = body[first:last]
+        out[mine] = span_hashes((table[piece] for table in SYMBOLS), BYTE_POWERS, starts[mine] - first, ends[mine] - first)
+        low = high
+    return out
 
 
 @dataclass
@@ -86,13 +112,14 @@ class Words:
     ends: np.ndarray
     hashes: np.ndarray
     bounds: np.ndarray  # words of text i are bounds[i]:bounds[i + 1]
-    total: np.ndarray  # running sums of the bytes
+    body: np.ndarray  # the bytes of all texts
+    texts: np.ndarray  # and where each text starts
 
     def beginnings(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Which words are longer than ``size`` bytes, and the hashes of their beginnings."""
         longer = np.flatnonzero(self.ends - self.starts > size)
         starts = self.starts[longer]
-        return longer, mixed(between(self.total, BYTE_POWERS, starts, starts + size) + np.uint64(STEP))
+        return longer, mixed(byte_hashes(self.body, self.texts, starts, starts + size) + np.uint64(STEP))
 
 
 def words(texts: pa.Array, lower: bool = False, letters: bool = False) -> Words:
@@ -108,6 +135,5 @@ def words(texts: pa.Array, lower: bool = False, letters: bool = False) -> Words:
     edge[bounds] = True
     starts = np.flatnonzero(inside[:-1] & (edge[:-1] | ~np.concatenate(([False], inside[:-2])))) if len(body) else np.empty(0, np.int64)
     ends = np.flatnonzero(inside[:-1] & (edge[1:] | ~inside[1:])) + 1 if len(body) else np.empty(0, np.int64)
-    total = running(SYMBOLS[body], BYTE_POWERS)
-    hashes = between(total, BYTE_POWERS, starts, ends)
-    return Words(starts, ends, hashes, np.searchsorted(starts, bounds), total)
+    hashes = byte_hashes(body, bounds, starts, ends)
+    return Words(starts, ends, hashes, np.searchsorted(starts, bounds), body, bounds)
