@@ -138,20 +138,39 @@ def asked(batches, parts: int, order: int):
             part, by = part_order(keys, parts)
             cuts = np.searchsorted(part[by], np.arange(parts + 1))
             rows = [
-                {"batch": name, "part": p, "kind": kind, "keys": steps(keys[by[lo:hi]]), "counts": blob(counted[by[lo:hi]])}
+                {"batch": name, "part": p, "kind": kind, "keys": steps(keys[by[lo:hi]]), "counts": blob(counted[by[lo:hi]].astype(np.int32))}
                 for p, (lo, hi) in enumerate(zip(cuts, cuts[1:])) if hi > lo
             ]
             for lo in range(0, len(rows), 64):
                 yield pa.RecordBatch.from_pylist(rows[lo : lo + 64], schema=FIELDS)
 
 
+def blobs(column: pa.ChunkedArray):
+    """The values of a binary column, none of them copied."""
+    for value in column:
+        yield value.as_buffer()
+
+
+def all_keys(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all requests on end, and where each request ends."""
+    ends = np.cumsum([len(x) // 8 for x in map(memoryview, blobs(column))])
+    keys = np.empty(int(ends[-1]), np.uint64)
+    for end, value in zip(ends.tolist(), blobs(column)):
+        steps = np.frombuffer(value, np.uint64)
+        np.cumsum(steps, dtype=np.uint64, out=keys[end - len(steps) : end])
+    return keys, ends
+
+
+def all_counts(column: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([np.frombuffer(x, np.int32) for x in blobs(column)])
+
+
 def summed(group: pa.Table):
     """Distinct keys of a part, ascending, their counts, and where each request has its keys."""
-    requests = [from_steps(x) for x in group["keys"].to_pylist()]
-    counts = [np.frombuffer(x, np.int64) for x in group["counts"].to_pylist()]
-    keys, inverse = word_ids_of(np.concatenate(requests))
-    total = np.bincount(inverse, weights=np.concatenate(counts), minlength=len(keys)).astype(np.int64)
-    return keys, total, np.split(inverse, np.cumsum([len(r) for r in requests])[:-1])
+    requests, ends = all_keys(group["keys"])
+    keys, inverse = word_ids_of(requests)
+    total = np.bincount(inverse, weights=all_counts(group["counts"]), minlength=len(keys)).astype(np.int64)
+    return keys, total, np.split(inverse, ends[:-1])
 
 
 def word_ids_of(values: np.ndarray):
@@ -177,9 +196,16 @@ def word_counts(group: pa.Table) -> pa.Table:
 
 
 def run_counts(group: pa.Table) -> pa.Table:
-    keys, total, _ = summed(group)
+    part = group["part"][0].as_py()
+    keys, _ = all_keys(group["keys"])
+    order = np.argsort(keys)
+    keys = keys[order]
+    counts = all_counts(group["counts"])[order]
+    del order
+    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    total = np.add.reduceat(counts, starts, dtype=np.int64)
     return pa.table({
-        "part": np.full(len(keys), group["part"][0].as_py(), np.int64), "run": keys.view(np.int64), "c": total,
+        "part": np.full(len(starts), part, np.int64), "run": keys[starts].view(np.int64), "c": total,
     })
 
 
@@ -187,11 +213,9 @@ def run_scores(requests: pa.Table, scored: pa.Table) -> pa.Table:
     runs = np.asarray(scored["run"], np.int64).view(np.uint64)
     order = np.argsort(runs)
     runs, values = runs[order], np.asarray(scored["score"], np.float64)[order]
-    asked_for = [from_steps(x) for x in requests["keys"].to_pylist()]
-    return pa.table({
-        "batch": requests["batch"], "part": requests["part"],
-        "values": pa.array([blob(values[np.searchsorted(runs, a)]) for a in asked_for], pa.binary()),
-    })
+    del order
+    found = (blob(values[np.searchsorted(runs, from_steps(x))]) for x in blobs(requests["keys"]))
+    return pa.table({"batch": requests["batch"], "part": requests["part"], "values": pa.array(found, pa.binary())})
 
 
 def low_bytes(run: str, n: int) -> Column:
