@@ -7,8 +7,10 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window as W
 
 from tillroll.model import DEFAULTS, SCHEMAS
+from tillroll.operators.settle import settled
 from tillroll.sources.tables import Tables
 
 # Field texts that usual data-frame CSV readers take for "no value".
@@ -86,10 +88,70 @@ def from_text(df: DataFrame, table: str, null_texts: Iterable[str] = NULL_TEXTS)
     return df.select(*columns)
 
 
-# Tables whose texts may hold line breaks; their files are read whole, each by one task.
+# Tables whose texts may hold line breaks; their records are put together from the lines of a file.
 FREE_TEXT = ("reviews",)
 
 
+def quoted_records(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
+    """The records of CSV files whose quoted fields may hold line breaks: file, record (from 0), text.
+
+    Files are split like plain text, a task per byte range. A line that ends with an odd number of quotes since the
+    file's start goes on in the next one. Whether a range begins within quotes follows from the quotes in the
+    ranges before it, and so does the number of records before it, for which a range counts both cases:
+    two small sums per range are all that is gathered. Lines of one record then meet by its number.
+    A line break is a line feed, with or without a carriage return before it at a record's end.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("range"),
+        F.monotonically_increasing_id().alias("place"),
+        "value",
+        (F.length("value") - F.length(F.replace("value", F.lit(quote)))).alias("quotes"),
+    )
+    by_place = W.partitionBy("file", "range").orderBy("place").rowsBetween(W.unboundedPreceding, -1)
+    odd_here = F.coalesce(F.sum("quotes").over(by_place), F.lit(0)) % 2
+    counted = settled(lines.withColumn("odd", odd_here.cast("int")))
+    ranges = counted.groupBy("file", "range").agg(
+        F.sum("quotes").alias("quotes"),
+        F.count_if(F.col("odd") == 0).alias("if_even"),
+        F.count_if(F.col("odd") == 1).alias("if_odd"),
+    )
+    earlier = W.partitionBy("file").orderBy("range").rowsBetween(W.unboundedPreceding, -1)  # one row per range
+    entered = ranges.withColumn("entered", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2).withColumn(
+        "begun", F.when(F.col("entered") == 0, F.col("if_even")).otherwise(F.col("if_odd"))
+    )
+    carried = entered.select(
+        "file", "range", "entered", F.coalesce(F.sum("begun").over(earlier), F.lit(0)).alias("before")
+    )
+    upto = W.partitionBy("file", "range").orderBy("place").rowsBetween(W.unboundedPreceding, W.currentRow)
+    begins = ((F.col("odd") + F.col("entered")) % 2 == 0).cast("int")
+    numbered = counted.join(carried, ["file", "range"]).withColumn(
+        "record", F.col("before") + F.sum(begins).over(upto) - 1
+    )
+    parts = F.sort_array(F.collect_list(F.struct("range", "place", "value")))
+    return numbered.groupBy("file", "record").agg(
+        F.regexp_replace(F.array_join(F.transform(parts, lambda p: p["value"]), "\n"), "\r$", "").alias("text")
+    )
+
+
+def _read_quoted(spark: SparkSession, path: str, names: list[str], options: dict, by_name: bool) -> DataFrame:
+    """Text columns of CSV files with line breaks in quotes; a wrong number of fields or another header is an error."""
+    records = quoted_records(spark, path, options["quote"])
+    parsing = {"sep": options["sep"], "quote": options["quote"], "escape": options["escape"], "mode": "FAILFAST"}
+    layout = ", ".join(f"`{n}` string" for n in names)
+    fields = F.from_csv("text", layout, parsing)
+    if options["header"]:
+        if by_name:
+            heads = records.filter("record = 0").select(F.array(*[fields[n] for n in names]).alias("head")).distinct()
+            for row in heads.limit(2).collect():
+                if [n.strip().lower() for n in row["head"]] != [n.strip().lower() for n in names]:
+                    raise ValueError(f"{path}: files with different headers")
+        records = records.filter("record > 0")
+    # the whole row is parsed, so that the number of fields is checked whatever columns a query asks for
+    parsed = settled(records.filter("text <> ''").select(fields.alias("row")))
+    return parsed.select("row.*")
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -106,8 +168,8 @@ def read_csv(
     A column that the file lacks gets its default; a name that the table lacks is an error, as is a
     second file whose header differs, and a row with too few or too many fields fails the query. Without
     a header, or with ``columns``, the fields are taken by position (default: the schema's order).
-    ``multiline`` allows line breaks within quotes, which keeps Spark from splitting a file; unless
-    given it holds for the tables of ``FREE_TEXT``.
+    ``multiline`` allows line breaks within quotes (``quoted_records``); such files are stored as rows
+    when this is called. Unless given it holds for the tables of ``FREE_TEXT``.
     """
     options = {
         "sep": sep,
@@ -125,6 +187,9 @@ def read_csv(
             raise ValueError(f"{table} has no column {', '.join(unknown)}")
     else:
         names = list(columns or SCHEMAS[table].names)
+    if options["multiLine"]:
+        raw = _read_quoted(spark, path, names, options, by_name)
+        return from_text(raw.toDF(*[n.strip() for n in names]), table, null_texts)
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
     # without pruning, so that the number of fields is checked whatever columns a query asks for
     reader = spark.read.schema(text).option("columnPruning", False)
