@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def column(name: str) -> Column:
+    """The column of exactly that name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def aside(names: Iterable[str]) -> Column:
+    """The caller's columns in one struct, where they clash with no column that an operator works with."""
+    return F.struct(*[column(n).alias(n) for n in names])
+
+
+def back(packed: str, names: Iterable[str]) -> list[Column]:
+    """The caller's columns out of the struct again."""
+    return [F.col(packed).getField(n).alias(n) for n in names]
+
+
+def row_order(docs: DataFrame) -> Column:
+    """A hash of the whole row, to choose among rows whatever their order; maps cannot be hashed and take no part."""
+    return F.xxhash64(*[column(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()])
+
+
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
     """Bytes of all texts: one small aggregate that sizes the partitions of a job."""
     return docs.select(F.sum(F.octet_length(column)).alias("n")).first()["n"] or 0

@@ -7,6 +7,7 @@ from heapq import heappop, heappush
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.llm.common import aside, back, column, row_order
 from tillroll.operators.settle import settled
 
 BLOCK_DOCS = 8  # documents of one source that are placed together
@@ -107,21 +108,24 @@ def mixed(
     source with most of the rows is spread over many tasks.
 
     A missing source counts as the empty name, a missing doc_id as the empty id; equal ids are ordered by
-    their texts. Columns named block, place, release, deadline, slot or on_target are replaced; an empty
-    table gives an empty result.
+    their texts, then by a hash of the row. Columns named block, place, release, deadline, slot or on_target are
+    replaced, all others stay as they are; an empty table gives an empty result.
     """
     names = [c for c in docs.columns if c not in ADDED]
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    rows = docs.select(*names).withColumns({
-        "_source": F.coalesce("source", F.lit("")),
-        "_bucket": F.conv(F.substring(key, 1, 3), 16, 10).cast("int"),
-        "_key": key,
-    })
+    rows = docs.select(
+        aside(names).alias("_user"),
+        F.coalesce("source", F.lit("")).alias("_source"),
+        F.conv(F.substring(key, 1, 3), 16, 10).cast("int").alias("_bucket"),
+        key.alias("_key"),
+        F.xxhash64("text").alias("_text"),
+        row_order(docs.select(*map(column, names))).alias("_order"),
+    )
     counts = rows.groupBy("_source", "_bucket").agg(F.count("*").alias("_n"))
     sources = settled(counts.groupBy(F.col("_source").alias("source")).agg(F.sum("_n").alias("n")))
     before = F.sum("_n").over(Window.partitionBy("_source").orderBy("_bucket")) - F.col("_n")
     offsets = counts.select("_source", "_bucket", before.alias("_before"))
-    order = Window.partitionBy("_source", "_bucket").orderBy("_key", F.xxhash64("text"))
+    order = Window.partitionBy("_source", "_bucket").orderBy("_key", "_text", "_order")
     numbered = (
         rows.withColumn("_row", F.row_number().over(order))
         .join(offsets, ["_source", "_bucket"])
@@ -138,7 +142,7 @@ def mixed(
     runs_out = sources.agg(F.min(lasting).alias("n")).first()["n"] or 0
     slot = F.floor(block / share) * period + F.col("at")
     return placed.select(
-        *names,
+        *back("_user", names),
         "block",
         "place",
         F.floor(block * period / share).alias("release"),

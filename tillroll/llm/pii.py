@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import chunked, text_key
+from tillroll.llm.common import aside, back, chunked, column, text_key
 from tillroll.llm.words import STEP, mixed, words
 from tillroll.operators.settle import settled
 
@@ -305,13 +305,21 @@ SPAN = pa.list_(pa.struct([("kind", pa.int32()), ("lo", pa.int32()), ("hi", pa.i
 
 
 def with_discovered(docs: DataFrame) -> DataFrame:
-    """Every row of ``docs`` with what contexts discover in it, as column found."""
-    found = discovered(docs).groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(
+    """Every row of ``docs`` as user (its columns other than text), text, and found, what contexts discover in it."""
+    found = discovered(docs.select("doc_id", "text")).groupBy(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).agg(
         F.sort_array(F.collect_list(F.struct("kind", "lo", "hi"))).alias("found")
     )
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
-    joined = docs.withColumn("_text_key", text_key()).join(found, same, "left")
-    return joined.select(*docs.columns, F.coalesce("found", F.array().cast(SPANS)).alias("found"))
+    rows = docs.select(
+        aside(c for c in docs.columns if c != "text").alias("user"), "text",
+        F.col("doc_id").cast("long").alias("own_id"), text_key().alias("own_key"),
+    )
+    joined = rows.join(found, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_key") == F.col("key")), "left")
+    return joined.select("user", "text", F.coalesce("found", F.array().cast(SPANS)).alias("found"))
+
+
+def unpacked(names: list[str]) -> list:
+    """The caller's columns in their order."""
+    return [F.col("text") if n == "text" else back("user", [n])[0] for n in names]
 
 
 def outermost(spans: list[dict]) -> list[dict]:
@@ -332,19 +340,17 @@ def annotated(docs: DataFrame) -> DataFrame:
     rows stay; columns named base or found are replaced; an empty table gives an empty result.
     """
     names = [c for c in docs.columns if c not in ("base", "found")]
-    given = with_discovered(docs.select(*names)).select(*names, F.array().cast(SPANS).alias("base"), "found")
+    given = with_discovered(docs.select(*map(column, names))).withColumn("base", F.array().cast(SPANS))
 
     def run(batches):
         for batch in chunked(batches):
-            at = batch.schema.get_field_index("base")
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            texts = batch.column(1).to_pylist()
+            wide = [outermost(f) for f in batch.column(2).to_pylist()]
             spans = [[{"kind": k, "lo": a, "hi": b} for k, a, b in base_spans(t or "")] for t in texts]
-            wide = [outermost(f) for f in batch.column(at + 1).to_pylist()]
-            given = {at: spans, at + 1: wide}
-            columns = [pa.array(given[j], SPAN) if j in given else c for j, c in enumerate(batch.columns)]
+            columns = [batch.column(0), batch.column(1), pa.array(wide, SPAN), pa.array(spans, SPAN)]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return given.mapInArrow(run, given.schema)
+    return given.mapInArrow(run, given.schema).select(*unpacked(names), "base", "found")
 
 
 def span_text(spans):
@@ -362,22 +368,17 @@ def redacted(docs: DataFrame) -> DataFrame:
     Spans that overlap become one, named by the first. n_chars, where the table has it, follows the
     text; rows without personal data stay as they are.
     """
-    names, aside = docs.columns, {"found": "__found"} if "found" in docs.columns else {}
-    marked = with_discovered(docs.withColumnsRenamed(aside)).select(
-        *(F.col(aside.get(c, c)).alias(c) for c in names), F.col("found").alias("_spans")
-    )
+    names = docs.columns
+    marked = with_discovered(docs)
 
     def run(batches):
         for batch in chunked(batches):
-            at = batch.schema.get_field_index("text")
-            texts = batch.column(at).to_pylist()
-            found = batch.column(len(names)).to_pylist()
+            texts, found = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             spans = [base_spans(t) + [(s["kind"], s["lo"], s["hi"]) for s in f] if t else [] for t, f in zip(texts, found)]
             texts = [covered(t, s) if s else t for t, s in zip(texts, spans)]
-            columns = [pa.array(texts, pa.string()) if j == at else c for j, c in enumerate(batch.columns)]
-            yield pa.RecordBatch.from_arrays(columns[:-1], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["user", "text"])
 
-    out = marked.mapInArrow(run, docs.schema)
+    out = marked.mapInArrow(run, marked.select("user", "text").schema).select(*unpacked(names))
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out

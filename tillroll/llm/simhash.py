@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import chunked, text_key
+from tillroll.llm.common import aside, back, chunked, row_order, text_key
 from tillroll.llm.components import components
 from tillroll.operators.settle import settled
 
@@ -157,15 +157,21 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, max_bits: int =
 def one_per_group(docs: DataFrame, size: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` that stay: in each group, one row of the smallest doc_id.
 
-    Rows that repeat that id within the group give way to the one of the smallest text hash, and
-    exact repeats to one of them. A group without ids keeps the row of the smallest text hash.
+    Rows that repeat that id within the group give way to the one of the smallest text hash, and rows that
+    repeat id and text to the one of the smallest hash of all its columns. A group without ids keeps the row of the
+    smallest text hash. The columns of ``docs`` stay as they are, whatever their names.
     """
-    found = near_duplicates(docs, size, max_bits)
+    found = near_duplicates(docs.select("doc_id", "text"), size, max_bits)
     kept = (
         found.where("doc_id <=> component_id")
         .groupBy("group_mark")
-        .agg(F.first("doc_id").alias("_id"), F.min("text_key").alias("_text"))
+        .agg(F.first("doc_id").alias("first_id"), F.min("text_key").alias("first_text"))
     )
-    rows = docs.withColumn("_key", text_key()).dropDuplicates(["doc_id", "_key"])
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_text"))
-    return rows.join(kept, same, "left_semi").drop("_key")
+    rows = docs.select(
+        aside(docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), text_key().alias("text_key"),
+        row_order(docs).alias("order"),
+    )
+    # equal keys meet before the shuffle
+    rows = rows.groupBy("id", "text_key").agg(F.min_by("row", "order").alias("row"))
+    same = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("text_key") == F.col("first_text"))
+    return rows.join(kept, same, "left_semi").select(*back("row", docs.columns))
