@@ -8,7 +8,7 @@ from tillroll.llm import mixing, pii, simhash
 NAMES = [
     "_key", "_row", "_source", "_turn", "_index", "_share", "_bucket", "_before", "_user", "_text", "_order", "_n", "at", "n", "period",
     "_id", "_spans", "_text_key", "found", "__found", "base", "user", "own_id", "own_key", "id", "key", "row", "order", "text_key",
-    "first_id", "first_text", "group_mark", "component_id", "mark", "root", "cue", "kind", "lo", "hi", "value", "dotted.name", "tick`ed",
+    "first_id", "first_text", "group_mark", "component_id", "mark", "root", "cue", "kind", "lo", "hi", "value", "dotted.name", "tick`ed", "user_0", "user_7",
 ]
 
 

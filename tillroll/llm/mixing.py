@@ -7,7 +7,7 @@ from heapq import heappop, heappush
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import aside, back, column, row_order
+from tillroll.llm.common import column, row_order
 from tillroll.operators.settle import settled
 
 BLOCK_DOCS = 8  # documents of one source that are placed together
@@ -114,7 +114,8 @@ def mixed(
     names = [c for c in docs.columns if c not in ADDED]
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     rows = docs.select(
-        aside(names).alias("_user"),
+        # under other names, not in a struct, so that columns nobody asks for are not shuffled
+        *[column(n).alias(f"user_{i}") for i, n in enumerate(names)],
         F.coalesce("source", F.lit("")).alias("_source"),
         F.conv(F.substring(key, 1, 3), 16, 10).cast("int").alias("_bucket"),
         key.alias("_key"),
@@ -142,7 +143,7 @@ def mixed(
     runs_out = sources.agg(F.min(lasting).alias("n")).first()["n"] or 0
     slot = F.floor(block / share) * period + F.col("at")
     return placed.select(
-        *back("_user", names),
+        *[F.col(f"user_{i}").alias(n) for i, n in enumerate(names)],
         "block",
         "place",
         F.floor(block * period / share).alias("release"),
