@@ -104,7 +104,7 @@ def test_shapes_without_four_digits_in_a_token(spark, docs):
     hidden = {100: "jane.doe(at)example.com", 101: "jane@localhost", 102: "jane dot doe at example dot com",
               110: "555 123 4567", 111: "(555) 123-4567"}
     rows += [(i, text_with("mail me:" if i < 110 else "ring me:", value)) for i, value in hidden.items()]
-    rows += [(200, text_with("look", "at me")), (201, text_with("sum of", "555 123 4567"))]
+    rows += [(200, text_with("look", "at me")), (201, text_with("sum of", "555 765 4321"))]
     by = {r.doc_id: r for r in pii.annotated(docs(rows)).collect()}
     for i, value in hidden.items():
         assert [(s.kind, by[i].text[s.lo : s.hi]) for s in by[i].found] == [(0 if i < 110 else 3, value)]
@@ -116,3 +116,100 @@ def test_shapes_without_four_digits_in_a_token(spark, docs):
 def test_shapes_take_linear_time():
     for piece in ("1 ", "a at ", "a dot ", "a@", " at", "(1) ", "a dot b at c ", "1234 5678 ", "(at)"):
         list(pii.contexts(piece * 100_000))
+
+
+def test_accepted_values_make_patterns_until_nothing_is_new(spark, docs):
+    card = [n for n in (str(4000000000000000 + i) for i in range(2000)) if luhn(n)]
+    known = [f"9999-{i}AB" for i in range(1, 9)]
+    later = [f"8888-{i}CD" for i in range(1, 4)]
+    rows = [(i, text_with("number:", card[i])) for i in range(80)]
+    rows += [(100 + i, text_with("number:", v)) for i, v in enumerate(known)]
+    rows += [(200 + i, text_with("has badge=", v)) for i, v in enumerate(known + later)]
+    rows += [(300 + i, text_with("holds pass=", v)) for i, v in enumerate(later + ["7777-1EF"])]
+    rows += [(400, "9999-1AB stands first"), (401, text_with("in the year", "9999")), (402, text_with("order of", "6666-1GH"))]
+    by = {r.doc_id: r for r in pii.annotated(docs(rows)).collect()}
+    marked = {i: [(s.kind, r.text[s.lo : s.hi]) for s in r.found] for i, r in by.items()}
+    values = dict(enumerate(known, 100)) | dict(enumerate(known + later, 200)) | dict(enumerate(later + ["7777-1EF"], 300))
+    values[400] = "9999-1AB"
+    assert marked == {i: [(2, values[i])] if i in values else [] for i in by}
+    redacted = " ".join(r.text for r in pii.redacted(docs(rows)).collect())
+    assert not any(v in redacted for v in values.values())
+
+
+def test_a_common_number_is_marked_behind_patterns_only(spark, docs):
+    rows = [(i, text_with("ring me:", f"+1 523 555 10{i:02}")) for i in range(20)]
+    rows += [(30, text_with("ring me:", "2024")), (31, text_with("ring me:", "555-765-4321")), (32, text_with("code", "555-765-4321"))]
+    rows += [(40 + i, text_with("in the year", "2024")) for i in range(4)]
+    by = {r.doc_id: [r.text[s.lo : s.hi] for s in r.found] for r in pii.annotated(docs(rows)).collect()}
+    assert {i: f for i, f in by.items() if f} == {30: ["2024"], 31: ["555-765-4321"], 32: ["555-765-4321"]}
+
+
+def brute_graph(rows):
+    """Accepted values and marked places of (doc, text), by dictionaries."""
+    places, follows = [], collections.Counter()
+    for doc, text in rows:
+        tokens = [w.lower() for w in re.findall("[^\x20\x09-\x0d]+", text or "")]
+        for i in range(1, len(tokens)):
+            follows[(tokens[i - 1],)] += 1
+            if i > 1:
+                follows[tuple(tokens[i - 2 : i])] += 1
+        for kind, a, b, value, fits, near, far in pii.contexts(text or ""):
+            cues = [(near.lower(),)] if near else []
+            cues += [(far.lower(), near.lower())] if far else []
+            places.append((doc, kind, a, b, value, fits, cues))
+    accepted = {}
+    while True:
+        behind = collections.defaultdict(lambda: collections.defaultdict(lambda: [0, 0, 0]))  # pattern -> value -> seed, known, open
+        for _, kind, _, _, value, fits, cues in places:
+            for k in range(4) if kind < 0 else [kind]:
+                if kind >= 0 or fits >> k & 1:
+                    score = accepted[value][1] if kind < 0 and accepted.get(value, (None,))[0] == k else 0
+                    for cue in cues:
+                        entry = behind[cue, k][value, kind >= 0]
+                        entry[0] += kind >= 0
+                        entry[1] += score if kind < 0 else 0
+                        entry[2] += 1 - score if kind < 0 else 0
+        trusted, doubt = {}, collections.defaultdict(lambda: 1.0)
+        for (cue, k), values in behind.items():
+            if sum(e[0] > 0 or e[1] > 0 for e in values.values()) >= pii.MIN_SUPPORT:
+                right, free = sum(e[0] + e[1] for e in values.values()), sum(e[2] for e in values.values())
+                if right / (follows[cue] - free / 2) >= pii.MIN_CONFIDENCE:
+                    trusted[cue, k] = min(0.999, right / (follows[cue] - free / 2))
+        for (cue, k), confidence in trusted.items():
+            for value, seed in behind[cue, k]:
+                if not seed:
+                    doubt[value, k] *= 1 - confidence
+        fresh = {}
+        for (value, k), d in sorted(doubt.items()):
+            if value not in accepted and 1 - d > fresh.get(value, (None, 0))[1]:
+                fresh[value] = k, 1 - d
+        if not fresh:
+            break
+        accepted |= fresh
+    spots = {}
+    for doc, kind, a, b, value, fits, cues in places:
+        if kind < 0 and value in accepted and fits >> accepted[value][0] & 1:
+            spots[doc, a, b, value, fits] = any((cue, accepted[value][0]) in trusted for cue in cues)
+    led, all_of = collections.Counter(), collections.Counter()
+    for (_, _, _, value, _), behind_one in spots.items():
+        led[value] += behind_one
+        all_of[value] += 1
+    return {
+        (doc, accepted[value][0], a, b) for (doc, a, b, value, fits), behind_one in spots.items()
+        if behind_one or len(re.findall("[0-9]", value)) >= 8 or fits == pii.EMAIL or 2 * led[value] >= all_of[value]
+    }
+
+
+def test_graph_equals_brute_force(spark, docs):
+    draw = random.Random(11)
+    card = [n for n in (str(4000000000000000 + i) for i in range(4000)) if luhn(n)]
+    values = card[:40] + [f"+1 523 555 {i}" for i in range(1000, 1030)] + [f"{i}-X{i % 7}" for i in range(3000, 3040)] + [f"u{i}@host" for i in range(9)]
+    leads = ["number:", "my card", "call", "the", "ring me", "badge", ""]
+    rows = []
+    for i in range(600):
+        lead = draw.randrange(len(leads))
+        spread = values[draw.randrange(len(values))] if draw.random() < 0.05 else values[(lead * 17 + draw.randrange(24)) % len(values)]
+        rows.append((i, f"{leads[lead]} {spread} and so on" if draw.random() < 0.95 else f"so {leads[lead]} it goes"))
+    got = {(r.doc_id, r.kind, r.lo, r.hi) for r in pii.discovered(docs(rows).select("doc_id", "text")).collect()}
+    expected = brute_graph(rows)
+    assert expected and got == expected

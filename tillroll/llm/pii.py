@@ -15,9 +15,9 @@ from tillroll.llm.words import STEP, mixed, words
 from tillroll.operators.settle import settled
 
 KINDS = ("email", "ip", "card", "phone")
-MIN_SUPPORT = 3  # different seeds that a context must precede before it counts as a pattern
+MIN_SUPPORT = 3  # different seeds or accepted values that a context must precede before it counts as a pattern
 MIN_CONFIDENCE = 0.8  # of a pattern, and of an identifier that patterns find
-ROUNDS = 3
+SPECIFIC_DIGITS = 8  # digits, the fewest of a fixed pattern's phone, that make an accepted value known anywhere
 CANDIDATE_DIGITS = 4  # digits that make a token, or a run of groups of digits, a possible identifier
 EMAIL, IP_KIND, CARD_KIND, PHONE_KIND = (1 << k for k in range(4))  # kinds that a possible identifier fits
 ANY = EMAIL | IP_KIND | CARD_KIND | PHONE_KIND
@@ -164,7 +164,7 @@ def candidates(text: str, tokens):
 
 def contexts(text: str):
     """Of every seed and every other possible identifier: kind (-1: none), start, end, value, the kinds
-    that fit and the two words before it."""
+    that fit and the two words before it (None where the text has none)."""
     seeds = base_spans(text)
     if not seeds and not DIGIT.search(text) and not AT.search(text):
         return
@@ -179,8 +179,7 @@ def contexts(text: str):
     for kind, a, b, fits in spans:
         i = bisect_right(starts, a) - 1
         before = [text[x:y] for x, y in tokens[max(0, i - 2) : i]]
-        if before:
-            yield kind, a, b, text[a:b], fits, before[-1], before[0] if len(before) > 1 else None
+        yield kind, a, b, text[a:b], fits, before[-1] if before else None, before[0] if len(before) > 1 else None
 
 
 def pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -188,7 +187,8 @@ def pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 
 def occurrences(batches):
-    """One row for each seed or candidate and each of its contexts: the word before it, and the two."""
+    """One row for each seed or candidate and each of its contexts: the word before it, and the two.
+    One without words before it has one row, its context missing."""
     for batch in chunked(batches):
         rows = []
         for j, text in enumerate(batch.column(2).to_pylist()):
@@ -197,17 +197,20 @@ def occurrences(batches):
         if not rows:
             continue
         where, kind, start, end, value, fits, near, far = zip(*rows)
-        near_hash = words(pa.array(near), lower=True).hashes
+        has_near = np.array([n is not None for n in near])
+        near_hash = np.zeros(len(rows), np.uint64)
+        near_hash[has_near] = words(pa.array([n for n in near if n is not None], pa.string()), lower=True).hashes
         has_far = np.array([f is not None for f in far])
         far_hash = words(pa.array([f for f in far if f is not None], pa.string()), lower=True).hashes
         both = np.flatnonzero(has_far)
         index = np.concatenate((np.arange(len(rows)), both))
         cue = np.concatenate((near_hash, pair(far_hash, near_hash[both]))).view(np.int64)
+        cue = pa.array(cue, mask=~np.concatenate((has_near, np.ones(len(both), bool))))
         place = pa.array(np.array(where)[index])
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).take(place), batch.column(1).take(place), pa.array(np.array(kind, np.int32)[index]),
              pa.array(np.array(start, np.int32)[index]), pa.array(np.array(end, np.int32)[index]),
-             pa.array(np.array(value, object)[index], pa.string()), pa.array(np.array(fits, np.int32)[index]), pa.array(cue)],
+             pa.array(np.array(value, object)[index], pa.string()), pa.array(np.array(fits, np.int32)[index]), cue],
             ["doc_id", "text_key", "kind", "lo", "hi", "value", "fits", "cue"])
 
 
@@ -230,74 +233,116 @@ def cue_counts(batches, wanted: np.ndarray):
         yield pa.RecordBatch.from_arrays([pa.array(cues[starts].view(np.int64)), pa.array(counts)], ["cue", "total"])
 
 
-def discovered(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Identifiers that no fixed pattern matches: doc_id, text_key, kind (number), lo, hi.
-
-    A context is the word, or the two words, before a seed. It becomes a pattern of the seeds' kind
-    if at least ``MIN_SUPPORT`` different seeds follow it. Its confidence is the share of all its
-    occurrences, ordinary words included, that a seed or a found identifier follows; possible
-    identifiers not found yet count half. What has the shape of an identifier scores the noisy-or of the
-    confident patterns before it; scores feed the next round's confidences. Such shapes are a token with
-    at least ``CANDIDATE_DIGITS`` digits, for every kind; groups of digits one space apart with as many, together, for
-    cards and phones up to the digits that the fixed patterns allow; and name, @, host for emails, also without a dot
-    or with "at" and "dot" written out.
-    Shapes whose score ends at ``MIN_CONFIDENCE`` or more are identifiers of that kind wherever they stand
-    behind one of its patterns.
-    """
-    rows = docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), "text")
-    seen = settled(rows.mapInArrow(
-        occurrences, "doc_id long, text_key long, kind int, lo int, hi int, value string, fits int, cue long"
-    ))
-    strong = settled(
-        seen.where("kind >= 0").groupBy("cue", "kind", "value").agg(F.count("*").alias("n"))
-        .groupBy("cue", "kind").agg(F.count("*").alias("support"), F.sum("n").cast("double").alias("seeds"))
-        .where(F.col("support") >= MIN_SUPPORT)
-    )
-    slots = strong.select(F.col("cue").bitwiseAND(F.lit(SLOTS - 1)).alias("slot")).distinct()
+def totals(docs: DataFrame, cues: DataFrame) -> DataFrame:
+    """How often a word follows each of the cues, in one pass over the texts: cue, total."""
+    slots = cues.select(F.col("cue").bitwiseAND(F.lit(SLOTS - 1)).alias("slot")).distinct()
     wanted = np.zeros(SLOTS, bool)
     wanted[np.asarray(slots.toArrow()["slot"], np.int64)] = True  # at most SLOTS numbers
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
-    totals = (
-        docs.select("text").mapInArrow(lambda batches: cue_counts(batches, shared.value), "cue long, total long")
-        .groupBy("cue").agg(F.sum("total").alias("total"))
-    )
-    patterns = settled(strong.join(totals, "cue"))
-    # only candidates behind a pattern of some kind can score
-    edges = settled(
-        seen.where("kind < 0").groupBy("cue", "value", "fits").agg(F.count("*").alias("n"))
-        .join(patterns.select("cue", F.col("kind").alias("of"), "seeds", "total"), "cue")
-        .where(F.expr("getbit(fits, of) = 1"))
-        .groupBy("cue", "value", "of", "seeds", "total").agg(F.sum("n").alias("n"))
-    )
-    scores = None
-    for _ in range(rounds):
-        gained = edges.select("cue", "of", "value", "n", F.lit(0.0).alias("score")) if scores is None else (
-            edges.join(scores, ["value", "of"], "left").select("cue", "of", "value", "n", F.coalesce("score", F.lit(0.0)).alias("score"))
+    counted = docs.select("text").mapInArrow(lambda batches: cue_counts(batches, shared.value), "cue long, total long")
+    return counted.groupBy("cue").agg(F.sum("total").alias("total")).join(cues.select("cue").distinct(), "cue", "left_semi")
+
+
+def bootstrapped(docs: DataFrame, seeds: DataFrame, behind: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
+    """Accepted values (value, of, score) and the patterns (cue, of, confidence) that hold with them.
+
+    seeds has cue, of, value and n, behind has cue, of, value and n of the possible identifiers, a row for
+    each kind that fits. Both results are None where no seed has a context."""
+    accepted = counted = trusted = None
+    n_accepted = 0
+    while True:
+        found = behind.join(accepted, ["value", "of"]) if accepted is not None else None
+        evidence = seeds.select("cue", "of", F.col("n").alias("seeds"))
+        if found is not None:
+            evidence = evidence.unionByName(found.select("cue", "of", F.lit(0).cast("long").alias("seeds")))
+        strong = settled(
+            evidence.groupBy("cue", "of").agg(F.count("*").alias("support"), F.sum("seeds").cast("double").alias("seeds"))
+            .where(F.col("support") >= MIN_SUPPORT)
+        )
+        new = strong.select("cue").distinct()
+        if counted is not None:
+            new = new.join(counted, "cue", "left_anti")
+        if not new.isEmpty():
+            counted = settled(totals(docs, new) if counted is None else counted.unionByName(totals(docs, new)))
+        if counted is None:
+            return None, None
+        patterns = strong.join(counted, "cue")
+        # only values behind a pattern of a kind that fits can score
+        edges = settled(behind.join(patterns.select("cue", "of"), ["cue", "of"]))
+        known = edges.withColumn("score", F.lit(0.0)) if accepted is None else (
+            edges.join(accepted, ["value", "of"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
         )
-        gain = gained.groupBy("cue", "of").agg(
+        gain = known.groupBy("cue", "of").agg(
             F.sum(F.col("n") * F.col("score")).alias("gain"), F.sum(F.col("n") * (1 - F.col("score"))).alias("open")
         )
-        right = F.col("seeds") + F.col("gain")
-        trusted = (
-            patterns.withColumnRenamed("kind", "of").join(gain, ["cue", "of"])
-            .withColumn("confidence", F.least(right / (F.col("total") - F.col("open") / 2), F.lit(0.999)))
+        right = F.col("seeds") + F.coalesce("gain", F.lit(0.0))
+        trusted = settled(
+            patterns.join(gain, ["cue", "of"], "left")
+            .withColumn("confidence", F.least(right / (F.col("total") - F.coalesce("open", F.lit(0.0)) / 2), F.lit(0.999)))
             .where(F.col("confidence") >= MIN_CONFIDENCE)
             .select("cue", "of", "confidence")
         )
-        doubt = F.sum(F.log(1 - F.col("confidence")))
-        scores = settled(
-            edges.join(trusted, ["cue", "of"]).groupBy("value", "of").agg((1 - F.exp(doubt)).alias("score"))
+        best = Window.partitionBy("value").orderBy(F.desc("score"), "of")  # at most a row for each kind
+        chosen = (
+            edges.join(trusted, ["cue", "of"]).groupBy("value", "of")
+            .agg((1 - F.exp(F.sum(F.log(1 - F.col("confidence"))))).alias("score"))
+            .where(F.col("score") >= MIN_CONFIDENCE)
+            .withColumn("r", F.row_number().over(best)).where("r = 1").select("value", "of", "score")
         )
-    best = Window.partitionBy("value").orderBy(F.desc("score"), "of")
-    chosen = (
-        scores.where(F.col("score") >= MIN_CONFIDENCE)
-        .withColumn("r", F.row_number().over(best)).where("r = 1").select("value", F.col("of").alias("kind"))
+        if accepted is not None:
+            chosen = accepted.unionByName(chosen.join(accepted, "value", "left_anti"))
+        accepted = settled(chosen)
+        before, n_accepted = n_accepted, accepted.count()
+        if n_accepted == before:
+            return accepted, trusted
+
+
+def discovered(docs: DataFrame) -> DataFrame:
+    """Identifiers that no fixed pattern matches: doc_id, text_key, kind (number), lo, hi.
+
+    A context is the word, or the two words, before a seed or an accepted value. It becomes a pattern of
+    their kind if at least ``MIN_SUPPORT`` different ones follow it. Its confidence is the share of
+    all its occurrences, ordinary words included, that they follow, accepted values by their score;
+    possible identifiers not accepted count half. What has the shape of an identifier scores the noisy-or of
+    the confident patterns before it, and with ``MIN_CONFIDENCE`` it is accepted for good, as of the kind it scores
+    highest for. Accepted values support patterns of the next round; the rounds end when nothing is accepted any more.
+
+    Such shapes are a token with at least ``CANDIDATE_DIGITS`` digits, for every kind; groups of digits
+    one space apart with as many, together, for cards and phones up to the digits that the fixed patterns allow; and
+    name, @, host for emails, also without a dot or with "at" and "dot" written out.
+
+    An accepted value is marked behind the confident patterns of its kind. It is marked wherever else it
+    stands, too, if it has ``SPECIFIC_DIGITS`` digits or the shape of an address, or if at least half of all its
+    places are behind such patterns; so a year that once stands behind one does not mark all the others.
+    """
+    rows = docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), "text")
+    seen = settled(rows.mapInArrow(
+        occurrences, "doc_id long, text_key long, kind int, lo int, hi int, value string, fits int, cue long"
+    ))
+    with_cue = seen.where("cue IS NOT NULL")
+    seeds = settled(with_cue.where("kind >= 0").groupBy("cue", F.col("kind").alias("of"), "value").agg(F.count("*").alias("n")))
+    possible = with_cue.where("kind < 0").groupBy("cue", "value", "fits").agg(F.count("*").alias("n"))
+    kinds = F.filter(F.array(*map(F.lit, range(len(KINDS)))), lambda k: F.getbit("fits", k) == 1)
+    behind = settled(
+        possible.select("cue", "value", "n", F.explode(kinds).alias("of")).groupBy("cue", "value", "of").agg(F.sum("n").alias("n"))
     )
-    cues = edges.select("cue", "value", F.col("of").alias("kind")).join(chosen, ["value", "kind"], "left_semi")
-    return (
-        seen.where("kind < 0").drop("kind").join(cues, ["cue", "value"]).where(F.expr("getbit(fits, kind) = 1"))
-        .select("doc_id", "text_key", "kind", "lo", "hi").distinct()
+    accepted, trusted = bootstrapped(docs, seeds, behind)
+    if accepted is None:
+        return seen.select("doc_id", "text_key", "kind", "lo", "hi").limit(0)
+    place = ["doc_id", "text_key", "lo", "hi", "value", "fits", "of"]
+    spots = settled(
+        seen.where("kind < 0").join(accepted.select("value", "of"), "value").where(F.expr("getbit(fits, of) = 1"))
+        .join(trusted, ["cue", "of"], "left")
+        .groupBy(*place).agg(F.max(F.col("confidence").isNotNull().cast("int")).alias("led"))
     )
+    digits = F.length(F.regexp_replace("value", "[^0-9]", ""))
+    anywhere = spots.groupBy("value").agg(
+        (2 * F.sum("led") >= F.count("*")).alias("mostly")
+    ).where("mostly").select("value")
+    known = (digits >= SPECIFIC_DIGITS) | (F.col("fits") == EMAIL)
+    out = [F.col(c) for c in ("doc_id", "text_key")] + [F.col("of").alias("kind"), F.col("lo"), F.col("hi")]
+    sure = spots.where((F.col("led") == 1) | known)
+    return sure.select(*out).unionByName(spots.where((F.col("led") == 0) & ~known).join(anywhere, "value", "left_semi").select(*out))
 
 
 SPANS = "array<struct<kind:int,lo:int,hi:int>>"
