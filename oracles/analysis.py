@@ -585,6 +585,10 @@ KPIS = {
 }
 
 MORE = {
+    "s11_stored_row_counts": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, COUNT(*) AS row_count FROM {name}"
+        for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+    ),
     "s08_report_lines": f"SELECT metric || ': ' || value AS value FROM ({EXPLORATION['x10_insights']})",
     "s10_view_reopened": QUALITY["s10_view_by_name"],
     "d09_sketch_check": " UNION ALL ".join(

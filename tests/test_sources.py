@@ -74,6 +74,18 @@ def test_tables_written_and_read_back(spark, star, tmp_path):
     assert rows_of(back.reviews, "Review_ID") == rows_of(star.reviews, "Review_ID")
 
 
+def test_row_counts_come_from_the_files(spark, star, tmp_path):
+    names = ("categories", "customers")
+    files.write_tables(Tables({n: star[n] for n in names}), str(tmp_path))
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    counts = files.stored_row_counts(spark, {n: f"{tmp_path}/{n}" for n in names})
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PushedAggregation: [COUNT(*)]") == 2 and "Customer_ID" not in plan
+    assert {r.table_name: r.row_count for r in counts.collect()} == {n: star[n].count() for n in names}
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+    assert files.stored_row_counts(spark, {}).count() == 0
+
+
 def test_fact_lines(spark, star, tmp_path):
     facts = eda.insight_summary(flat.prepared(star))
     path = str(tmp_path / "facts")

@@ -268,7 +268,15 @@ def _formula(t: Tables) -> DataFrame:
     return quality.formula_violations(t.order_items, 0.004)
 
 
+STORED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+
+def _stored_row_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return files.stored_row_counts(spark, {name: f"{folder}/{name}.parquet" for name in STORED})
+
+
 QUALITY: dict[str, Query] = {
+    "s11_stored_row_counts": _stored_row_counts,
     "s01_table_shapes": _on_tables(quality.table_shapes),
     "s01_csv_round_trip": _csv_round_trip,
     "s02_csv_by_header": _csv_by_header,

@@ -269,6 +269,22 @@ def write_lines(facts: DataFrame, path: str) -> None:
     facts.select(line).coalesce(1).write.mode("overwrite").text(path)
 
 
+def stored_row_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """Rows of stored Parquet tables by name, from the files' own statistics: no column is read.
+
+    The counting is pushed down to the files, for which a session of its own reads them with the newer source;
+    the caller's settings stay as they are. Without paths the result is empty.
+    """
+    footers = spark.newSession()
+    footers.conf.set("spark.sql.sources.useV1SourceList", "")
+    footers.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    counts = footers.createDataFrame([], "table_name string, row_count long")
+    for name, path in paths.items():
+        rows = footers.read.parquet(path).agg(F.count("*").alias("row_count"))
+        counts = counts.unionByName(rows.select(F.lit(name).alias("table_name"), "row_count"))
+    return counts
+
+
 def register_views(tables: Tables, views: dict[str, DataFrame]) -> None:
     """Make the tables and the given views available to ``spark.sql``."""
     for name in tables:
