@@ -20,6 +20,7 @@ BEGINNINGS = (4, 5, 6, 7, 8)  # bytes of a word's beginning that are features be
 DRIFT = 0.1  # taken from every word's log odds, so that ordinary text scores below zero
 SIGNIFICANT = 0.05  # largest chance of a passage's score in clean text
 SLOTS = 1 << 20  # of the table that tells quickly which features are known
+SAME = 1e-6  # scores that differ by less are equal: they are differences of running sums over a whole chunk
 
 
 def features(found: Words):
@@ -132,7 +133,7 @@ def repeated(segments, places: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     the first of equals, and there at its first place."""
     if not segments:
         return np.empty(0, np.int64)
-    score = np.array([s for _, _, s in segments])
+    score = np.round(np.array([s for _, _, s in segments]) / SAME)
     which = np.searchsorted(np.array([a for a, _, _ in segments]), places, side="right") - 1
     order = np.lexsort((places, -score[which], hashes))
     return order[1:][hashes[order][1:] == hashes[order][:-1]]
@@ -158,7 +159,7 @@ def law_of(raised: np.ndarray, segments: np.ndarray, n: int) -> tuple[float, flo
         low, high = (middle, high) if excess(middle) < 0 else (low, middle)
     decay = max(high, 1e-3)
     middle = float(np.median(segments)) if len(segments) else float(scores.max())
-    upper = int((segments >= middle).sum()) + 1
+    upper = int((segments >= middle - SAME).sum()) + 1
     return decay, upper * float(np.exp(decay * middle)) / max(n, 1)
 
 
