@@ -26,8 +26,7 @@ SAME = 1e-6  # scores that differ by less are equal: they are differences of run
 def features(found: Words):
     """Of the whole words and of each length of beginning: which words, and their hashes."""
     yield np.arange(len(found.hashes)), found.hashes
-    for size in BEGINNINGS:
-        yield found.beginnings(size)
+    yield from found.all_beginnings(BEGINNINGS)
 
 
 @dataclass

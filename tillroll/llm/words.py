@@ -8,6 +8,7 @@ equal words have equal hashes on every machine. Two different words of n bytes a
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -117,9 +118,21 @@ class Words:
 
     def beginnings(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Which words are longer than ``size`` bytes, and the hashes of their beginnings."""
-        longer = np.flatnonzero(self.ends - self.starts > size)
-        starts = self.starts[longer]
-        return longer, mixed(byte_hashes(self.body, self.texts, starts, starts + size) + np.uint64(STEP))
+        return next(self.all_beginnings([size]))
+
+    def all_beginnings(self, sizes: Sequence[int]):
+        """For each size: which words are longer than so many bytes, and the hashes of their beginnings.
+
+        All sizes are hashed in one pass over the bytes.
+        """
+        longer = [np.flatnonzero(self.ends - self.starts > size) for size in sizes]
+        counts = [len(which) for which in longer]
+        starts = self.starts[np.concatenate(longer)]
+        order = np.argsort(starts, kind="stable")
+        first, last = starts[order], (starts + np.repeat(sizes, counts))[order]
+        hashes = np.empty(len(starts), np.uint64)
+        hashes[order] = mixed(byte_hashes(self.body, self.texts, first, last) + np.uint64(STEP))
+        return zip(longer, np.split(hashes, np.cumsum(counts)[:-1]))
 
 
 def words(texts: pa.Array, lower: bool = False, letters: bool = False) -> Words:
