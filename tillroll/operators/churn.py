@@ -7,14 +7,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.binning import right_closed_bins
 from tillroll.functions.numbers import count, real
 from tillroll.model import CHURN_AFTER_DAYS, SEED
-from tillroll.operators import metrics, modelling
+from tillroll.operators import metrics, modelling, scoring
 from tillroll.operators.features import label_codes
 from tillroll.operators.forest import ForestClassifier
 from tillroll.operators.modelling import Candidate, Fitted
@@ -112,11 +111,7 @@ def boosted_trees(rounds: int = 300, seed: int = SEED) -> Candidate:
 
 def predicted(model, df: DataFrame) -> DataFrame:
     """Adds the predicted class and the probability of churn."""
-    return (
-        model.transform(df)
-        .withColumn("score", vector_to_array("probability")[1])
-        .withColumn("prediction", F.col("prediction").cast("int"))
-    )
+    return scoring.scored(model, df)
 
 
 def risk_tier(probability="Predicted_Churn_Probability") -> Column:
