@@ -75,3 +75,30 @@ def test_wrong_files_are_errors(spark, tmp_path):
     written(tmp_path / "a.csv", [columns[::-1], ["1"] * len(columns)])
     with pytest.raises(ValueError, match="header"):
         files.read_csv(spark, str(tmp_path), "reviews")
+
+
+def test_lines_are_not_shuffled(spark, small_splits, tmp_path):
+    """Only records that lie across byte ranges meet by number; the others are put together where they are read."""
+    written(tmp_path / "t.csv", [["a", "b"], *[[str(i), f'say "{i}"\nmore' * (i % 4)] for i in range(300)]])
+    plan = files.quoted_records(spark, str(tmp_path / "t.csv"))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("Exchange") == 1
+    above = plan[: plan.index("Exchange")]
+    assert "Union" in above and "ObjectHashAggregate" in above
+
+
+def test_changed_splits_are_noticed(spark, small_splits, tmp_path, monkeypatch):
+    """A second pass over other ranges than the first one's would cut records wrongly."""
+    written(tmp_path / "t.csv", [["a", "b"], *[[str(i), '"\n' * (i % 3)] for i in range(100)]])
+    expected, settle, passes = records(spark, tmp_path / "t.csv"), files.settled, []
+
+    def settled(df):
+        passes.append(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "61" if len(passes) == 1 else "97")
+        out = settle(spark.read.option("lineSep", "\n").text(str(tmp_path / "t.csv")).select(
+            "_metadata.file_path", "_metadata.file_block_start", "value"
+        ).toDF("file", "range", "value").mapInArrow(lambda b: files._joined_lines(b, {}, '"'), df.schema)) if len(passes) == 1 else settle(df)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "97")
+        return out
+
+    monkeypatch.setattr(files, "settled", settled)
+    assert records(spark, tmp_path / "t.csv") == expected and len(passes) == 2

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window as W
 
 from tillroll.model import DEFAULTS, SCHEMAS
 from tillroll.operators.settle import settled
@@ -92,46 +94,130 @@ def from_text(df: DataFrame, table: str, null_texts: Iterable[str] = NULL_TEXTS)
 FREE_TEXT = ("reviews",)
 
 
+def _odd_before(quotes: np.ndarray, entered: int) -> np.ndarray:
+    """Whether each line begins within quotes, given whether the first one does."""
+    before = np.cumsum(quotes) - quotes
+    return (before + entered) % 2
+
+
+def _sliced(batches: Iterator[pa.RecordBatch], quote: str) -> Iterator[tuple[str, int, pa.Array, np.ndarray]]:
+    """File, byte range, lines and their quotes; a task reads the lines of a range one after the other."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        places = np.stack([np.asarray(batch.column("file").dictionary_encode().indices, np.int64), np.asarray(batch.column("range"), np.int64)])
+        quotes = np.asarray(pc.count_substring(batch.column("value"), quote), np.int64)
+        starts = [0, *(np.flatnonzero((places[:, 1:] != places[:, :-1]).any(axis=0)) + 1).tolist()]
+        for low, high in zip(starts, [*starts[1:], batch.num_rows]):
+            yield batch.column("file")[low].as_py(), batch.column("range")[low].as_py(), batch.column("value").slice(low, high - low), quotes[low:high]
+
+
+def _counted_ranges(batches: Iterator[pa.RecordBatch], quote: str) -> Iterator[pa.RecordBatch]:
+    """Per byte range its quotes, and the lines that begin outside quotes if the range does so or not."""
+    sums: dict[tuple[str, int], np.ndarray] = {}
+    for file, start, _, quotes in _sliced(batches, quote):
+        so_far = sums.setdefault((file, start), np.zeros(3, np.int64))
+        odd = int(_odd_before(quotes, int(so_far[0])).sum())
+        so_far += [int(quotes.sum()), len(quotes) - odd, odd]
+    if sums:
+        columns = [[f for f, _ in sums], [r for _, r in sums], *np.array(list(sums.values())).T]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["file", "range", "quotes", "if_even", "if_odd"])
+
+
+def _joined_lines(batches: Iterator[pa.RecordBatch], entered: dict[tuple[str, int], tuple[int, int]], quote: str) -> Iterator[pa.RecordBatch]:
+    """The lines of each record that lie in one byte range, as one text.
+
+    ``whole`` is false for the first and last record of a range, which may go on in the ranges beside it. After the
+    records of a range comes a row with its quotes in place of a record and no text.
+    """
+    here, inside, number, seen, pending = None, 0, 0, 0, []  # pending: the lines so far of the record that is last
+
+    def rows(record, whole, texts) -> pa.RecordBatch:
+        columns = [pa.array([here[0]] * len(texts)), pa.array([here[1]] * len(texts), pa.int64()), pa.array(record, pa.int64()), pa.array(whole, pa.bool_()), texts]
+        return pa.RecordBatch.from_arrays(columns, RECORD_PIECES)
+
+    def ended() -> Iterator[pa.RecordBatch]:
+        if pending:
+            yield rows([number], [False], pa.array(["\n".join(pending)]))
+        if here:
+            yield rows([seen], [None], pa.array([None], pa.string()))
+
+    for file, start, lines, quotes in _sliced(batches, quote):
+        if here != (file, start):
+            yield from ended()
+            here, pending, first, seen = (file, start), [], True, 0
+            inside, before = entered.get((file, start), (0, 0))
+            number = before - 1
+        seen += int(quotes.sum())
+        begins = np.flatnonzero(_odd_before(quotes, inside) == 0)
+        inside = (inside + int(quotes.sum())) % 2
+        if not len(begins):
+            pending += lines.to_pylist()
+            continue
+        head = lines.slice(0, int(begins[0])).to_pylist()
+        if pending or head:  # the record that began earlier ends here
+            yield rows([number], [not first], pa.array(["\n".join([*pending, *head])]))
+            first = False
+        n = len(begins) - 1
+        if n:
+            middle = lines.slice(int(begins[0]), int(begins[-1] - begins[0]))
+            texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(begins - begins[0], pa.int32()), middle), "\n")
+            whole = np.ones(n, bool)
+            whole[0] = not first
+            yield rows(np.arange(number + 1, number + 1 + n), whole, texts)
+            first = False
+        number += len(begins)
+        pending = lines.slice(int(begins[-1])).to_pylist()
+        first = first and not n
+    yield from ended()
+
+
+READINGS = 5  # of files whose splits differ from one pass to the next, as when executors come and go
+RECORD_PIECES = ["file", "range", "record", "whole", "text"]
+
+
 def quoted_records(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
     """The records of CSV files whose quoted fields may hold line breaks: file, record (from 0), text.
 
     Files are split like plain text, a task per byte range. A line that ends with an odd number of quotes since the
     file's start goes on in the next one. Whether a range begins within quotes follows from the quotes in the
     ranges before it, and so does the number of records before it, for which a range counts both cases:
-    two small sums per range are all that is gathered. Lines of one record then meet by its number.
+    a row per range is all that is gathered. A task then joins the lines of its records itself; only the first and
+    the last record of a range meet by their number with what lies in the ranges beside it. If the ranges of the second
+    pass are not those of the first, both are done again.
     A line break is a line feed, with or without a carriage return before it at a record's end.
     """
     lines = spark.read.option("lineSep", "\n").text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("range"),
-        F.monotonically_increasing_id().alias("place"),
-        "value",
-        (F.length("value") - F.length(F.replace("value", F.lit(quote)))).alias("quotes"),
-    )
-    by_place = W.partitionBy("file", "range").orderBy("place").rowsBetween(W.unboundedPreceding, -1)
-    odd_here = F.coalesce(F.sum("quotes").over(by_place), F.lit(0)) % 2
-    counted = settled(lines.withColumn("odd", odd_here.cast("int")))
-    ranges = counted.groupBy("file", "range").agg(
-        F.sum("quotes").alias("quotes"),
-        F.count_if(F.col("odd") == 0).alias("if_even"),
-        F.count_if(F.col("odd") == 1).alias("if_odd"),
-    )
-    earlier = W.partitionBy("file").orderBy("range").rowsBetween(W.unboundedPreceding, -1)  # one row per range
-    entered = ranges.withColumn("entered", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2).withColumn(
-        "begun", F.when(F.col("entered") == 0, F.col("if_even")).otherwise(F.col("if_odd"))
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("range"), "value"
     )
-    carried = entered.select(
-        "file", "range", "entered", F.coalesce(F.sum("begun").over(earlier), F.lit(0)).alias("before")
-    )
-    upto = W.partitionBy("file", "range").orderBy("place").rowsBetween(W.unboundedPreceding, W.currentRow)
-    begins = ((F.col("odd") + F.col("entered")) % 2 == 0).cast("int")
-    numbered = counted.join(carried, ["file", "range"]).withColumn(
-        "record", F.col("before") + F.sum(begins).over(upto) - 1
-    )
-    parts = F.sort_array(F.collect_list(F.struct("range", "place", "value")))
-    return numbered.groupBy("file", "record").agg(
-        F.regexp_replace(F.array_join(F.transform(parts, lambda p: p["value"]), "\n"), "\r$", "").alias("text")
+    for _ in range(READINGS):
+        ranges = lines.mapInArrow(
+            lambda batches: _counted_ranges(batches, quote), "file string, range long, quotes long, if_even long, if_odd long"
+        )
+        entered, quotes, file = {}, {}, None
+        for row in sorted(ranges.collect()):  # a row per byte range
+            if row["file"] != file:
+                file, inside, before = row["file"], 0, 0
+            entered[row["file"], row["range"]] = inside, before
+            quotes[row["file"], row["range"]] = row["quotes"]
+            before += row["if_odd"] if inside else row["if_even"]
+            inside = (inside + row["quotes"]) % 2
+        pieces = settled(
+            lines.mapInArrow(
+                lambda batches: _joined_lines(batches, entered, quote), "file string, range long, record long, whole boolean, text string"
+            )
+        )
+        again = {(r["file"], r["range"]): r["record"] for r in pieces.filter("whole is null").select("file", "range", "record").collect()}
+        if again == quotes:
+            break
+    else:
+        raise RuntimeError(f"{path}: files or their splits change while they are read")
+    parts = F.sort_array(F.collect_list(F.struct("range", "text")))
+    across = pieces.filter("not whole").groupBy("file", "record").agg(
+        F.array_join(F.transform(parts, lambda p: p["text"]), "\n").alias("text")
     )
+    records = pieces.filter("whole").select("file", "record", "text").unionByName(across)
+    return records.withColumn("text", F.regexp_replace("text", "\r$", ""))
 
 
 def _read_quoted(spark: SparkSession, path: str, names: list[str], options: dict, by_name: bool) -> DataFrame:
