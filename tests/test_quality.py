@@ -162,3 +162,22 @@ def test_same_column_names_get_a_suffix(spark, tables):
         "Sales_order",
         "Other",
     ]
+
+
+def test_marks_have_the_missing_values_of_the_prepared_table(tables):
+    t = tables(
+        customers=[{"Customer_ID": "c", "State": None, "Gender": None}, {"Customer_ID": "d"}],
+        orders=[{"Order_ID": "o", "Customer_ID": "c", "Ship_Date": None}, {"Order_ID": "p", "Customer_ID": None}, {"Order_ID": "q", "Customer_ID": "d"}],
+        order_items=[
+            {"Order_Item_ID": "a", "Order_ID": "o", "Brand": None, "Sales": None}, {"Order_Item_ID": "b", "Order_ID": "p", "Quantity": None},
+            {"Order_Item_ID": "b", "Order_ID": "none"}, {"Order_Item_ID": None, "Order_ID": None}, {"Order_Item_ID": "e", "Order_ID": "q"},
+        ],
+        shipping=[{"Shipping_ID": "s", "Order_ID": "o", "Carrier": None}, {"Shipping_ID": "r", "Order_ID": "q"}, {"Shipping_ID": "u", "Order_ID": "q"}],
+        reviews=[{"Review_ID": "1", "Order_Item_ID": "a", "Review_Score": 2}, {"Review_ID": "2", "Order_Item_ID": "b", "Review_Score": None}],
+    )
+    whole, marks = flat.prepared(t), flat.prepared_marks(t, ("Sales",))
+    assert marks.columns == whole.columns and marks.schema["Sales"] == whole.schema["Sales"]
+    assert quality.null_counts(marks).collect() == quality.null_counts(whole).collect()
+    # values do not travel: all but keys, kept columns and the mean review are marks
+    moved = {f.name for f in marks.schema if f.dataType.typeName() != "boolean"}
+    assert moved == {"Order_Item_ID", "Order_ID", "Customer_ID", "Sales", "Review_Score"}

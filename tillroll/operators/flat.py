@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -110,6 +112,25 @@ def prepared(t: Tables) -> DataFrame:
     return presence_flags(typed_flat(flat_table(t)))
 
 
+def prepared_marks(t: Tables, kept: Collection[str] = ()) -> DataFrame:
+    """The prepared table for counts of missing values: true instead of each value but the keys' and those of ``kept``.
+
+    Types are set before the joins, so that they move a mark per value and not the values.
+    """
+    keys = {"Order_Item_ID", "Order_ID", "Customer_ID"}
+
+    def marks(name: str) -> DataFrame:
+        df = quality.to_dates(_declared(t, name), DATES)
+        df = quality.to_numbers(df, {c: kind for c, kind in NUMBERS.items() if c in df.columns})
+        df = quality.trimmed(df, [c for c in quality.TRIMMED if c in df.columns])
+        present = {c: F.when(F.col(c).isNotNull(), F.lit(True)) for c in df.columns if c not in keys and c not in kept}
+        return df.select(*[present.get(c, F.col(c)).alias(c) for c in df.columns])
+
+    names = ("order_items", "orders", "customers")
+    shipping = t.shipping.select("Order_ID", *[F.when(F.col(c).isNotNull(), F.lit(True)).alias(c) for c in ("Shipping_Mode", "Carrier")])
+    return presence_flags(flat_table(t.replaced(shipping=shipping, **{name: marks(name) for name in names})))
+
+
 def cleaned(t: Tables, dedupe: bool = True, exact_quantiles: bool = True) -> DataFrame:
     """The whole cleaning: 46 columns, integrity enforced.
 

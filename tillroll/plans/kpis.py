@@ -65,7 +65,10 @@ def pivot_category_month(t: Tables, categories: Sequence[str] | None = None) ->
 
 
 def cleaning_log(t: Tables, flat: DataFrame) -> DataFrame:
-    """One row per cleaning check: what was checked and how many rows it concerns."""
+    """One row per cleaning check: what was checked and how many rows it concerns.
+
+    Of ``flat`` only the presence of values counts, but for the columns checked for outliers.
+    """
     duplicates = [
         quality.duplicate_report(t[name], PRIMARY_KEYS[name], name).select(
             F.lit("duplicates").alias("step"),
@@ -74,7 +77,11 @@ def cleaning_log(t: Tables, flat: DataFrame) -> DataFrame:
         )
         for name in DEDUPED
     ]
-    flat = settled(flat)
+    flat = settled(
+        flat.select(
+            *[F.col(c) if c in quality.OUTLIER_COLUMNS else F.when(F.col(c).isNotNull(), F.lit(True)).alias(c) for c in flat.columns]
+        )
+    )
     nulls = quality.null_counts(flat).filter("null_count > 0")
     bounds = quality.outlier_bounds(flat)
     outliers = quality.count_per_column(

@@ -245,6 +245,11 @@ def _prepared(spark: SparkSession, folder: str) -> DataFrame:
     return flat.prepared(star_tables(spark, folder))
 
 
+def _on_marks(operator: Callable[..., DataFrame], **params) -> Query:
+    """On the prepared table, of which only the presence of values counts."""
+    return lambda spark, folder: operator(flat.prepared_marks(star_tables(spark, folder)), **params)
+
+
 def _on_flat(operator: Callable[..., DataFrame], **params) -> Query:
     return lambda spark, folder: operator(_prepared(spark, folder), **params)
 
@@ -293,8 +298,8 @@ QUALITY: dict[str, Query] = {
     "d01_first_per_key": _first_lines,
     "d04_items_from_text": _items_from_text,
     "d05_coerced_and_trimmed": _coerced_items,
-    "d06_null_report": _on_flat(quality.null_report),
-    "d08_unexpected_nulls": _on_flat(quality.unexpected_nulls),
+    "d06_null_report": _on_marks(quality.null_report),
+    "d08_unexpected_nulls": _on_marks(quality.unexpected_nulls),
     "d09_outlier_flags": _outliers,
     "d10_outlier_report": _outlier_report,
     "d11_integrity": _on_flat(quality.integrity_violations),
@@ -708,7 +713,7 @@ KPIS: dict[str, Query] = {
     "k04_high_risk_check": lambda spark, folder: _high_risk_check(spark, folder),
     "k05_pivot_category_month": _on_tables(kpis.pivot_category_month),
     "k06_cleaning_log": lambda spark, folder: kpis.cleaning_log(
-        star_tables(spark, folder), _prepared(spark, folder)
+        star_tables(spark, folder), flat.prepared_marks(star_tables(spark, folder), quality.OUTLIER_COLUMNS)
     ),
     "k07_customer_lookup": _on_tables(
         lambda t: kpis.lookup(t.customers, "Customer_ID", "1")
