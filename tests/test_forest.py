@@ -101,3 +101,45 @@ def test_shared_fits_outlive_the_removal_of_stored_tables(spark):
     first = rows_of(QUERIES["r10_clusters"](spark, folder), "Customer_ID", "Cluster")
     settle.remove_stored(spark)
     assert rows_of(QUERIES["r10_clusters"](spark, folder), "Customer_ID", "Cluster") == first
+
+
+def test_chunks_are_spread_and_keep_their_draws(spark, rows, monkeypatch):
+    """Rows that lie in one task are shared by all cores; the forest is that of the chunks as they were named."""
+    seen = []
+    monkeypatch.setattr(forest, "settled", lambda df: seen.append(settle.settled(df)) or seen[-1])
+    monkeypatch.setattr(forest, "SENT_ROWS", 50)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "40")
+    try:
+        model = forest.ForestRegressor("y", 3, 4, 7, localRows=100).fit(rows.coalesce(1))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    chunks = seen[0]
+    assert chunks.count() == 15 and chunks.select(F.spark_partition_id()).distinct().count() > 1
+    assert [r["n"] for r in chunks.orderBy("chunk").collect()] == [40] * 15
+    assert model.getNumTrees == 3
+
+
+def test_labels_come_back_as_they_were():
+    for labels, size in (([0, 1, 255], 1), ([0.01, 12345.67], 4), ([1 / 3, 2.0], 8), ([-1.0, 2.0], 8), ([3e7, 1.0], 8), ([-0.0], 8)):
+        stored = forest.small_labels(np.array(labels, np.float64))
+        assert len(stored) == size * len(labels)
+        assert forest.whole_labels(stored, len(labels)).tobytes() == np.array(labels, np.float64).tobytes()
+
+
+def test_cells_give_each_features_bins():
+    draw = np.random.default_rng(1)
+    sizes = [32, 3, 1, 11, 32, 5]
+    bins = np.stack([draw.integers(0, s, 500) for s in sizes]).astype(np.uint8)
+    place, weight, label = draw.integers(0, 3, 500), draw.integers(1, 4, 500).astype(float), draw.integers(0, 9, 500).astype(float)
+    groups = forest.packs(sizes)
+    assert sorted(j for g in groups for j in g) == list(range(6)) and len(groups) < 6
+    counted = forest.cells(place, 3, forest.codes(bins, sizes, groups), sizes, groups, weight, label)
+    found = forest.histograms(counted, sizes, groups)
+    for j in range(6):
+        expected = np.zeros((2, 3, forest.BINS))
+        np.add.at(expected[0], (place, bins[j]), weight)
+        np.add.at(expected[1], (place, bins[j]), weight * label)
+        assert (found[:, :, j] == expected).all()
+    sent = forest.sent_groups(sizes)
+    numbers = np.stack([code.astype(np.uint16) for code in forest.codes(bins, sizes, sent)])
+    assert (forest.unpacked(numbers, sizes, sent) == bins).all()
