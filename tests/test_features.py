@@ -145,3 +145,18 @@ def test_histogram_counts_every_buyer(star):
     bins = eda.age_histogram(flat.prepared(star)).collect()
     assert [r["Bin"] for r in bins] == list(range(1, 26))
     assert sum(r["Customers"] for r in bins) == buyers
+
+
+def test_rows_stay_where_they_are_when_codes_are_joined(spark):
+    """The codes are stored before they are joined: Spark knows that they are small, whatever it allows itself to broadcast."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "100KB")
+    rows = session.range(300).select("id", *[(F.col("id") % n).cast("string").alias(f"c{n}") for n in (2, 7, 50)])
+    coded = features.label_codes(rows.withColumn("c7", F.nullif("c7", F.lit("3"))), ["c2", "c7", "c50"])
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 3
+    order = {c: sorted(str(i) for i in range(n)) for c, n in (("c2", 2), ("c50", 50))}
+    with_gap = sorted(["Not_Shipped", *[str(i) for i in range(7) if i != 3]])
+    for r in coded.collect():
+        assert r["c2_Encoded"] == order["c2"].index(r["c2"]) and r["c50_Encoded"] == order["c50"].index(r["c50"])
+        assert r["c7_Encoded"] == with_gap.index(r["c7"] or "Not_Shipped")

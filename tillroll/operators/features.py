@@ -87,14 +87,17 @@ def label_codes(
 ) -> DataFrame:
     """Adds 0, 1, 2, ... by sorted text, one code column per column.
 
-    One pass finds the distinct values of all columns; they are numbered in Spark and joined back,
-    broadcast if Spark finds them small, so a vocabulary may grow with the data.
+    One pass finds the distinct values of all columns; they are numbered in Spark, stored and joined back,
+    so a vocabulary may grow with the data. As a stored table their size is known when the joins are planned,
+    so Spark broadcasts small ones and leaves the rows where they are.
     """
     texts = {c: F.coalesce(F.col(c).cast("string"), F.lit(missing)) for c in columns}
     pairs = [F.struct(F.lit(i).alias("_i"), t.alias("_value")) for i, t in enumerate(texts.values())]
     values = settled(df.select(F.inline(F.array(*pairs))).distinct())
-    numbered = ranking.row_number(values, [F.col("_value")], "_position", within=["_i"]).select(
-        "_i", "_value", (F.col("_position") - 1).cast("int").alias("_code")
+    numbered = settled(
+        ranking.row_number(values, [F.col("_value")], "_position", within=["_i"]).select(
+            "_i", "_value", (F.col("_position") - 1).cast("int").alias("_code")
+        )
     )
     coded = df
     for i, (column, text) in enumerate(texts.items()):
