@@ -15,10 +15,22 @@ ADAPTIVE = {
 SETTINGS = {**ADAPTIVE, "spark.sql.session.timeZone": "UTC", "spark.ui.enabled": "false"}
 
 
-def tuned(spark: SparkSession) -> SparkSession:
-    """The session with hot join keys split; everything else stays as the cluster set it."""
+SCAN_BYTES = "32MB"  # of a file that one task reads, where the cluster says nothing else
+
+
+def tuned(spark: SparkSession, hashed: bool = True) -> SparkSession:
+    """The session with hot join keys split, small partitions hashed instead of both sides sorted, and smaller reads.
+
+    A side is hashed only if each of its partitions is known to hold no more than the advisory size, so neither
+    that nor what a reading task sums by key before the shuffle grows with the data. Rows joined without a sort
+    compress less in later shuffles; without ``hashed`` both sides are sorted. All else stays as the cluster set it.
+    """
     for key in ("spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.forceOptimizeSkewedJoin"):
         spark.conf.set(key, ADAPTIVE[key])
+    most = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
+    spark.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", most if hashed else "0")
+    if spark.conf.get("spark.sql.files.maxPartitionBytes", None) is None:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", SCAN_BYTES)
     return spark
 
 
