@@ -6,7 +6,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +14,7 @@ from tillroll.functions.binning import right_closed_bins
 from tillroll.functions.numbers import count, real
 from tillroll.model import CHURN_AFTER_DAYS, SEED
 from tillroll.operators import metrics, modelling, scoring
+from tillroll.operators.boosting import BoostedClassifier
 from tillroll.operators.features import label_codes
 from tillroll.operators.forest import ForestClassifier
 from tillroll.operators.modelling import Candidate, Fitted
@@ -102,8 +103,8 @@ def candidates(
 
 
 def boosted_trees(rounds: int = 300, seed: int = SEED) -> Candidate:
-    """One small tree a round; what a round leaves over is checkpointed every ten of them."""
-    trees = GBTClassifier(
+    """One small tree a round; what the rounds leave over is checkpointed every ten of them."""
+    trees = BoostedClassifier(
         labelCol=LABEL, maxIter=rounds, maxDepth=5, stepSize=0.05, seed=seed, checkpointInterval=10
     )
     return Candidate("Gradient Boosting", trees)
