@@ -2,7 +2,8 @@
 
 Spark's own boosting visits a tree's rows one by one, as objects, and starts several jobs per level. Here a job per
 level sums counts, residuals and their squares by node, feature and bin in arrays; what the trees so far say of a row
-is kept beside its bins. Losses, cuts, gains and ties are those of Spark's boosting, and the result is Spark's own model.
+is kept beside its bins. Losses, cuts and gains follow Spark's boosting, and the result is Spark's own model; rounding may
+decide between equal cuts otherwise, and of more than ``SAMPLED`` rows another draw gives the cuts.
 """
 
 from __future__ import annotations
