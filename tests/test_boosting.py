@@ -6,11 +6,12 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
-from tillroll.operators import boosting, churn, modelling, scoring
-from tillroll.operators.boosting import BoostedClassifier
+from tillroll.operators import boosting, churn, modelling, sales, scoring
+from tillroll.operators.boosting import BoostedClassifier, BoostedRegressor
 
 OPTIONS = dict(labelCol="label", maxIter=23, maxDepth=4, stepSize=0.1, seed=3, checkpointInterval=10)
 
@@ -69,3 +70,45 @@ def test_cuts_from_a_draw(spark, monkeypatch):
     assert 28 <= len(many) <= 31 and np.abs(many - np.arange(1, len(many) + 1) * 250).max() < 500
     assert few.tolist() == [0.5, 1.5]
     assert boosting.cuts_between(np.array([2.0, 2.0])).tolist() == []
+
+
+@pytest.mark.parametrize("block_rows", [100, 60_000])
+def test_amounts_are_sparks(rows, tmp_path, monkeypatch, block_rows):
+    """Trees over amounts are those of Spark's boosting, whatever the blocks; they are stored and read like any other."""
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", block_rows)
+    amounts = rows.withColumn("amount", F.col("id") * 7.25 % 311 + vector_to_array("features")[0] * vector_to_array("features")[1] - 200)
+    options = {**OPTIONS, "labelCol": "amount"}
+    mine, own = BoostedRegressor(**options).fit(amounts), GBTRegressor(**options).fit(amounts)
+    assert isinstance(mine, GBTRegressionModel) and mine.getNumTrees == 23
+    assert mine.treeWeights == own.treeWeights and mine.totalNumNodes == own.totalNumNodes
+    mine.write().save(str(tmp_path / "m"))
+    again = GBTRegressionModel.load(str(tmp_path / "m"))
+    said = [[r[0] for r in m.transform(amounts).orderBy("id").select("prediction").collect()] for m in (own, mine, again)]
+    np.testing.assert_allclose(said[1], said[0], rtol=1e-9)
+    assert said[2] == said[1]
+    np.testing.assert_allclose([r[1] for r in rows_of(scoring.scored(mine, amounts), "id", "prediction")], said[0], rtol=1e-9)
+    np.testing.assert_allclose(mine.featureImportances.toArray(), own.featureImportances.toArray(), atol=1e-9)
+
+
+def test_sales_are_boosted_from_blocks():
+    """The sales model, too, takes a job per level, not Spark's boosting, which reads the rows one by one."""
+    estimator = sales.boosted_trees().estimator
+    assert isinstance(estimator, BoostedRegressor) and (estimator.rounds, estimator.depth, estimator.step) == (300, 6, 0.05)
+
+
+def test_equal_amounts_and_missing_ones(spark, rows):
+    options = {**OPTIONS, "labelCol": "amount", "maxIter": 3}
+    same = BoostedRegressor(**options).fit(rows.withColumn("amount", F.lit(2.5)))
+    assert same.totalNumNodes == 3 and scoring.scored(same, rows).filter("prediction <> 2.5").count() == 0
+    for wrong in (rows.limit(0).withColumn("amount", F.lit(1.0)), rows.withColumn("amount", F.lit(None).cast("double")), rows.withColumn("amount", F.lit("nan").cast("double"))):
+        with pytest.raises(ValueError):
+            BoostedRegressor(**options).fit(wrong)
+
+
+@pytest.mark.parametrize("level", [0, 1, 4, 6, 9])
+def test_rows_reach_the_nodes_of_single_lookups(level):
+    draw = np.random.default_rng(2)
+    bins, size = draw.integers(0, 32, (4, 500)).astype(np.uint8), 2 << level
+    feature, cut = draw.integers(-1, 4, size), draw.integers(0, 31, size)
+    found = boosting.reached(bins, feature, cut, level)
+    assert ((1 << level) + found == boosting.forest.descended(bins, np.arange(500), feature, cut, level)).all()
