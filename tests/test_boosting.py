@@ -110,5 +110,5 @@ def test_rows_reach_the_nodes_of_single_lookups(level):
     draw = np.random.default_rng(2)
     bins, size = draw.integers(0, 32, (4, 500)).astype(np.uint8), 2 << level
     feature, cut = draw.integers(-1, 4, size), draw.integers(0, 31, size)
-    found = boosting.reached(bins, feature, cut, level)
+    found = boosting.forest.reached(bins, feature, cut, level)
     assert ((1 << level) + found == boosting.forest.descended(bins, np.arange(500), feature, cut, level)).all()

@@ -1,6 +1,9 @@
 """The forest against plain loops over its rows and against Spark's own."""
 
+import time
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -143,3 +146,54 @@ def test_cells_give_each_features_bins():
     sent = forest.sent_groups(sizes)
     numbers = np.stack([code.astype(np.uint16) for code in forest.codes(bins, sizes, sent)])
     assert (forest.unpacked(numbers, sizes, sent) == bins).all()
+
+
+def test_trees_in_batches_leave_nothing_shuffled(spark, rows, monkeypatch):
+    """Branches are sent for some trees at a time; what was shuffled for them is gone before the next."""
+    cuts = forest.thresholds(rows.select(forest.vector_to_array("features").alias("x")), 4)
+    given = rows.select(forest.vector_to_array("features").alias("x"), "y")
+    chunks = settle.settled(given.mapInArrow(lambda b: forest.chunked(b, cuts), forest.CHUNKS))
+    whole = rows_of(forest.forest_nodes(chunks, 4, 5, 4, 4, 7, 300))
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: disk.getAllFiles().mkString(" ").count("shuffle_")
+    left, stored = [], []
+
+    def stores(df):
+        before = shuffled()
+        stored.append(settle.settled(df))
+        for _ in range(50):  # files go in the background
+            if shuffled() <= before:
+                break
+            time.sleep(0.1)
+        left.append(shuffled() - before)
+        return stored[-1]
+
+    monkeypatch.setattr(forest, "settled", stores)
+    monkeypatch.setattr(forest, "BATCH_ROWS", 2 * 600)
+    batches = rows_of(forest.forest_nodes(chunks, 4, 5, 4, 4, 7, 10_000))
+    assert [[t for (t,) in sorted(s.select("tree").distinct().collect())] for s in stored] == [[0, 1], [2, 3], [4]]
+    assert max(left) <= 0
+    assert [r[:2] + r[6:] for r in batches] == [r[:2] + r[6:] for r in whole]
+
+
+def test_large_nodes_are_split_as_levels_are(monkeypatch):
+    draw = np.random.default_rng(5)
+    sizes, n = [32, 3, 1, 11, 32, 5], 4_000
+    bins = np.stack([draw.integers(0, s, n) for s in sizes]).astype(np.uint8)
+    label = np.round(bins[0] * 7.0 * bins[3] + bins[4] + draw.random(n), 2)
+    weight = draw.integers(1, 4, n).astype(np.uint8)
+    sent = forest.sent_groups(sizes)
+    row = {"tree": 2, "node": 3, "chunk": 0, "n": n, "bins": np.stack([c.astype(np.uint16) for c in forest.codes(bins, sizes, sent)]).tobytes(),
+           "labels": forest.small_labels(label), "weights": weight.tobytes()}
+    group = pa.Table.from_pylist([row], schema=forest.fields(forest.SENT))
+    for most in (6, 2):
+        expected = forest.grown(group, 7, sizes, most, 8).sort_by("node").to_pydict()
+        monkeypatch.setattr(forest, "LARGE_ROWS", 150)
+        monkeypatch.setattr(forest, "CROWDED_ROWS", 30)
+        found = forest.grown(group, 7, sizes, most, 8).sort_by("node").to_pydict()
+        monkeypatch.undo()
+        assert len(expected["node"]) > 100
+        for name in ("tree", "node", "n", "feature", "bin"):
+            assert found[name] == expected[name]
+        for name in ("total", "squares", "gain"):
+            np.testing.assert_allclose(found[name], expected[name], rtol=1e-9)
