@@ -1,11 +1,13 @@
 """What the physical plans must and must not contain."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tests.conftest import SMALL
-from tillroll.operators import flat
+from tests.conftest import SMALL, rows_of
+from tillroll.operators import flat, quality, settle
 from tillroll.plans import business as b
 from tillroll.plans import views as v
 from tillroll.session import tuned
@@ -101,3 +103,39 @@ def test_a_hot_order_is_split_before_a_grouping_on_orders(spark, stored):
             spark.conf.unset(key)
     assert "skew=true" in plan
     assert sum(per_order.values()) == hot.order_items.agg(F.sum("Sales")).first()[0]
+
+
+def test_staged_flat_tables_are_the_lazy_one(star, monkeypatch):
+    """Sides that are stored and orders that take turns give the same lines, and only the result stays stored."""
+    lazy = rows_of(flat.flat_table(star).select(F.struct("*").cast("string")))
+    assert rows_of(flat.flat_table(star, staged=True).select(F.struct("*").cast("string"))) == lazy
+    stored, gone = [], []
+    monkeypatch.setattr(flat, "settled", lambda df: (stored.append(settle.settled(df)), stored[-1])[1])
+    monkeypatch.setattr(flat, "discard", lambda *frames: (gone.extend(f.inputFiles()[0] for f in frames), settle.discard(*frames)))
+    monkeypatch.setattr(flat, "TURN_ROWS", 1_000)
+    whole = flat._settled_flat(star)
+    assert rows_of(whole.select(F.struct("*").cast("string"))) == rows_of(flat.prepared(star).select(F.struct("*").cast("string")))
+    turns = [df.count() for df in stored[2:]]
+    assert len(turns) == 2 and min(turns) > 0 and sum(turns) == len(lazy)
+    assert len(gone) == 2 and not any(Path(file.removeprefix("file:")).exists() for file in gone)
+
+
+def test_lines_without_an_order_take_part_in_a_turn(tables, monkeypatch):
+    monkeypatch.setattr(flat, "TURN_ROWS", 2)
+    t = tables(
+        order_items=[{"Order_Item_ID": str(i), "Order_ID": o} for i, o in enumerate(["a", "b", None, "x", "a"])],
+        orders=[{"Order_ID": o, "Customer_ID": "c"} for o in ("a", "b", None)],
+        customers=[{"Customer_ID": "c"}],
+    )
+    expected = rows_of(flat.prepared(t).select("Order_Item_ID", F.coalesce("Customer_ID", F.lit("-"))))
+    assert [c for _, c in expected] == ["c", "c", "-", "-", "c"]
+    assert rows_of(flat._settled_flat(t).select("Order_Item_ID", F.coalesce("Customer_ID", F.lit("-")))) == expected
+
+
+def test_counting_duplicates_leaves_nothing_shuffled(spark, monkeypatch):
+    seen = []
+    real = quality.duplicate_report
+    monkeypatch.setattr(quality, "duplicate_report", lambda *a: (seen.append(spark.conf.get(settle.SHUFFLES_GO)), real(*a))[1])
+    before = spark.conf.get(settle.SHUFFLES_GO)
+    assert quality.without_duplicates(spark.range(5).selectExpr("id % 4 AS k", "id AS v"), "k")[1] == 1
+    assert seen == ["true"] and spark.conf.get(settle.SHUFFLES_GO) == before

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tillroll.functions.numbers import count, ratio, real
 from tillroll.model import FOREIGN_KEYS, PRIMARY_KEYS, REVIEW_SCORES, SCHEMAS
 from tillroll.operators import ranking
-from tillroll.operators.settle import settled
+from tillroll.operators.settle import settled, shuffles_removed
 from tillroll.sources.files import whole_number
 from tillroll.sources.tables import Tables
 
@@ -79,7 +79,8 @@ def without_duplicates(
     The count reads only the key. Rows whose key occurs once pass by; only those of repeated keys, if
     there are any, are grouped.
     """
-    dropped = duplicate_report(df, key, "").first()["duplicate_rows"]
+    with shuffles_removed(df.sparkSession):
+        dropped = duplicate_report(df, key, "").first()["duplicate_rows"]
     if not dropped:
         return df, 0
     repeated = settled(

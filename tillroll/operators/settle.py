@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,18 +60,37 @@ def generation() -> int:
 SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What is shuffled for an action within is removed as soon as the action ends.
+
+    Otherwise it stays until the driver happens to collect its garbage.
+    """
+    before = spark.conf.get(SHUFFLES_GO)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLES_GO, before)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """The same rows, written once to the shared folder and read from there afterwards.
 
     A lost executor cannot take them along. As a Parquet table they still give later steps
-    column pruning and a known size. What was shuffled for them is removed as soon as they are written,
-    not when the driver happens to collect its garbage.
+    column pruning and a known size. What was shuffled for them is removed once they are written.
     """
     spark = df.sparkSession
-    path, before = scratch_path(spark, "settled"), spark.conf.get(SHUFFLES_GO)
-    spark.conf.set(SHUFFLES_GO, "true")
-    try:
+    path = scratch_path(spark, "settled")
+    with shuffles_removed(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(SHUFFLES_GO, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*stored: DataFrame) -> None:
+    """Deletes settled frames that nothing reads any longer."""
+    for df in stored:
+        spark = df.sparkSession
+        for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -312,7 +312,7 @@ QUALITY: dict[str, Query] = {
     "d15_required_columns": _on_tables(quality.required_report),
     "d15_text_lengths": _on_tables(quality.length_report),
     "d17_formula_check": _on_tables(_formula),
-    "j05_flat_table": _on_tables(flat.flat_table),
+    "j05_flat_table": _on_tables(flat.flat_table, staged=True),
     "c01_cleaned": lambda spark, folder: flat.cleaned(star_tables(spark, folder)),
 }
 
